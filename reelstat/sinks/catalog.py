@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from reelstat.schemas import TABLE_DIRS, TABLES
 from reelstat.sinks.tables import COMPRESSION
-from reelstat.sources.files import join
+from reelstat.sources.files import exists, join
 from reelstat.sources.tables import current_version
 
 VIEW = "vw_media_perf"
@@ -35,11 +35,17 @@ def _location(spark: SparkSession, table: str, silver_root: str, gold_root: str)
 
 
 def repair(spark: SparkSession, db: str, table: str, silver_root: str, gold_root: str) -> None:
-    """Bring the catalog up to date: discover partitions, or point to the newest version of a replaced table."""
+    """Bring the catalog up to date: discover partitions, or point to the newest version of a replaced table.
+
+    Nothing to do before the table's first write.
+    """
+    location = _location(spark, table, silver_root, gold_root)
+    if not exists(spark, location):
+        return
     if TABLES[table][1].names:
         spark.sql(f"MSCK REPAIR TABLE {db}.{table} SYNC PARTITIONS")
     else:
-        spark.sql(f"ALTER TABLE {db}.{table} SET LOCATION '{_location(spark, table, silver_root, gold_root)}'")
+        spark.sql(f"ALTER TABLE {db}.{table} SET LOCATION '{location}'")
     spark.sql(f"REFRESH TABLE {db}.{table}")
 
 

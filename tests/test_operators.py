@@ -1,0 +1,272 @@
+from __future__ import annotations
+
+import itertools
+import random
+from datetime import date, datetime
+
+import pytest
+from conftest import values
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
+from reelstat.operators.keyed import earliest_per_key, latest_per_key
+
+DAY = date(2025, 3, 10)
+SILVER = "dt date, media_id string, visitor_key string, load_count bigint, play_count bigint, name string, email string"
+FACT = "dt date, media_id string, loads bigint, plays bigint, unique_visitors bigint, play_rate double"
+
+
+def silver(spark, *rows):
+    return spark.createDataFrame([(DAY, *row, None, None) for row in rows], SILVER)
+
+
+def fact(spark, *rows):
+    return spark.createDataFrame([(date.fromisoformat(d), m, lo, p, u, p / lo if lo else 0.0) for d, m, lo, p, u in rows], FACT)
+
+
+def dim(spark, *rows):
+    return spark.createDataFrame(list(rows), "media_id string, title string, project_name string")
+
+
+def test_visitor_dedup_takes_each_maximum(spark):
+    rows = [("m", "v", 1, 5, "Ann", None), ("m", "v", 3, 2, None, "z@x"), ("m", None, 1, 1, None, None), ("m", None, 2, 0, None, None)]
+    df = spark.createDataFrame([(DAY, *row) for row in rows], SILVER)
+    out = values(visitors.dedup_visitors(df), "visitor_key", "load_count", "play_count", "name", "email")
+    assert out == [("v", 3, 5, "Ann", "z@x"), (None, 2, 1, None, None)]
+
+
+def test_email_hash_option(spark):
+    df = spark.createDataFrame([(DAY, "m", "v", 1, 1, "Ann", "a@x"), (DAY, "m", "w", 1, 1, None, None)], SILVER)
+    out = visitors.pseudonymise_email(df, "key")
+    assert out.columns == df.columns
+    assert [len(row.email or "") for row in out.orderBy("visitor_key").collect()] == [64, 0]
+
+
+def test_fact(spark):
+    df = silver(spark, ("m", "a", 2, 1), ("m", "a", 2, 2), ("m", None, 1, 0), ("n", "a", 0, 4))
+    out = values(gold.daily_fact(df), "media_id", "loads", "plays", "unique_visitors", "play_rate")
+    assert out == [("m", 5, 3, 1, 0.6), ("n", 0, 4, 1, 0.0)]
+
+
+def test_distinct_visitors_and_sketches(spark):
+    rows = [(date(2025, 3, 1 + i % 5), "m", f"v{i % 40}", 1, 1, None, None) for i in range(200)]
+    df = spark.createDataFrame(rows, SILVER)
+    assert values(gold.distinct_visitors(df), "media_id", "distinct_visitors") == [("m", 40)]
+    merged = gold.merge_sketches(gold.visitor_sketches(df)).first()
+    assert abs(merged.approx_distinct_visitors - 40) <= 2
+
+
+def versions(spark, rows):
+    columns = "media_id string, name string, updated_at timestamp, progress double"
+    return spark.createDataFrame([(m, n, u and datetime.fromisoformat(u), p) for m, n, u, p in rows], columns)
+
+
+VERSIONS = [
+    ("a", "old", "2025-03-01T00:00:00", 0.1),
+    ("a", "new", "2025-03-02T00:00:00", None),
+    ("a", "newer", "2025-03-02T00:00:00", 0.2),
+    ("b", "undated", None, 0.3),
+    ("b", "dated", "2025-01-01T00:00:00", 0.4),
+    ("c", None, None, None),
+]
+
+
+@pytest.mark.parametrize("partitions", [1, 7, 64])
+def test_latest_is_the_same_under_any_partitioning(spark, partitions):
+    rows = VERSIONS * 2
+    random.Random(partitions).shuffle(rows)
+    df = versions(spark, rows).repartition(partitions)
+    out = values(latest_per_key(df, ["media_id"], ["updated_at"]), "media_id", "name")
+    assert out == [("a", "newer"), ("b", "dated"), ("c", None)]
+
+
+def test_upsert_keeps_absent_media_and_ignores_run_order(spark):
+    old, new = versions(spark, VERSIONS[:1] + VERSIONS[3:]), versions(spark, VERSIONS[1:3])
+    want = [("a", "newer"), ("b", "dated"), ("c", None)]
+    assert values(media.upsert_dim(media.upsert_dim(None, old), new), "media_id", "name") == want
+    assert values(media.upsert_dim(media.upsert_dim(None, new), old), "media_id", "name") == want
+
+
+EVENT = "event_key string, received_at timestamp, media_id string, n int"
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 3) | st.none(), st.integers(0, 2)), max_size=12))
+def test_event_dedup_against_brute_force(spark, rows):
+    at = [None if h is None else datetime(2025, 3, 1, h) for _, h, _ in rows]
+    df = spark.createDataFrame([(k, t, "m", n) for (k, _, n), t in zip(rows, at)], EVENT).repartition(3)
+    want = [(None, h, n) for k, h, n in rows if k is None]
+    for key, group in itertools.groupby(sorted((r for r in rows if r[0]), key=lambda r: r[0]), key=lambda r: r[0]):
+        want.append(min(group, key=lambda r: (r[1] is None, r[1] or 0, r[2])))
+    got = events.dedup_events(df).select("event_key", F.hour("received_at"), "n").collect()
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_earliest_puts_null_times_last(spark):
+    df = versions(spark, VERSIONS)
+    out = values(earliest_per_key(df, ["media_id"], ["updated_at"]), "media_id", "name")
+    assert out == [("a", "old"), ("b", "dated"), ("c", None)]
+
+
+def test_seen_events_are_left_out_and_keyless_ones_kept(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "event_key string, n int")
+    seen = spark.createDataFrame([("a",), (None,)], "event_key string")
+    assert values(events.exclude_seen(df, seen), "event_key", "n") == [("b", 2), (None, 3)]
+
+
+def test_events_keep_their_other_columns(spark):
+    df = spark.createDataFrame([("x", "1.5", "1.2.3.4", "US", "a@x")], "at string, position_s string, ip string, country string, email string")
+    out = events.protect_events(events.type_events(df), "key")
+    assert out.columns == ["at", "position_s", "country", "ip_hmac"]
+    assert (out.first().at, out.first().position_s, len(out.first().ip_hmac)) == (None, 1.5, 64)
+    bare = events.protect_events(events.type_events(df.drop("ip")), "key").first()
+    assert bare.ip_hmac is None
+    assert events.protect_events(df).first().ip_hmac is None
+
+
+def test_by_date_fills_missing_columns(spark):
+    df = spark.createDataFrame([("2025-03-04", "7", DAY, "m"), ("never", "n/a", DAY, "m")], "date string, visitors string, dt date, media_id string")
+    out = by_date.type_by_date(df)
+    assert out.columns == ["day", "load_count", "play_count", "play_rate", "hours_watched", "engagement", "visitors", "dt", "media_id"]
+    assert values(out, "day", "visitors", "play_rate") == [(None, None, None), (date(2025, 3, 4), 7, None)]
+    undated = by_date.type_by_date(df.drop("date")).select("day").distinct().collect()
+    assert [row.day for row in undated] == [None]
+
+
+def test_trailing_window_includes_both_ends(spark):
+    days = fact(spark, ("2025-03-01", "m", 1, 1, 1), ("2025-03-03", "m", 1, 1, 1), ("2025-03-10", "m", 1, 1, 1), ("2025-03-11", "m", 1, 1, 1))
+    assert [str(row.dt) for row in reports.by_day(reports.trailing(days, "2025-03-10", 7)).collect()] == ["2025-03-03", "2025-03-10"]
+
+
+def test_best_videos(spark):
+    facts = fact(
+        spark,
+        ("2025-03-01", "gone", 1, 1, 1),
+        ("2025-03-03", "a", 10, 1, 3),
+        ("2025-03-04", "a", 10, 9, 3),
+        ("2025-03-10", "b", 10, 5, 5),
+        ("2025-03-10", "none", 0, 4, 2),
+    )
+    dims = dim(spark, ("a", "A", "P"), ("b", None, None))
+    out = reports.top_by_play_rate(facts, dims, "2025-03-10")
+    assert [tuple(row) for row in out.collect()] == [("A", "P", "a", 0.5, 10, 20, 6), (None, None, "b", 0.5, 5, 10, 5)]
+    assert [row.media_id for row in reports.top_by_play_rate(facts, dims, "2025-03-10", n=1).collect()] == ["a"]
+    viewed = reports.most_viewed(facts, dims, "2025-03-10").collect()
+    assert [(row.media_id, row.total_plays) for row in viewed] == [("a", 10), ("b", 5), ("none", 4)]
+    rated = reports.plays_per_visitor(facts, dims, "2025-03-10").collect()
+    assert [(row.media_id, row.plays_per_visitor) for row in rated] == [("none", 2.0), ("a", 10 / 6), ("b", 1.0), ("gone", 1.0)]
+
+
+def test_report_equals_the_plain_join_even_if_the_dim_repeats_media(spark):
+    facts = fact(spark, ("2025-03-09", "a", 4, 1, 1), ("2025-03-10", "a", 2, 1, 1), ("2025-03-10", None, 2, 2, 1))
+    dims = dim(spark, ("a", "A", "P"), ("a", "A", "P"), ("a", "B", "P"))
+    plain = (
+        facts.join(dims, "media_id", "left")
+        .groupBy("title", "project_name", "media_id")
+        .agg(F.avg("play_rate").alias("avg_play_rate"), F.sum("plays").alias("total_plays"), F.sum("loads").alias("total_loads"))
+    )
+    out = reports.top_by_play_rate(facts, dims, "2025-03-10")
+    columns = ("title", "media_id", "avg_play_rate", "total_plays", "total_loads")
+    assert values(out, *columns) == values(plain, *columns)
+
+
+def test_trend_and_freshness(spark):
+    facts = fact(spark, ("2025-03-03", "a", 3, 1, 1), ("2025-03-03", "b", 1, 1, 1), ("2025-03-02", "b", 0, 1, 1), ("2025-04-01", "b", 1, 1, 1))
+    trend = reports.daily_trend(facts, "2025-03-01", "2025-03-31").collect()
+    assert [(str(r.dt), r.plays, r.loads, r.play_rate) for r in trend] == [("2025-03-02", 1, 0, 0.0), ("2025-03-03", 2, 4, 0.5)]
+    assert reports.latest_day(facts).first().latest_dt == date(2025, 4, 1)
+    assert values(reports.rows_on_day(facts, "2025-03-03"), "rows") == [(2,)]
+    assert [row.rows for row in reports.rows_per_day(facts).collect()] == [1, 2, 1]
+    assert [r.media_id for r in reports.top_media_of_day(facts, "2025-03-03").collect()] == ["b", "a"]
+    ranged = reports.with_range(facts, "2025-03-02", "2025-03-31").first()
+    assert (ranged.start_dt, ranged.end_dt) == (date(2025, 3, 2), date(2025, 3, 31))
+
+
+def test_event_filters(spark):
+    rows = [("m", "2025-03-01T00:00:00Z", "0.5"), ("m", "2025-03-02T00:00:00Z", "n/a"), ("m", None, "0.01"), (None, "2025-03-01T12:00:00Z", None)]
+    df = spark.createDataFrame(rows, "media_id string, received_at string, percent_viewed string")
+    assert profiling.filter_events(df).count() == 4
+    assert profiling.filter_events(df, media_id="m").count() == 3
+    window = profiling.filter_events(df, since="2025-03-01T00:00:00Z", until="2025-03-02T00:00:00Z")
+    assert values(window, "received_at") == [("2025-03-01T00:00:00Z",), ("2025-03-01T12:00:00Z",)]
+    assert values(profiling.filter_events(df, min_percent=0.05), "percent_viewed") == [("0.5",)]
+
+
+def test_top_media_counts_the_nameless(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("",), (None,), (None,)], "media_id string")
+    assert [tuple(r) for r in profiling.top_media(df, 1).collect()] == [("<none>", 3)]
+
+
+PAYLOADS = [
+    '{"a": 1, "b": "2025-03-01T00:00:00Z", "c": null, "percent_viewed": 0.5}',
+    '{"a": 1.5, "b": "Text", "c": {"x": 1}, "percent_viewed": 1}',
+    '{"a": true, "b": [1], "c": 12345678901234567890, "percent_viewed": "0.9"}',
+    '{"a": 1e3}',
+    "[1]",
+]
+
+
+def test_payload_profile(spark):
+    raw = spark.createDataFrame([(p,) for p in PAYLOADS], "value string").repartition(3)
+    out = {row.key: (row.observed_in, row.types, row.null_frac) for row in profiling.payload_profile(raw).collect()}
+    assert out == {
+        "a": (4, {"int": 1, "float": 2, "bool": 1}, 0.0),
+        "b": (3, {"iso_datetime": 1, "str": 1, "array": 1}, 0.0),
+        "c": (3, {"null": 1, "object": 1, "int": 1}, 0.2),
+        "percent_viewed": (3, {"float": 1, "int": 1, "str": 1}, 0.0),
+    }
+    viewed = profiling.payload_summary(raw, min_percent=0.05).first()
+    assert tuple(viewed) == (5, 2, 4, ["a", "b", "c", "percent_viewed"])
+    assert profiling.payload_profile(raw, sample_size=2).count() == 4
+
+
+def test_watermark_probe(spark):
+    texts = [
+        '{"updated_at": "2025-03-01T10:00:00Z", "created": "2024-01-01", "modified": 5}',
+        '{"updated_at": "later", "items": [{"created": "2023-01-01 01:02:03"}, {"created": "2025-01-01T00:00:00.25Z"}]}',
+        '[{"created": "2025-03-01T10:00:00+00:00"}]',
+        "broken",
+    ]
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    out = {r.field: (r.found, r.parsed, str(r.min_ts), str(r.max_ts), r.suggested) for r in profiling.watermark_probe(raw).collect()}
+    assert out["updated_at"] == (2, 1, "2025-03-01 10:00:00", "2025-03-01 10:00:00", True)
+    assert out["created"] == (4, 3, "2023-01-01 01:02:03", "2025-01-01 00:00:00.250000", False)
+    assert out["modified"] == (0, 0, "None", "None", False)
+
+
+def test_catalog(spark):
+    rows = [(f"m{i}", None if i == 0 else "" if i == 1 else f"Clip {i}", "Video" if i % 2 else "Audio", i) for i in range(9)]
+    df = spark.createDataFrame(rows, "media_id string, name string, section string, n int")
+    page = profiling.catalog_sweep(df, "clip", "Video", "n", True, page=2, per_page=1, max_pages=2)
+    assert [row.n for row in page.collect()] == [5, 3]
+    summary = profiling.catalog_summary(df, 2).first()
+    assert (summary["count"], summary["top_titles"]) == (9, ["Clip 2", "Clip 3"])
+    titled = df.withColumn("title", F.lit("other"))
+    assert profiling.catalog_summary(titled, 2).first()["top_titles"] == ["other", "other"]
+
+
+def test_quality_checks(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,)], "event_key string")
+    assert values(quality.duplicate_event_keys(df), "event_key", "copies") == [("a", 2)]
+    seen = silver(spark, ("m", "all", 1, 1), ("n", "all", 1, 1), ("m", "one", 1, 1), ("m", None, 1, 1))
+    assert [tuple(row)[1:] for row in quality.visitor_spread(seen).collect()] == [(2, 2, 1, 2, 0.5)]
+
+
+def test_watermarks_and_next_window(spark):
+    df = spark.createDataFrame([("m", date(2025, 3, 1)), ("m", date(2025, 3, 5)), ("n", date(2025, 3, 20))], "media_id string, dt date")
+    marks = incremental.watermarks(df, "events")
+    out = values(incremental.next_window(marks, "2025-03-09"), "dataset", "media_id", "start_date", "end_date")
+    assert out == [
+        ("events", "m", date(2025, 3, 4), date(2025, 3, 9)),
+        ("events", "n", date(2025, 3, 8), date(2025, 3, 9)),
+    ]
+
+
+def test_status_log(spark):
+    log = incremental.status_row(spark, "2025-03-09", "fact", "STARTED", datetime(2025, 3, 10, 1))
+    log = incremental.log_status(log, "2025-03-09", "fact", "FAILED", datetime(2025, 3, 10, 2))
+    log = incremental.log_status(log, "2025-03-09", "dim", "STARTED", datetime(2025, 3, 10, 1))
+    out = values(incremental.latest_status(log), "run_date", "data_in_process", "status")
+    assert out == [("day#2025-03-09", "dim", "STARTED"), ("day#2025-03-09", "fact", "FAILED")]
