@@ -31,15 +31,28 @@ def protect_events(df: DataFrame, ip_key: str | bytes | None = None) -> DataFram
     return drop_pii(df)
 
 
-def dedup_events(df: DataFrame) -> DataFrame:
-    """One row per event_key: the earliest received. Records without a key cannot be copies and are all kept."""
+def first_of_each_key(df: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """The earliest received record of every event_key that `seen` does not hold. Records without a key are left out.
+
+    Both steps run on one distribution by event_key.
+    """
     keyed = earliest_per_key(df.where(F.col("event_key").isNotNull()), ["event_key"], ["received_at"])
-    return keyed.unionByName(df.where(F.col("event_key").isNull()))
+    return keyed if seen is None else exclude_seen(keyed, seen)
+
+
+def without_key(df: DataFrame) -> DataFrame:
+    return df.where(F.col("event_key").isNull())
+
+
+def dedup_events(df: DataFrame, seen: DataFrame | None = None) -> DataFrame:
+    """One row per event_key, none of those in `seen`. Records without a key cannot be copies and are all kept.
+
+    The keyless go round the shuffle: however many they are, they would all meet in one task.
+    """
+    return first_of_each_key(df, seen).unionByName(without_key(df))
 
 
-def exclude_seen(df: DataFrame, seen: DataFrame | None) -> DataFrame:
-    """Drop events whose key is already stored, such as those of the overlap day. Keyless records are kept."""
-    if seen is None:
-        return df
-    # A NULL key matches nothing, so the anti join keeps those rows.
-    return df.join(seen.select("event_key").where(F.col("event_key").isNotNull()), "event_key", "left_anti").select(*df.columns)
+def exclude_seen(df: DataFrame, seen: DataFrame) -> DataFrame:
+    """Drop events whose key is already stored, such as those of the overlap day."""
+    keys = seen.select("event_key").where(F.col("event_key").isNotNull())
+    return df.join(keys, "event_key", "left_anti").select(*df.columns)

@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelstat.functions.typing import as_double, as_timestamp
@@ -85,26 +86,18 @@ def payload_profile(
 ) -> DataFrame:
     """Per top-level key: in how many payloads it occurs, the types it takes, and the share of payloads where it is NULL.
 
-    One pass: every payload also yields one entry without a key, whose count is the number of payloads.
+    The share is of all payloads, so they are counted apart; without a filter that count parses nothing.
     """
     sample = payload_sample(raw, sample_size, min_percent, value)
-    fields = F.map_entries(F.try_variant_get("payload", "$", "map<string,variant>"))
-    entries = F.concat(
-        F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit("payload").alias("type"))),
-        F.coalesce(
-            F.transform(fields, lambda e: F.struct(e["key"].alias("key"), _payload_type(e["value"]).alias("type"))),
-            F.array().cast("array<struct<key:string,type:string>>"),
-        ),
-    )
+    payloads = sample.agg(F.count(F.lit(1))).scalar()
     counts = (
-        sample.select(F.explode(entries).alias("e"))
-        .groupBy("e.key", "e.type")
+        sample.select(F.explode(F.try_variant_get("payload", "$", "map<string,variant>")).alias("key", "node"))
+        .groupBy("key", _payload_type(F.col("node")).alias("type"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    payloads = counts.where(F.col("key").isNull()).select("n").scalar()
+    # At most one entry per type name is collected for a key.
     return (
-        counts.where(F.col("key").isNotNull())
-        .groupBy("key")
+        counts.groupBy("key")
         .agg(
             F.sum("n").alias("observed_in"),
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("type", "n")))).alias("types"),
@@ -123,14 +116,15 @@ def payload_summary(
     n_keys: int = 10,
 ) -> DataFrame:
     """Head of a profile: payloads fetched, payloads sampled, distinct keys, and the first keys by name."""
-    keys = payload_profile(raw, sample_size, min_percent, value).select("key")
-    first = keys.orderBy("key").limit(n_keys).agg(F.sort_array(F.collect_list("key"))).scalar()
-    sampled = payload_sample(raw, sample_size, min_percent, value).agg(F.count(F.lit(1))).scalar()
+    sample = payload_sample(raw, sample_size, min_percent, value)
+    fields = F.map_keys(F.try_variant_get("payload", "$", "map<string,variant>"))
+    keys = sample.select(F.explode(fields).alias("key")).distinct()
+    first = keys.orderBy("key").limit(n_keys).agg(F.sort_array(F.collect_list("key")))
     return raw.agg(F.count(F.lit(1)).alias("fetched")).select(
         "fetched",
-        sampled.alias("sampled"),
+        sample.agg(F.count(F.lit(1))).scalar().alias("sampled"),
         keys.agg(F.count(F.lit(1))).scalar().alias("distinct_keys"),
-        first.alias("top_keys"),
+        first.scalar().alias("top_keys"),
     )
 
 
@@ -186,13 +180,9 @@ def watermark_probe(
         F.min(time).alias("min_ts"),
         F.max(time).alias("max_ts"),
     )
-    usable = F.when(F.col("parsed") > 0, F.col("priority"))
-    best = fields.groupBy(*by).agg(F.min(usable).alias("_best")) if by else fields.agg(F.min(usable).alias("_best"))
-    if by:
-        marked = fields.join(best, by, "left")
-    else:
-        marked = fields.withColumn("_best", best.scalar())
-    return marked.select(
+    # One row per candidate in each group of the window.
+    usable = F.min(F.when(F.col("parsed") > 0, F.col("priority"))).over(W.partitionBy(*by))
+    return fields.select(
         *by,
         "priority",
         "field",
@@ -200,7 +190,7 @@ def watermark_probe(
         "parsed",
         "min_ts",
         "max_ts",
-        F.coalesce(F.col("priority") == F.col("_best"), F.lit(False)).alias("suggested"),
+        F.coalesce(F.col("priority") == usable, F.lit(False)).alias("suggested"),
     )
 
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from reelstat.functions.privacy import hmac_column
 from reelstat.functions.typing import as_count
 
-VISITOR_KEYS = ("dt", "media_id", "visitor_key")
+# The visitor leads: string maxima are grouped by sorting, and a sort is fastest when its first key tells rows apart.
+VISITOR_KEYS = ("visitor_key", "media_id", "dt")
 
 
 def flatten_visitors(df: DataFrame) -> DataFrame:
@@ -26,9 +27,9 @@ def flatten_visitors(df: DataFrame) -> DataFrame:
 
 def dedup_visitors(df: DataFrame) -> DataFrame:
     """One row per day, media and visitor, each column at its own maximum over the pages."""
-    return df.groupBy(*VISITOR_KEYS).agg(
-        *[F.max(name).alias(name) for name in ("load_count", "play_count", "name", "email")]
-    )
+    maxima = ("load_count", "play_count", "name", "email")
+    rows = df.groupBy(*VISITOR_KEYS).agg(*[F.max(name).alias(name) for name in maxima])
+    return rows.select("dt", "media_id", "visitor_key", *maxima)
 
 
 def pseudonymise_email(df: DataFrame, key: str | bytes | None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.functions.typing import parse_day, stamp
 from reelstat.operators.by_date import type_by_date
-from reelstat.operators.events import dedup_events, exclude_seen, protect_events, type_events
+from reelstat.operators.events import dedup_events, protect_events, type_events
 from reelstat.operators.gold import daily_fact
 from reelstat.operators.incremental import FAILED, STARTED, SUCCEEDED, status_row
 from reelstat.operators.media import flatten_media, media_snapshot, to_dim_media, upsert_dim
@@ -21,7 +21,7 @@ from reelstat.operators.quality import assert_no_pii
 from reelstat.operators.reports import today_utc
 from reelstat.operators.visitors import dedup_visitors, flatten_visitors, pseudonymise_email
 from reelstat.schemas import TABLE_DIRS, TABLES
-from reelstat.sinks.tables import write_day, write_days, write_replace
+from reelstat.sinks.tables import RECORDS_PER_FILE, write_day, write_days, write_replace
 from reelstat.sources.bronze import read_bronze
 from reelstat.sources.files import join
 from reelstat.sources.tables import read_current, read_days
@@ -103,10 +103,10 @@ def silver_events(
     raw = read_bronze(spark, input_uri, "events", [day])
     if raw is None or raw.isEmpty():
         return _skip("silver_events", day, input_uri)
-    rows = dedup_events(protect_events(type_events(raw), ip_hash_key))
     this = parse_day(day)
     near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
-    rows = exclude_seen(rows, read_days(spark, output_uri, "silver_events", near))
+    seen = read_days(spark, output_uri, "silver_events", near)
+    rows = dedup_events(protect_events(type_events(raw), ip_hash_key), seen)
     rows = assert_no_pii(_in_order(stamp(rows, "processed_at", ts), "silver_events"))
     return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
 
@@ -128,10 +128,12 @@ def silver_media_by_date(
 
 def gold_dim_media(spark: SparkSession, silver_uri: str, gold_uri: str, ts: datetime | None = None) -> int:
     snapshot = read_current(spark, silver_uri, "silver_media_snapshot")
-    if snapshot is None or snapshot.isEmpty():
+    rows = 0 if snapshot is None else snapshot.count()  # from the file footers
+    if not rows:
         print("[gold_dim_media] Snapshot is empty, nothing to write.")
         return 0
-    return write_replace(to_dim_media(snapshot, ts), join(gold_uri, TABLE_DIRS["gold_dim_media"]))
+    files = -(-rows // RECORDS_PER_FILE)
+    return write_replace(to_dim_media(snapshot, ts), join(gold_uri, TABLE_DIRS["gold_dim_media"]), files=files)
 
 
 def gold_fact_media_daily(

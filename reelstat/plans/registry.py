@@ -266,9 +266,9 @@ def events_dedup(spark, sf_dir):
 
 @query
 def events_overlap_excluded(spark, sf_dir):
-    rows = events.dedup_events(typed_events(spark, sf_dir)).select("dt", "event_key", "received_at", "media_id")
     seen = reports.on_day(typed_events(spark, sf_dir), "2024-01-09")
-    return tidy(events.exclude_seen(rows, seen))
+    rows = events.dedup_events(typed_events(spark, sf_dir), seen)
+    return tidy(rows.select("dt", "event_key", "received_at", "media_id"))
 
 
 @query

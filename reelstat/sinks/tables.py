@@ -59,14 +59,15 @@ def write_days(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def write_replace(df: DataFrame, path: str, version: str | None = None) -> int:
+def write_replace(df: DataFrame, path: str, version: str | None = None, files: int | None = None) -> int:
     """Replace a whole table by writing a new version beside the old ones, and return the rows written.
 
     The frame may read the version it replaces. Readers take the newest version with a `_SUCCESS` marker, so a
-    job that dies half-way changes nothing. A small table ends up as one file, a large one as many.
+    job that dies half-way changes nothing. `files` bounds the number of files without a shuffle; it must leave
+    no more rows to one of them than a task can write, as `rows / RECORDS_PER_FILE` does.
     """
     version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    rows, seen = _counted(cluster(df))
+    rows, seen = _counted(df if files is None else df.coalesce(files))
     (
         rows.write.mode("overwrite")
         .option("compression", COMPRESSION)

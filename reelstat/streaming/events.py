@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from reelstat.functions.typing import stamp
-from reelstat.operators.events import dedup_events, protect_events, type_events
+from reelstat.operators.events import first_of_each_key, protect_events, type_events, without_key
 from reelstat.operators.quality import assert_no_pii
 from reelstat.schemas import BRONZE, TABLE_DIRS, TABLES, table_schema
 from reelstat.sinks.tables import COMPRESSION, cluster
@@ -30,11 +30,6 @@ def read_event_stream(spark: SparkSession, root: str, max_files: int | None = No
     return with_day(with_media_id(raw, prefer="body", path=F.col("source_file")), path=F.col("source_file"))
 
 
-def _identity() -> Column:
-    """What makes an event known: its key, or for a record without one the file that brought it."""
-    return F.coalesce(F.concat(F.lit("key:"), "event_key"), F.concat(F.lit("file:"), "source_file"))
-
-
 def _stored(spark: SparkSession, path: str, days: Iterable[date]) -> DataFrame | None:
     paths = day_paths(spark, path, days)
     if not paths:
@@ -55,10 +50,14 @@ def append_new(batch: DataFrame, path: str, ip_hash_key: str | bytes | None = No
     try:
         days = [row.dt for row in batch.select("dt").distinct().collect() if row.dt is not None]
         near = {day + timedelta(days=n) for day in days for n in range(-overlap, overlap + 1)}
-        rows = dedup_events(protect_events(type_events(batch), ip_hash_key)).withColumn("_known", _identity())
+        rows = protect_events(type_events(batch), ip_hash_key)
         stored = _stored(spark, path, near)
+        keyed, keyless = first_of_each_key(rows, stored), without_key(rows)
         if stored is not None:
-            rows = rows.join(stored.select(_identity().alias("_known")), "_known", "left_anti")
+            # A record without a key is known by the file that brought it: a file belongs to one batch only.
+            files = without_key(stored).select(SOURCE_FILE.name).distinct()
+            keyless = keyless.join(files, SOURCE_FILE.name, "left_anti")
+        rows = keyed.unionByName(keyless)
         columns = [*TABLES["silver_events"][0].names, SOURCE_FILE.name, "dt", "media_id"]
         out = assert_no_pii(stamp(rows, "processed_at").select(*columns))
         (

@@ -113,7 +113,8 @@ def test_earliest_puts_null_times_last(spark):
 def test_seen_events_are_left_out_and_keyless_ones_kept(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "event_key string, n int")
     seen = spark.createDataFrame([("a",), (None,)], "event_key string")
-    assert values(events.exclude_seen(df, seen), "event_key", "n") == [("b", 2), (None, 3)]
+    df = df.withColumn("received_at", F.lit(None).cast("timestamp"))
+    assert values(events.dedup_events(df, seen), "event_key", "n") == [("b", 2), (None, 3)]
 
 
 def test_events_keep_their_other_columns(spark):
