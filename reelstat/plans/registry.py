@@ -5,6 +5,7 @@ Results carry no processing times; timestamps leave as TIMESTAMP_NTZ (UTC) and r
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,11 +14,17 @@ from pyspark.sql import types as T
 
 from reelstat.functions.privacy import drop_pii, hmac_column, redact, redact_json
 from reelstat.functions.typing import day_literal
+from reelstat.plans import jobs
 from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
-from reelstat.schemas import CATALOG_PII, EVENT_PII
-from reelstat.sinks.landing import as_json_lines
+from reelstat.schemas import CATALOG_PII, EVENT_PII, TABLE_DIRS
+from reelstat.session import shared_dir
+from reelstat.sinks.landing import as_json_lines, land_bronze
+from reelstat.sinks.tables import write_replace
 from reelstat.sources import bronze
 from reelstat.sources import star_tables as star
+from reelstat.sources.files import join
+from reelstat.sources.tables import read_current, read_days
+from reelstat.streaming.events import stream_events
 
 AS_OF = "2024-01-30"
 DAY = "2024-01-10"
@@ -383,3 +390,59 @@ def watermarks(spark, sf_dir):
 @query
 def run_status_latest(spark, sf_dir):
     return tidy(incremental.latest_status(star.run_status_raw(spark, sf_dir)))
+
+
+# By way of files: the whole table landed in bronze as one batch day, through the day's jobs, and read again
+
+
+def _landed(spark: SparkSession, raw: DataFrame, dataset: str) -> jobs.Roots:
+    root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
+    roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])
+    land_bronze(raw, roots.bronze, dataset, DAY)
+    return roots
+
+
+@query
+def fact_through_files(spark, sf_dir):
+    roots = _landed(spark, star.visitors_raw(spark, sf_dir), "visitors")
+    jobs.silver_visitors(spark, roots.bronze, roots.silver, DAY)
+    jobs.gold_fact_media_daily(spark, roots.silver, roots.gold, DAY)
+    return tidy(read_days(spark, roots.gold, "gold_fact_media_daily", [DAY]).drop("gold_ingested_at"), "play_rate")
+
+
+@query
+def by_date_through_files(spark, sf_dir):
+    roots = _landed(spark, star.by_date_raw(spark, sf_dir), "media_by_date")
+    jobs.silver_media_by_date(spark, roots.bronze, roots.silver, DAY)
+    rows = read_days(spark, roots.silver, "silver_media_by_date", [DAY])
+    return tidy(rows.drop("processed_at"), "play_rate", "engagement")
+
+
+_EVENT_COLUMNS = ["dt", "event_key", "received_at", "at", "event_type", "media_id", "position_s", "percent_viewed"]
+_EVENT_COLUMNS += ["country", "region", "visitor_key", "ip_hmac", "conversion_data"]
+
+
+@query
+def events_through_files(spark, sf_dir):
+    roots = _landed(spark, star.events_raw(spark, sf_dir), "events")
+    jobs.silver_events(spark, roots.bronze, roots.silver, DAY, HMAC_KEY)
+    return tidy(read_days(spark, roots.silver, "silver_events", [DAY]).select(*_EVENT_COLUMNS), "percent_viewed")
+
+
+@query
+def events_through_stream(spark, sf_dir):
+    roots = _landed(spark, star.events_raw(spark, sf_dir), "events")
+    stream_events(spark, roots.bronze, roots.silver, join(roots.bronze, "_checkpoint"), HMAC_KEY).awaitTermination()
+    return tidy(read_days(spark, roots.silver, "silver_events", [DAY]).select(*_EVENT_COLUMNS), "percent_viewed")
+
+
+@query
+def dim_through_files(spark, sf_dir):
+    root, rows = join(shared_dir(spark), f"registered-{uuid.uuid4()}"), history(spark, sf_dir)
+    path = join(root, TABLE_DIRS["silver_media_snapshot"])
+    for part in (F.col("dt") < day_literal("1998-01-01"), F.col("dt") >= day_literal("1998-01-01")):
+        current = read_current(spark, root, "silver_media_snapshot")
+        current = None if current is None else current.drop("ingested_at")
+        write_replace(media.upsert_dim(current, media.media_snapshot(rows.where(part))), path)
+    write_replace(media.to_dim_media(read_current(spark, root, "silver_media_snapshot")), join(root, TABLE_DIRS["gold_dim_media"]))
+    return tidy(read_current(spark, root, "gold_dim_media").drop("silver_ingested_at", "gold_ingested_at"), "progress")

@@ -382,3 +382,21 @@ ORACLES = {
                max(ts) AS updated_at
         FROM events GROUP BY 1, 2""",
 }
+
+# By way of files the whole table is one batch day, and a media_id that is empty comes back from its directory as NULL.
+_ONE_DAY = f"DATE '{DAY}' AS dt"
+
+ORACLES["fact_through_files"] = f"""
+    WITH visitors_flat AS (SELECT * REPLACE ({_ONE_DAY}) FROM ({_CTES['visitors_flat']})),
+    silver_visitors AS ({_CTES['silver_visitors']}), fact AS ({_CTES['fact']})
+    SELECT {_FACT} FROM fact"""
+ORACLES["by_date_through_files"] = f"SELECT * REPLACE ({_ONE_DAY}) FROM ({ORACLES['by_date_typed']})"
+ORACLES["events_through_files"] = _sql(
+    f"""SELECT {_ONE_DAY}, event_key, ts AS received_at, "at", event_type, nullif(media_id, '') AS media_id, position_s,
+               round(percent_viewed, 9) AS percent_viewed, country, region, visitor_key, {_hmac('ip')} AS ip_hmac,
+               CASE WHEN event_type = 'purchase' THEN '{{"email":"<redacted>","n":' || event_id || '}}' END AS conversion_data
+        FROM events_once""",
+    "events_once",
+)
+ORACLES["events_through_stream"] = ORACLES["events_through_files"]
+ORACLES["dim_through_files"] = ORACLES["dim_media"]

@@ -13,6 +13,9 @@ from reelstat.functions.typing import day_literal
 from reelstat.schemas import BRONZE, MEDIA_ID_FROM_PATH
 from reelstat.sources.files import day_paths, join, read_or_none
 
+# Fixed value: the directory name Spark gives to rows whose partition value is NULL or empty.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 _PARTITIONS = [T.StructField("dt", T.DateType()), T.StructField("media_id", T.StringType())]
 
 
@@ -23,7 +26,7 @@ def path_value(path: Column, key: str) -> Column:
     hold, hence the two decodings. A plus sign is not an encoding in a path and is kept.
     """
     raw = F.regexp_extract(path, rf"[/\\]{key}=([^/\\]+)[/\\]", 1)
-    return F.nullif(_percent_decode(_percent_decode(raw)), F.lit(""))
+    return F.when(~raw.isin("", _NO_VALUE), _percent_decode(_percent_decode(raw)))
 
 
 def _percent_decode(text: Column) -> Column:

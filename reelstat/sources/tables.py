@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.schemas import TABLE_DIRS, table_schema
-from reelstat.sources.files import day_paths, join, list_names, read_or_none
+from reelstat.sources.files import day_paths, exists, join, list_names, read_or_none
 
 
 def read_days(
@@ -37,5 +37,7 @@ def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None
     if location is None:
         if any(name.startswith("version=") for name in list_names(spark, path)):
             return None
+        if not exists(spark, path):
+            return None
         location = path  # a table written flat, without versions
     return read_or_none(lambda: spark.read.schema(table_schema(table)).parquet(location))
