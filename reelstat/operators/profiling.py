@@ -6,7 +6,6 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelstat.functions.typing import as_double, as_timestamp
@@ -47,18 +46,18 @@ def top_media(events: DataFrame, n: int = 10) -> DataFrame:
     return top_k(events.groupBy(media.alias("media_id")).agg(F.count(F.lit(1)).alias("events")), "events", "media_id", n)
 
 
-def _payload_type(node: Column) -> Column:
-    """Type name of a JSON value. A string with a `T` that ends in `Z` counts as a date-time."""
-    kind = F.schema_of_variant(node)
+def _payload_type(kind: Column, node: Column) -> Column:
+    """Type name of a JSON value, given its schema text. A string with a `T` that ends in `Z` counts as a date-time."""
     text = F.try_variant_get(node, "$", "string")
     # Whole numbers beyond BIGINT have at least 19 digits and no scale; every other decimal had a fraction.
     digits = F.regexp_extract(kind, r"^DECIMAL\((\d+),0\)$", 1).try_cast("int")
     return (
-        F.when(kind == "VOID", "null")
+        F.when(kind == "STRING", F.when(text.contains("T") & text.endswith("Z"), "iso_datetime").otherwise("str"))
+        .when(kind == "BIGINT", "int")
+        .when(kind.startswith("DECIMAL"), F.when(digits >= 19, "int").otherwise("float"))
+        .when(kind.isin("DOUBLE", "FLOAT"), "float")
         .when(kind == "BOOLEAN", "bool")
-        .when((kind == "BIGINT") | (digits >= 19), "int")
-        .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), "float")
-        .when(kind == "STRING", F.when(text.contains("T") & text.endswith("Z"), "iso_datetime").otherwise("str"))
+        .when(kind == "VOID", "null")
         .when(kind.startswith("OBJECT"), "object")
         .when(kind.startswith("ARRAY"), "array")
         .otherwise(F.lower(kind))
@@ -73,7 +72,7 @@ def payload_sample(
     df = raw.select(F.col(value).alias("_text"), F.try_parse_json(F.col(value)).alias("payload"))
     if min_percent is not None:
         percent = F.try_variant_get("payload", "$.percent_viewed", "variant")
-        numeric = _payload_type(percent).isin("int", "float")
+        numeric = F.schema_of_variant(percent).rlike("^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$")
         df = df.where(numeric & (F.try_variant_get(percent, "$", "double") >= min_percent))
     if sample_size is not None:
         order = [F.try_variant_get("payload", f"$.{name}", "string") for name in ("received_at", "event_key")]
@@ -92,7 +91,8 @@ def payload_profile(
     payloads = sample.agg(F.count(F.lit(1))).scalar()
     counts = (
         sample.select(F.explode(F.try_variant_get("payload", "$", "map<string,variant>")).alias("key", "node"))
-        .groupBy("key", _payload_type(F.col("node")).alias("type"))
+        .select("key", "node", F.schema_of_variant("node").alias("kind"))  # once per value
+        .groupBy("key", _payload_type(F.col("kind"), F.col("node")).alias("type"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # At most one entry per type name is collected for a key.
@@ -128,10 +128,19 @@ def payload_summary(
     )
 
 
+# The four accepted forms of a watermark value, each with the shape that tells it apart.
+_PROBE_FORMS = (
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}Z$", "yyyy-M-d'T'H:m:s'Z'"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2}\.\d{1,6}Z$", "yyyy-M-d'T'H:m:s.SSSSSS'Z'"),
+    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
+    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
+)
+
+
 def probe_time(text: Column) -> Column:
-    """The four accepted forms of a watermark value, read as UTC; NULL for any other text."""
-    forms = ("yyyy-M-d'T'H:m:s'Z'", "yyyy-M-d'T'H:m:s.SSSSSS'Z'", "yyyy-M-d H:m:s", "yyyy-M-d")
-    return F.coalesce(*[F.try_to_timestamp(text, F.lit(form)) for form in forms])
+    """A watermark value read as UTC; NULL for text of any other form. The shape is matched first because a failed
+    parse costs far more than a pattern."""
+    return F.coalesce(*[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))) for shape, form in _PROBE_FORMS])
 
 
 def watermark_probe(
@@ -146,51 +155,58 @@ def watermark_probe(
     candidate with usable times, per group of `by`.
     """
     by, names = list(by), list(candidates)
-    node = F.try_parse_json(F.col(value))
+    node = F.col("_node")
+    empty = F.array().cast("array<variant>")
 
     def listed(v: Column) -> Column:
-        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), F.array().cast("array<variant>"))
-
-    is_list = F.schema_of_variant(node).startswith("ARRAY")
-    top = F.when(is_list, listed(node)).otherwise(F.array(node))
-    nested = F.flatten(F.transform(top, lambda v: listed(F.try_variant_get(v, "$.items", "variant"))))
-
-    def found(v: Column) -> Column:
-        return F.array(
-            *[
-                F.struct(
-                    F.lit(rank).alias("priority"),
-                    F.lit(name).alias("field"),
-                    F.when(
-                        F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant")) == "STRING",
-                        F.try_variant_get(v, f"$.{name}", "string"),
-                    ).alias("text"),
-                )
-                for rank, name in enumerate(names)
-            ]
-        )
-
-    values = raw.select(*by, F.explode(F.concat(top, nested)).alias("node")).select(
-        *by, F.inline(found(F.col("node")))
+        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), empty)
+
+    top = F.when(F.schema_of_variant(node).startswith("ARRAY"), listed(node)).otherwise(F.array(node))
+    nested = F.flatten(F.transform(F.col("_top"), lambda v: listed(F.try_variant_get(v, "$.items", "variant"))))
+    nodes = (
+        raw.select(*by, F.try_parse_json(F.col(value)).alias("_node"))
+        .select(*by, top.alias("_top"))
+        .select(*by, F.explode(F.concat("_top", nested)).alias("_node"))
     )
-    time = probe_time(F.col("text"))
-    fields = values.groupBy(*by, "priority", "field").agg(
-        F.count("text").alias("found"),
-        F.count(time).alias("parsed"),
-        F.min(time).alias("min_ts"),
-        F.max(time).alias("max_ts"),
+
+    def string_at(name: str) -> Column:
+        kind = F.schema_of_variant(F.try_variant_get(node, f"$.{name}", "variant"))
+        return F.when(kind == "STRING", F.try_variant_get(node, f"$.{name}", "string"))
+
+    texts = nodes.select(*by, *[string_at(name).alias(f"text_{i}") for i, name in enumerate(names)])
+    times = texts.select("*", *[probe_time(F.col(f"text_{i}")).alias(f"time_{i}") for i in range(len(names))])
+    # One row per group; a payload contributes to all candidates at once.
+    totals = times.groupBy(*by).agg(
+        *[
+            measure
+            for i in range(len(names))
+            for measure in (
+                F.count(f"text_{i}").alias(f"found_{i}"),
+                F.count(f"time_{i}").alias(f"parsed_{i}"),
+                F.min(f"time_{i}").alias(f"min_{i}"),
+                F.max(f"time_{i}").alias(f"max_{i}"),
+            )
+        ]
     )
-    # One row per candidate in each group of the window.
-    usable = F.min(F.when(F.col("parsed") > 0, F.col("priority"))).over(W.partitionBy(*by))
-    return fields.select(
+    best = F.coalesce(*[F.when(F.col(f"parsed_{i}") > 0, F.lit(i)) for i in range(len(names))], F.lit(-1))
+    return totals.select(
         *by,
-        "priority",
-        "field",
-        "found",
-        "parsed",
-        "min_ts",
-        "max_ts",
-        F.coalesce(F.col("priority") == usable, F.lit(False)).alias("suggested"),
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(i).alias("priority"),
+                        F.lit(name).alias("field"),
+                        F.col(f"found_{i}").alias("found"),
+                        F.col(f"parsed_{i}").alias("parsed"),
+                        F.col(f"min_{i}").alias("min_ts"),
+                        F.col(f"max_{i}").alias("max_ts"),
+                        (best == i).alias("suggested"),
+                    )
+                    for i, name in enumerate(names)
+                ]
+            )
+        ),
     )
 
 

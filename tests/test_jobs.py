@@ -223,3 +223,23 @@ def test_default_day_is_yesterday(spark, roots, land):
     yesterday = (jobs.today_utc() - timedelta(days=1)).isoformat()
     land("visitors", yesterday, "m1", [visitor("a", 1, 1)])
     assert jobs.run_day(spark, None, roots)["gold_fact_media_daily"] == 1
+
+
+def test_command_lines(spark, roots, land, capsys):
+    from reelstat.plans import cli
+
+    everything(land, DAY, "m1")
+    silver = ["--input-uri", roots.bronze, "--output-uri", roots.silver, "--day", DAY, "--job-bookmark=secret", "x"]
+    gold = ["--silver-uri", roots.silver, "--gold-uri", roots.gold, "--day", DAY]
+    assert cli.silver_visitors(silver) == 2
+    assert cli.silver_media([*silver, "--no-snapshot"]) == 1
+    assert cli.gold_dim_media(gold) == 0
+    assert cli.silver_media(silver) == 1
+    assert cli.silver_events([*silver, "--ip-hash-key", "k"]) == 1
+    assert cli.silver_media_by_date(silver) == 1
+    assert cli.gold_dim_media(gold) == 1
+    assert cli.gold_fact_media_daily(gold) == 1
+    out = capsys.readouterr().out
+    assert "Ignoring unknown arguments: ['--job-bookmark']" in out and "secret" not in out
+    roots_args = ["--bronze-uri", roots.bronze, "--silver-uri", roots.silver, "--gold-uri", roots.gold]
+    assert list(cli.run_days([*roots_args, "--day", f"{NEXT},{DAY}"])) == [date(2025, 3, 4), date(2025, 3, 5)]
