@@ -6,6 +6,7 @@ from collections.abc import Iterable
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelstat.functions.typing import as_double, as_timestamp
@@ -85,25 +86,31 @@ def payload_profile(
 ) -> DataFrame:
     """Per top-level key: in how many payloads it occurs, the types it takes, and the share of payloads where it is NULL.
 
-    The share is of all payloads, so they are counted apart; without a filter that count parses nothing.
+    The share is of all payloads. A sample, which is small and in one place, is counted on the way; otherwise the
+    payloads are counted apart, and without a filter that count parses nothing.
     """
     sample = payload_sample(raw, sample_size, min_percent, value)
-    payloads = sample.agg(F.count(F.lit(1))).scalar()
+    if sample_size is None:
+        extra, total = [], sample.agg(F.count(F.lit(1))).scalar()
+    else:
+        sample = sample.withColumn("_payloads", F.count(F.lit(1)).over(W.partitionBy(F.lit(1))))
+        extra, total = ["_payloads"], F.col("_payloads")
+    fields = F.explode(F.try_variant_get("payload", "$", "map<string,variant>")).alias("key", "node")
     counts = (
-        sample.select(F.explode(F.try_variant_get("payload", "$", "map<string,variant>")).alias("key", "node"))
-        .select("key", "node", F.schema_of_variant("node").alias("kind"))  # once per value
-        .groupBy("key", _payload_type(F.col("kind"), F.col("node")).alias("type"))
+        sample.select(*extra, fields)
+        .select(*extra, "key", "node", F.schema_of_variant("node").alias("kind"))  # once per value
+        .groupBy(*extra, "key", _payload_type(F.col("kind"), F.col("node")).alias("type"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
     # At most one entry per type name is collected for a key.
     return (
-        counts.groupBy("key")
+        counts.groupBy(*extra, "key")
         .agg(
             F.sum("n").alias("observed_in"),
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("type", "n")))).alias("types"),
             F.sum(F.when(F.col("type") == "null", F.col("n")).otherwise(0)).alias("nulls"),
         )
-        .select("key", "observed_in", "types", F.round(F.col("nulls") / payloads, 3).alias("null_frac"))
+        .select("key", "observed_in", "types", F.round(F.col("nulls") / total, 3).alias("null_frac"))
         .orderBy("key")
     )
 

@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.functions.typing import parse_day, stamp
@@ -106,9 +107,14 @@ def silver_events(
     this = parse_day(day)
     near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
     seen = read_days(spark, output_uri, "silver_events", near)
-    rows = dedup_events(protect_events(type_events(raw), ip_hash_key), seen)
-    rows = assert_no_pii(_in_order(stamp(rows, "processed_at", ts), "silver_events"))
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
+    # Records with and without a key part ways below; kept on disk, the JSON is parsed once for both.
+    parsed = protect_events(type_events(raw), ip_hash_key).persist(StorageLevel.DISK_ONLY)
+    try:
+        rows = stamp(dedup_events(parsed, seen), "processed_at", ts)
+        rows = assert_no_pii(_in_order(rows, "silver_events"))
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
+    finally:
+        parsed.unpersist()
 
 
 def silver_media_by_date(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,7 +47,8 @@ def append_new(batch: DataFrame, path: str, ip_hash_key: str | bytes | None = No
     behind and no state to grow, since an old day is compared with that day's table.
     """
     spark = batch.sparkSession
-    batch = batch.persist()  # read several times below; lost blocks are read again from the files
+    # Read several times below. Lost blocks are read again from the files.
+    batch = batch.persist(StorageLevel.DISK_ONLY)
     try:
         days = [row.dt for row in batch.select("dt").distinct().collect() if row.dt is not None]
         near = {day + timedelta(days=n) for day in days for n in range(-overlap, overlap + 1)}
