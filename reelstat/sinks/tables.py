@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reelstat.sources.files import day_path, join
+from reelstat.sources.files import day_path, join, remove_dir, replace_dir
 
 COMPRESSION = "snappy"
 
@@ -29,18 +30,24 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def write_day(df: DataFrame, path: str, day: str | date, media_dirs: bool = True) -> int:
     """Replace one day of a table and return the rows written.
 
-    The day's directory is overwritten as a whole, so media that are gone from the batch leave nothing behind
-    and other days are untouched. `media_dirs=False` keeps media_id as a sorted data column instead of one
-    directory per media, for days with many thousand media.
+    The day is written beside the table and then put in its place as a whole: media that are gone from the batch
+    leave nothing behind, other days are untouched, and a job that fails leaves the day as it was.
+    `media_dirs=False` keeps media_id as a sorted data column instead of one directory per media, for days with
+    many thousand media.
     """
     rows, seen = _counted(cluster(df.drop("dt"), "media_id"))
     if not media_dirs:
         rows = rows.sortWithinPartitions("media_id")
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer = writer.option("compression", COMPRESSION).option("maxRecordsPerFile", RECORDS_PER_FILE)
+    writer = rows.write.option("compression", COMPRESSION).option("maxRecordsPerFile", RECORDS_PER_FILE)
     if media_dirs:
         writer = writer.partitionBy("media_id")
-    writer.parquet(day_path(path, day))
+    staged = join(path, f"_staged-{uuid.uuid4()}")  # a name that readers of the table ignore
+    try:
+        writer.parquet(staged)
+    except Exception:
+        remove_dir(df.sparkSession, staged)
+        raise
+    replace_dir(df.sparkSession, staged, day_path(path, day))
     return seen.get["rows"]
 
 

@@ -29,6 +29,21 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hadoop_path)
 
 
+def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished directory in the place of another. Between the two steps the target is missing, not half-written."""
+    fs, source = _filesystem(spark, staged)
+    _, goal = _filesystem(spark, target)
+    fs.delete(goal, True)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(source, goal):
+        raise OSError(f"could not move {staged} to {target}")
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = _filesystem(spark, path)
+    fs.delete(hadoop_path, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names directly under a directory; none if it does not exist."""
     fs, hadoop_path = _filesystem(spark, path)

@@ -22,6 +22,11 @@ def read_days(
     return read_or_none(lambda: spark.read.schema(table_schema(table)).option("basePath", base).parquet(*paths))
 
 
+def read_table(spark: SparkSession, db: str, table: str) -> DataFrame:
+    """A table or view of the catalog by name."""
+    return spark.table(f"{db}.{table}")
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Directory of the newest complete version written by `write_replace`, or None."""
     for name in reversed(list_names(spark, path)):

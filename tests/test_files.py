@@ -9,13 +9,14 @@ from conftest import values
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from reelstat.operators.reports import top_by_play_rate
 from reelstat.operators.visitors import flatten_visitors
 from reelstat.sinks.catalog import create_tables, create_views, repair
 from reelstat.sinks.landing import land_bronze
 from reelstat.sinks.tables import write_day, write_days, write_replace
 from reelstat.sources.bronze import path_value, read_bronze
 from reelstat.sources.files import read_or_none
-from reelstat.sources.tables import current_version, read_current, read_days
+from reelstat.sources.tables import current_version, read_current, read_days, read_table
 
 DAY = "2025-03-04"
 
@@ -88,6 +89,17 @@ def test_day_rerun_leaves_no_stale_rows(spark, tmp_path, media_dirs):
         assert kept == [(date(2025, 3, 4), "a", 9), (date(2025, 3, 5), "b", 3)]
 
 
+@pytest.mark.parametrize("media_dirs", [True, False])
+def test_a_failed_write_leaves_the_day_as_it_was(spark, tmp_path, media_dirs):
+    path = str(tmp_path / "visitors")
+    rows = visitors(spark, ("2025-03-04", "a", "v", 1))
+    write_day(rows, path, "2025-03-04", media_dirs)
+    with pytest.raises(Exception, match="broken"):
+        write_day(rows.withColumn("load_count", F.raise_error(F.lit("broken"))), path, "2025-03-04", media_dirs)
+    assert values(read_days(spark, str(tmp_path), "silver_visitors"), "media_id", "load_count") == [("a", 1)]
+    assert sorted(p.name for p in Path(path).iterdir()) == ["dt=2025-03-04"]
+
+
 def test_read_days_lists_only_its_days(spark, tmp_path):
     root = str(tmp_path)
     for n in (3, 4):
@@ -163,4 +175,6 @@ def test_catalog_tables_and_view(spark, tmp_path):
         "dt", "media_id", "title", "project_name", "unique_visitors", "loads", "plays", "play_rate"
     ]
     assert values(spark.table(view), "dt", "media_id", "title", "plays") == [(date(2025, 3, 4), "a", "new", 1)]
+    top = top_by_play_rate(read_table(spark, db, "gold_fact_media_daily"), read_table(spark, db, "gold_dim_media"), "2025-03-05")
+    assert values(top, "title", "avg_play_rate") == [("new", 0.5)]
     spark.sql(f"DROP DATABASE {db} CASCADE")
