@@ -156,6 +156,11 @@ def redact_variant(value: Column, keys: Iterable[str] = EVENT_PII, null_too: boo
     return F.when(value.isNotNull(), level(value, depth))
 
 
+def redact_nested(text: Column, keys: Iterable[str] = EVENT_PII) -> Column:
+    """`redact_json` for a field that mostly holds plain text: only objects and arrays are touched."""
+    return F.when(text.rlike(r"^\s*[\[{]"), redact_json(text, keys)).otherwise(text)
+
+
 def redact_json(text: Column, keys: Iterable[str] = EVENT_PII, null_too: bool = False, depth: int = 3) -> Column:
     """`redact_variant` over JSON text. Text that is not JSON cannot be walked and is replaced as a whole."""
     parsed = F.try_parse_json(text)

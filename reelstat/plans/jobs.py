@@ -11,7 +11,9 @@ from datetime import date, datetime, timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from reelstat.functions.privacy import redact_nested
 from reelstat.functions.typing import parse_day, stamp
 from reelstat.operators.by_date import type_by_date
 from reelstat.operators.events import dedup_events, protect_events, type_events
@@ -28,6 +30,10 @@ from reelstat.sources.files import join
 from reelstat.sources.tables import read_current, read_days
 
 
+# A week of daily runs; a reader that started on an older version has long finished.
+VERSIONS_KEPT = 7
+
+
 def yesterday_utc() -> date:
     return today_utc() - timedelta(days=1)
 
@@ -37,10 +43,10 @@ def _skip(job: str, day: str | date, where: str) -> int:
     return 0
 
 
-def _in_order(df: DataFrame, table: str) -> DataFrame:
-    """The contract's columns in its order; a table column the input cannot have becomes a typed NULL."""
+def _in_order(df: DataFrame, table: str, extra: Iterable[str] = ()) -> DataFrame:
+    """The contract's columns in its order, with any further ones before the partition columns."""
     data, partitions = TABLES[table]
-    return df.select(*[f.name for f in data.fields + partitions.fields])
+    return df.select(*data.names, *extra, *partitions.names)
 
 
 def silver_visitors(
@@ -82,7 +88,7 @@ def silver_media(
         batch = media_snapshot(read_days(spark, output_uri, "silver_media_history", [day]))
         current = upsert_dim(read_current(spark, output_uri, "silver_media_snapshot"), batch)
         current = _in_order(current, "silver_media_snapshot")
-        write_replace(current, join(output_uri, TABLE_DIRS["silver_media_snapshot"]))
+        write_replace(current, join(output_uri, TABLE_DIRS["silver_media_snapshot"]), keep=VERSIONS_KEPT)
     return written
 
 
@@ -94,24 +100,27 @@ def silver_events(
     ip_hash_key: str | None = None,
     overlap: int = 1,
     media_dirs: bool = True,
+    extra: Iterable[str] = (),
     ts: datetime | None = None,
 ) -> int:
-    """Typed, protected and deduplicated events of one batch day.
+    """Typed, protected and deduplicated events of one batch day. `extra` names further fields to keep, as text.
 
     The source is re-read with `overlap` days, so an event may arrive under several batch days. It is kept under
     the one that stored it first: keys in the neighbouring days' tables are left out here.
     """
-    raw = read_bronze(spark, input_uri, "events", [day])
+    extra = list(extra)
+    raw = read_bronze(spark, input_uri, "events", [day], extra)
     if raw is None or raw.isEmpty():
         return _skip("silver_events", day, input_uri)
     this = parse_day(day)
     near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
     seen = read_days(spark, output_uri, "silver_events", near)
     # Records with and without a key part ways below; kept on disk, the JSON is parsed once for both.
-    parsed = protect_events(type_events(raw), ip_hash_key).persist(StorageLevel.DISK_ONLY)
+    parsed = protect_events(type_events(raw), ip_hash_key)
+    parsed = parsed.withColumns({name: redact_nested(F.col(name)) for name in extra}).persist(StorageLevel.DISK_ONLY)
     try:
         rows = stamp(dedup_events(parsed, seen), "processed_at", ts)
-        rows = assert_no_pii(_in_order(rows, "silver_events"))
+        rows = assert_no_pii(_in_order(rows, "silver_events", extra))
         return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
     finally:
         parsed.unpersist()
@@ -139,7 +148,8 @@ def gold_dim_media(spark: SparkSession, silver_uri: str, gold_uri: str, ts: date
         print("[gold_dim_media] Snapshot is empty, nothing to write.")
         return 0
     files = -(-rows // RECORDS_PER_FILE)
-    return write_replace(to_dim_media(snapshot, ts), join(gold_uri, TABLE_DIRS["gold_dim_media"]), files=files)
+    path = join(gold_uri, TABLE_DIRS["gold_dim_media"])
+    return write_replace(to_dim_media(snapshot, ts), path, files=files, keep=VERSIONS_KEPT)
 
 
 def gold_fact_media_daily(

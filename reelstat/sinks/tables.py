@@ -8,7 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from reelstat.sources.files import day_path, join, remove_dir, replace_dir
+from reelstat.sources.files import complete_versions, day_path, join, remove_dir, replace_dir
 
 COMPRESSION = "snappy"
 
@@ -66,12 +66,15 @@ def write_days(df: DataFrame, path: str) -> int:
     return seen.get["rows"]
 
 
-def write_replace(df: DataFrame, path: str, version: str | None = None, files: int | None = None) -> int:
+def write_replace(
+    df: DataFrame, path: str, version: str | None = None, files: int | None = None, keep: int | None = None
+) -> int:
     """Replace a whole table by writing a new version beside the old ones, and return the rows written.
 
     The frame may read the version it replaces. Readers take the newest version with a `_SUCCESS` marker, so a
     job that dies half-way changes nothing. `files` bounds the number of files without a shuffle; it must leave
-    no more rows to one of them than a task can write, as `rows / RECORDS_PER_FILE` does.
+    no more rows to one of them than a task can write, as `rows / RECORDS_PER_FILE` does. `keep` removes all but
+    that many of the newest complete versions once the new one is complete.
     """
     version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     rows, seen = _counted(df if files is None else df.coalesce(files))
@@ -81,4 +84,7 @@ def write_replace(df: DataFrame, path: str, version: str | None = None, files: i
         .option("maxRecordsPerFile", RECORDS_PER_FILE)
         .parquet(join(path, f"version={version}"))
     )
+    if keep is not None:
+        for old in complete_versions(df.sparkSession, path)[max(keep, 1) :]:
+            remove_dir(df.sparkSession, old)
     return seen.get["rows"]

@@ -51,22 +51,30 @@ def with_day(df: DataFrame, day: str | date | None = None, path: Column | None =
 
 
 def read_bronze(
-    spark: SparkSession, root: str, dataset: str, days: Iterable[str | date] | None = None
+    spark: SparkSession,
+    root: str,
+    dataset: str,
+    days: Iterable[str | date] | None = None,
+    extra: Iterable[str] = (),
 ) -> DataFrame | None:
     """All records of a dataset on the given days (all days if None), with `dt` and `media_id`.
 
     None if no day directory exists. Zero-byte files give no rows. The schema is explicit, so there is no
-    inference pass over the files.
+    inference pass over the files; `extra` names further fields to read, as text.
     """
     base = join(root, dataset)
     paths = day_paths(spark, base, days)
     if not paths:
         return None
-    schema = BRONZE[dataset]
+    schema = T.StructType(BRONZE[dataset].fields + [T.StructField(name, T.StringType()) for name in extra])
     if dataset in MEDIA_ID_FROM_PATH:
         # Partition columns in the read schema keep `0123` a string and override the record's own media_id.
         full = T.StructType(schema.fields + _PARTITIONS)
         return read_or_none(lambda: spark.read.schema(full).option("basePath", base).json(paths))
     # A media_id partition column would replace the record's value, so partition discovery is off here.
     df = read_or_none(lambda: spark.read.schema(schema).option("recursiveFileLookup", "true").json(paths))
-    return None if df is None else with_day(with_media_id(df, prefer="body"))
+    if df is None:
+        return None
+    # The path is searched per row, so only where the day is not known beforehand.
+    day = paths[0].rpartition("dt=")[2] if len(paths) == 1 else None
+    return with_day(with_media_id(df, prefer="body"), day)

@@ -52,6 +52,12 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(status.getPath().getName() for status in fs.listStatus(hadoop_path))
 
 
+def complete_versions(spark: SparkSession, path: str) -> list[str]:
+    """The `version=` directories whose write has finished, newest first."""
+    versions = [join(path, name) for name in reversed(list_names(spark, path)) if name.startswith("version=")]
+    return [version for version in versions if exists(spark, join(version, "_SUCCESS"))]
+
+
 def day_paths(spark: SparkSession, root: str, days: Iterable[str | date] | None) -> list[str]:
     """The day directories that exist. Naming them keeps the listing to those days, however long the history."""
     if days is None:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from reelstat.schemas import TABLE_DIRS, table_schema
-from reelstat.sources.files import day_paths, exists, join, list_names, read_or_none
+from reelstat.sources.files import complete_versions, day_paths, exists, join, list_names, read_or_none
 
 
 def read_days(
@@ -29,10 +29,7 @@ def read_table(spark: SparkSession, db: str, table: str) -> DataFrame:
 
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Directory of the newest complete version written by `write_replace`, or None."""
-    for name in reversed(list_names(spark, path)):
-        if name.startswith("version=") and "_SUCCESS" in list_names(spark, join(path, name)):
-            return join(path, name)
-    return None
+    return next(iter(complete_versions(spark, path)), None)
 
 
 def read_current(spark: SparkSession, root: str, table: str) -> DataFrame | None:

@@ -15,7 +15,7 @@ from reelstat.sinks.catalog import create_tables, create_views, repair
 from reelstat.sinks.landing import land_bronze
 from reelstat.sinks.tables import write_day, write_days, write_replace
 from reelstat.sources.bronze import path_value, read_bronze
-from reelstat.sources.files import read_or_none
+from reelstat.sources.files import complete_versions, read_or_none
 from reelstat.sources.tables import current_version, read_current, read_days, read_table
 
 DAY = "2025-03-04"
@@ -135,6 +135,16 @@ def test_unfinished_version_is_not_read(spark, tmp_path):
     assert read_current(spark, str(tmp_path), "silver_media_snapshot") is None
 
 
+def test_old_versions_go_only_when_a_newer_one_is_complete(spark, tmp_path):
+    df = spark.createDataFrame([("a", "one")], "media_id string, name string")
+    for n in range(1, 5):
+        write_replace(df, str(tmp_path), str(n), keep=2)
+    (tmp_path / "version=9").mkdir()
+    with pytest.raises(Exception, match="broken"):
+        write_replace(df.select(F.raise_error(F.lit("broken")).alias("name")), str(tmp_path), "5", keep=1)
+    assert [v[-9:] for v in complete_versions(spark, str(tmp_path))] == ["version=4", "version=3"]
+
+
 def test_a_flat_table_is_read_too(spark, tmp_path):
     spark.createDataFrame([("a",)], "media_id string").write.parquet(f"{tmp_path}/media_snapshot")
     assert values(read_current(spark, str(tmp_path), "silver_media_snapshot"), "media_id", "name") == [("a", None)]

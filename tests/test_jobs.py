@@ -103,6 +103,14 @@ def test_events_job(spark, roots, land):
     assert texts <= {None, '{"email":"<redacted>","n":1}'}
 
 
+def test_further_event_fields_can_be_kept(spark, roots, land):
+    land("events", DAY, "m1", [event("k1", player="p9", owner={"id": 7, "email": "a@x"}), event("k2")])
+    assert jobs.silver_events(spark, roots.bronze, roots.silver, DAY, extra=["player", "owner"]) == 2
+    stored = spark.read.parquet(f"{roots.silver}/events")
+    owner = '{"email":"<redacted>","id":7}'
+    assert values(stored, "event_key", "player", "owner") == [("k1", "p9", owner), ("k2", None, None)]
+
+
 def test_overlap_days_hold_no_event_twice(spark, roots, land):
     land("events", DAY, "m1", [event("k1"), event("k2")])
     land("events", NEXT, "m1", [event("k2"), event("k3")])
