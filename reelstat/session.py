@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="reelstat-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in spark.checkpoint.dir; a local session without one gets its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -45,6 +51,4 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir is unset: name a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="reelstat-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _own_dir()

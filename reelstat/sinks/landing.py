@@ -21,18 +21,25 @@ def as_json_lines(df: DataFrame) -> DataFrame:
 
 
 def land_bronze(
-    df: DataFrame, root: str, dataset: str, day: str | date | None = None, media_ids: Iterable[str] | None = None
+    df: DataFrame,
+    root: str,
+    dataset: str,
+    day: str | date | None = None,
+    media_ids: Iterable[str] | None = None,
+    page_rows: int = 0,
 ) -> DataFrame:
     """Replace the (dt, media_id) directories present in the frame; return the landing summary (rows, bytes per media).
 
     Each run writes files of new names, so a stream over the folder sees re-landed days. `day` stamps the batch
     day when the frame has no `dt`. Media that were asked for and have no records are in the summary with 0 rows.
+    `page_rows` limits the records of one file; 0 leaves the size to the write.
     """
     lines = as_json_lines(df if day is None else df.withColumn("dt", day_literal(day)))
     (
         cluster(lines, "dt", "media_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
+        .option("maxRecordsPerFile", page_rows)
         .partitionBy("dt", "media_id")
         .text(join(root, dataset))
     )

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date, timedelta
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,30 +46,24 @@ def append_new(batch: DataFrame, path: str, ip_hash_key: str | bytes | None = No
     behind and no state to grow, since an old day is compared with that day's table.
     """
     spark = batch.sparkSession
-    # Read several times below. Lost blocks are read again from the files.
-    batch = batch.persist(StorageLevel.DISK_ONLY)
-    try:
-        days = [row.dt for row in batch.select("dt").distinct().collect() if row.dt is not None]
-        near = {day + timedelta(days=n) for day in days for n in range(-overlap, overlap + 1)}
-        rows = protect_events(type_events(batch), ip_hash_key)
-        stored = _stored(spark, path, near)
-        keyed, keyless = first_of_each_key(rows, stored), without_key(rows)
-        if stored is not None:
-            # A record without a key is known by the file that brought it: a file belongs to one batch only.
-            files = without_key(stored).select(SOURCE_FILE.name).distinct()
-            keyless = keyless.join(files, SOURCE_FILE.name, "left_anti")
-        rows = keyed.unionByName(keyless)
-        columns = [*TABLES["silver_events"][0].names, SOURCE_FILE.name, "dt", "media_id"]
-        out = assert_no_pii(stamp(rows, "processed_at").select(*columns))
-        (
-            cluster(out, "dt", "media_id")
-            .write.mode("append")
-            .option("compression", COMPRESSION)
-            .partitionBy("dt", "media_id")
-            .parquet(path)
-        )
-    finally:
-        batch.unpersist()
+    days = [row.dt for row in batch.select("dt").distinct().collect() if row.dt is not None]
+    near = {day + timedelta(days=n) for day in days for n in range(-overlap, overlap + 1)}
+    rows = protect_events(type_events(batch), ip_hash_key)
+    stored = _stored(spark, path, near)
+    keyed, keyless = first_of_each_key(rows, stored), without_key(rows)
+    if stored is not None:
+        # A record without a key is known by the file that brought it: a file belongs to one batch only.
+        files = without_key(stored).select(SOURCE_FILE.name).distinct()
+        keyless = keyless.join(files, SOURCE_FILE.name, "left_anti")
+    columns = [*TABLES["silver_events"][0].names, SOURCE_FILE.name, "dt", "media_id"]
+    out = assert_no_pii(stamp(keyed.unionByName(keyless), "processed_at").select(*columns))
+    (
+        cluster(out, "dt", "media_id")
+        .write.mode("append")
+        .option("compression", COMPRESSION)
+        .partitionBy("dt", "media_id")
+        .parquet(path)
+    )
 
 
 def stream_events(

@@ -158,6 +158,13 @@ def test_landing_keeps_nulls_and_reports_silent_media(spark, roots):
     assert values(summary, "media_id", "rows", "bytes") == [("m1", 2, sum(len(x.encode()) for x in lines)), ("m2", 0, 0)]
 
 
+def test_landing_in_pages(spark, roots):
+    rows = spark.range(0, 25, 1, 1).selectExpr("'m' media_id", "id")
+    land_bronze(rows, roots.bronze, "events", DAY, page_rows=10)
+    assert len(list(Path(roots.bronze).rglob("part-*"))) == 3
+    assert read_bronze(spark, roots.bronze, "events", [DAY]).count() == 25
+
+
 def test_landing_again_replaces_the_media_day(spark, roots):
     rows = spark.createDataFrame([("a", 1), ("b", 1)], "media_id string, load_count int")
     land_bronze(rows, roots.bronze, "visitors", DAY)
