@@ -44,7 +44,8 @@ def sample_first(df: DataFrame, n: int = 100, order: Iterable[str] = ("received_
 def top_media(events: DataFrame, n: int = 10) -> DataFrame:
     """Media with the most events. Events of no media count under `<none>`."""
     media = F.coalesce(F.nullif(F.col("media_id"), F.lit("")), F.lit("<none>"))
-    return top_k(events.groupBy(media.alias("media_id")).agg(F.count(F.lit(1)).alias("events")), "events", "media_id", n)
+    counts = events.groupBy(media.alias("media_id")).agg(F.count(F.lit(1)).alias("events"))
+    return top_k(counts, "events", "media_id", n)
 
 
 def _payload_type(kind: Column, node: Column) -> Column:
@@ -84,7 +85,7 @@ def payload_sample(
 def payload_profile(
     raw: DataFrame, sample_size: int | None = None, min_percent: float | None = None, value: str = "value"
 ) -> DataFrame:
-    """Per top-level key: in how many payloads it occurs, the types it takes, and the share of payloads where it is NULL.
+    """Per top-level key: how many payloads have it, the types it takes, and the share of payloads where it is NULL.
 
     The share is of all payloads. A sample, which is small and in one place, is counted on the way; otherwise the
     payloads are counted apart, and without a filter that count parses nothing.
@@ -147,7 +148,9 @@ _PROBE_FORMS = (
 def probe_time(text: Column) -> Column:
     """A watermark value read as UTC; NULL for text of any other form. The shape is matched first because a failed
     parse costs far more than a pattern."""
-    return F.coalesce(*[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))) for shape, form in _PROBE_FORMS])
+    return F.coalesce(
+        *[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(form))) for shape, form in _PROBE_FORMS]
+    )
 
 
 def watermark_probe(

@@ -104,7 +104,8 @@ def most_viewed(
     fact: DataFrame, dim: DataFrame, as_of: str | date | None = None, days: int = 7, n: int = 20
 ) -> DataFrame:
     sums = {"total_plays": "plays", "total_unique_visitors": "unique_visitors"}
-    return top_k(_totals(trailing(fact, as_of, days), dim, ["title", "project_name"], sums), "total_plays", "media_id", n)
+    groups = _totals(trailing(fact, as_of, days), dim, ["title", "project_name"], sums)
+    return top_k(groups, "total_plays", "media_id", n)
 
 
 def plays_per_visitor(

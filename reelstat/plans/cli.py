@@ -22,24 +22,28 @@ def _arguments(name: str, argv: Sequence[str] | None, *required: str, **options:
     return args
 
 
+_SILVER = ("--input-uri", "--output-uri", "--day")
+_GOLD = ("--silver-uri", "--gold-uri", "--day")
 _ONE_LEVEL = {"flat_days": {"action": "store_true", "help": "keep media_id as a column, not one directory per media"}}
 
 
 def silver_visitors(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("silver_visitors", argv, "--input-uri", "--output-uri", "--day", email_hash_key={}, **_ONE_LEVEL)
+    args = _arguments("silver_visitors", argv, *_SILVER, email_hash_key={}, **_ONE_LEVEL)
     spark = session("silver-visitors")
-    return jobs.silver_visitors(spark, args.input_uri, args.output_uri, args.day, args.email_hash_key, not args.flat_days)
+    return jobs.silver_visitors(
+        spark, args.input_uri, args.output_uri, args.day, args.email_hash_key, media_dirs=not args.flat_days
+    )
 
 
 def silver_media(argv: Sequence[str] | None = None) -> int:
     skip = {"action": "store_true", "help": "leave the snapshot as it is"}
-    args = _arguments("silver_media", argv, "--input-uri", "--output-uri", "--day", no_snapshot=skip, **_ONE_LEVEL)
+    args = _arguments("silver_media", argv, *_SILVER, no_snapshot=skip, **_ONE_LEVEL)
     spark = session("silver-media")
     return jobs.silver_media(spark, args.input_uri, args.output_uri, args.day, not args.no_snapshot, not args.flat_days)
 
 
 def silver_events(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("silver_events", argv, "--input-uri", "--output-uri", "--day", ip_hash_key={}, **_ONE_LEVEL)
+    args = _arguments("silver_events", argv, *_SILVER, ip_hash_key={}, **_ONE_LEVEL)
     spark = session("silver-events")
     return jobs.silver_events(
         spark, args.input_uri, args.output_uri, args.day, args.ip_hash_key, media_dirs=not args.flat_days
@@ -47,25 +51,33 @@ def silver_events(argv: Sequence[str] | None = None) -> int:
 
 
 def silver_media_by_date(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("silver_media_by_date", argv, "--input-uri", "--output-uri", "--day", **_ONE_LEVEL)
+    args = _arguments("silver_media_by_date", argv, *_SILVER, **_ONE_LEVEL)
     spark = session("silver-media-by-date")
     return jobs.silver_media_by_date(spark, args.input_uri, args.output_uri, args.day, not args.flat_days)
 
 
 def gold_dim_media(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("gold_dim_media", argv, "--silver-uri", "--gold-uri", "--day")
+    args = _arguments("gold_dim_media", argv, *_GOLD)
     return jobs.gold_dim_media(session("gold-dim-media"), args.silver_uri, args.gold_uri)
 
 
 def gold_fact_media_daily(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("gold_fact_media_daily", argv, "--silver-uri", "--gold-uri", "--day")
+    args = _arguments("gold_fact_media_daily", argv, *_GOLD)
     return jobs.gold_fact_media_daily(session("gold-fact-media-daily"), args.silver_uri, args.gold_uri, args.day)
 
 
 def run_days(argv: Sequence[str] | None = None) -> dict:
     """All steps of the days of `--day` (comma-separated; default: yesterday, UTC)."""
     args = _arguments(
-        "run_days", argv, "--bronze-uri", "--silver-uri", "--gold-uri", status_uri={}, day={}, ip_hash_key={}, **_ONE_LEVEL
+        "run_days",
+        argv,
+        "--bronze-uri",
+        "--silver-uri",
+        "--gold-uri",
+        status_uri={},
+        day={},
+        ip_hash_key={},
+        **_ONE_LEVEL,
     )
     days = args.day.split(",") if args.day else [jobs.yesterday_utc()]
     roots = jobs.Roots(args.bronze_uri, args.silver_uri, args.gold_uri, args.status_uri)

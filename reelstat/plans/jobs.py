@@ -28,7 +28,6 @@ from reelstat.sources.bronze import read_bronze
 from reelstat.sources.files import join
 from reelstat.sources.tables import read_current, read_days
 
-
 # A week of daily runs; a reader that started on an older version has long finished.
 VERSIONS_KEPT = 7
 
@@ -150,7 +149,11 @@ def gold_dim_media(spark: SparkSession, silver_uri: str, gold_uri: str, ts: date
 
 
 def gold_fact_media_daily(
-    spark: SparkSession, silver_uri: str, gold_uri: str, days: str | date | Iterable[str | date], ts: datetime | None = None
+    spark: SparkSession,
+    silver_uri: str,
+    gold_uri: str,
+    days: str | date | Iterable[str | date],
+    ts: datetime | None = None,
 ) -> int:
     """The fact of one day, or of many days in one pass."""
     days = [days] if isinstance(days, (str, date)) else list(days)
@@ -210,7 +213,11 @@ def run_day(
 
 
 def run_days(
-    spark: SparkSession, days: Iterable[str | date], roots: Roots, ip_hash_key: str | None = None, media_dirs: bool = True
+    spark: SparkSession,
+    days: Iterable[str | date],
+    roots: Roots,
+    ip_hash_key: str | None = None,
+    media_dirs: bool = True,
 ) -> dict[date, dict[str, int]]:
     """Rerun or backfill chosen days, oldest first. Running a day again leaves the same content."""
     ordered = sorted(set(map(parse_day, days)))

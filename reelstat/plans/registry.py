@@ -14,8 +14,8 @@ from pyspark.sql import types as T
 
 from reelstat.functions.privacy import drop_pii, hmac_column, redact, redact_json
 from reelstat.functions.typing import day_literal
-from reelstat.plans import jobs
 from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
+from reelstat.plans import jobs
 from reelstat.schemas import CATALOG_PII, EVENT_PII, TABLE_DIRS
 from reelstat.session import shared_dir
 from reelstat.sinks.landing import as_json_lines, land_bronze
@@ -130,7 +130,8 @@ def media_snapshot_latest(spark, sf_dir):
 @query
 def media_snapshot_upsert(spark, sf_dir):
     rows = history(spark, sf_dir)
-    before, batch = rows.where(F.col("dt") < day_literal("1998-01-01")), rows.where(F.col("dt") >= day_literal("1998-01-01"))
+    cut = day_literal("1998-01-01")
+    before, batch = rows.where(F.col("dt") < cut), rows.where(F.col("dt") >= cut)
     return tidy(media.upsert_dim(media.media_snapshot(before), media.media_snapshot(batch)), "progress")
 
 
@@ -142,7 +143,13 @@ def dim_media(spark, sf_dir):
 @query
 def catalog_sweep(spark, sf_dir):
     rows = profiling.catalog_sweep(
-        snapshot(spark, sf_dir), search="RING", media_type="ECONOMY", sort_by="updated_at", descending=True, page=2, per_page=10
+        snapshot(spark, sf_dir),
+        search="RING",
+        media_type="ECONOMY",
+        sort_by="updated_at",
+        descending=True,
+        page=2,
+        per_page=10,
     )
     return tidy(rows, "progress")
 
@@ -262,7 +269,8 @@ def events_redacted_nulls(spark, sf_dir):
 @query
 def events_payload_redacted(spark, sf_dir):
     rows = star.events_raw(spark, sf_dir)
-    return rows.select("event_key", "received_at", redact_json(F.col("conversion_data"), EVENT_PII).alias("conversion_data"))
+    clean = redact_json(F.col("conversion_data"), EVENT_PII)
+    return rows.select("event_key", "received_at", clean.alias("conversion_data"))
 
 
 @query
@@ -315,9 +323,8 @@ def media_id_from_path(spark, sf_dir):
     )
     rows = rows.select("event_key", "received_at", "media_id", path.alias("path"))
     path_first = bronze.with_media_id(rows.withColumn("body_id", F.col("media_id")), "path", F.col("path"))
-    both = bronze.with_media_id(
-        path_first.withColumn("path_first", F.col("media_id")).withColumn("media_id", F.col("body_id")), "body", F.col("path")
-    )
+    both = path_first.withColumns({"path_first": F.col("media_id"), "media_id": F.col("body_id")})
+    both = bronze.with_media_id(both, "body", F.col("path"))
     return bronze.with_day(both, path=F.col("path")).select(
         "event_key", "received_at", "dt", "path_first", F.col("media_id").alias("body_first")
     )
@@ -354,7 +361,8 @@ def payload_profile(spark, sf_dir):
 
 @query
 def payload_profile_sample(spark, sf_dir):
-    return _flat_profile(profiling.payload_profile(star.event_payloads(spark, sf_dir), sample_size=100, min_percent=0.25))
+    raw = star.event_payloads(spark, sf_dir)
+    return _flat_profile(profiling.payload_profile(raw, sample_size=100, min_percent=0.25))
 
 
 def _flat_profile(profile: DataFrame) -> DataFrame:
@@ -380,10 +388,9 @@ def watermark_probe_by_media(spark, sf_dir):
 
 @query
 def watermarks(spark, sf_dir):
+    stopped = star.by_date_raw(spark, sf_dir).where("dt < DATE '2024-01-25'")
     loaded = fact(spark, sf_dir).select(F.lit("fact").alias("dataset"), "media_id", "dt")
-    loaded = loaded.unionByName(
-        star.by_date_raw(spark, sf_dir).where("dt < DATE '2024-01-25'").select(F.lit("media_by_date").alias("dataset"), "media_id", "dt")
-    )
+    loaded = loaded.unionByName(stopped.select(F.lit("media_by_date").alias("dataset"), "media_id", "dt"))
     return incremental.next_window(incremental.watermarks(loaded), "2024-01-29")
 
 
@@ -444,5 +451,6 @@ def dim_through_files(spark, sf_dir):
         current = read_current(spark, root, "silver_media_snapshot")
         current = None if current is None else current.drop("ingested_at")
         write_replace(media.upsert_dim(current, media.media_snapshot(rows.where(part))), path)
-    write_replace(media.to_dim_media(read_current(spark, root, "silver_media_snapshot")), join(root, TABLE_DIRS["gold_dim_media"]))
+    final = read_current(spark, root, "silver_media_snapshot")
+    write_replace(media.to_dim_media(final), join(root, TABLE_DIRS["gold_dim_media"]))
     return tidy(read_current(spark, root, "gold_dim_media").drop("silver_ingested_at", "gold_ingested_at"), "progress")

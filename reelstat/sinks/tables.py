@@ -17,7 +17,7 @@ RECORDS_PER_FILE = 10_000_000
 
 
 def cluster(df: DataFrame, *cols: str) -> DataFrame:
-    """Bring the rows of one output partition together. AQE splits a hot one over several tasks and merges small ones."""
+    """Bring the rows of one output partition together. AQE splits a hot one over tasks and merges small ones."""
     return df.hint("rebalance", *cols)
 
 

@@ -30,7 +30,7 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished directory in the place of another. Between the two steps the target is missing, not half-written."""
+    """Put a finished directory in the place of another. In between, the target is missing but never half-written."""
     fs, source = _filesystem(spark, staged)
     _, goal = _filesystem(spark, target)
     fs.delete(goal, True)
