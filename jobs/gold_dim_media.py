@@ -1,4 +1,4 @@
 from reelstat.plans.cli import gold_dim_media
 
 if __name__ == "__main__":
-    gold_dim_media()
+    print("[gold_dim_media] rows written:", gold_dim_media())

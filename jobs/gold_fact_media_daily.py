@@ -1,4 +1,4 @@
 from reelstat.plans.cli import gold_fact_media_daily
 
 if __name__ == "__main__":
-    gold_fact_media_daily()
+    print("[gold_fact_media_daily] rows written:", gold_fact_media_daily())

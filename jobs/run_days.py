@@ -1,4 +1,4 @@
 from reelstat.plans.cli import run_days
 
 if __name__ == "__main__":
-    run_days()
+    print("[run_days] rows written:", run_days())

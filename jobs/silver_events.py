@@ -1,4 +1,4 @@
 from reelstat.plans.cli import silver_events
 
 if __name__ == "__main__":
-    silver_events()
+    print("[silver_events] rows written:", silver_events())

@@ -1,4 +1,4 @@
 from reelstat.plans.cli import silver_media
 
 if __name__ == "__main__":
-    silver_media()
+    print("[silver_media] rows written:", silver_media())

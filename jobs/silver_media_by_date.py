@@ -1,4 +1,4 @@
 from reelstat.plans.cli import silver_media_by_date
 
 if __name__ == "__main__":
-    silver_media_by_date()
+    print("[silver_media_by_date] rows written:", silver_media_by_date())

@@ -1,4 +1,4 @@
 from reelstat.plans.cli import silver_visitors
 
 if __name__ == "__main__":
-    silver_visitors()
+    print("[silver_visitors] rows written:", silver_visitors())

@@ -27,20 +27,30 @@ def type_by_date(df: DataFrame) -> DataFrame:
     )
 
 
+def derived_rates(stats: DataFrame) -> DataFrame:
+    """Both ways to derive a play rate from reported counts; a reported play_rate need not equal either."""
+    return stats.withColumns(
+        {
+            "plays_per_load": F.try_divide(F.col("play_count"), F.col("load_count")),
+            "plays_per_visitor": F.try_divide(F.col("play_count"), F.col("visitors")),
+        }
+    )
+
+
 def reconcile(by_date: DataFrame, fact: DataFrame) -> DataFrame:
     """Reported statistics beside the daily fact, with the play rate derived in both usual ways.
 
     Days or media that only one side has are kept.
     """
-    reported = by_date.select(
+    reported = derived_rates(by_date).select(
         F.col("day").alias("dt"),
         "media_id",
         F.col("load_count").alias("reported_loads"),
         F.col("play_count").alias("reported_plays"),
         F.col("visitors").alias("reported_visitors"),
         F.col("play_rate").alias("reported_play_rate"),
-        F.try_divide(F.col("play_count"), F.col("load_count")).alias("plays_per_load"),
-        F.try_divide(F.col("play_count"), F.col("visitors")).alias("plays_per_visitor"),
+        "plays_per_load",
+        "plays_per_visitor",
     )
     counted = fact.select("dt", "media_id", "loads", "plays", "unique_visitors", "play_rate")
     return reported.join(counted, ["dt", "media_id"], "full").withColumns(

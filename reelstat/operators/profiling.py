@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from reelstat.functions.privacy import redact_variant
 from reelstat.functions.typing import as_double, as_timestamp
 from reelstat.operators.reports import top_k
 from reelstat.schemas import WATERMARK_FIELDS
@@ -82,6 +83,14 @@ def payload_sample(
     return df.select("payload")
 
 
+def payload_examples(
+    raw: DataFrame, sample_size: int | None = None, min_percent: float | None = None, value: str = "value"
+) -> DataFrame:
+    """The payloads a profile looks at, as JSON text (keys in order) with personal data redacted at any depth."""
+    sample = payload_sample(raw, sample_size, min_percent, value)
+    return sample.select(F.to_json(redact_variant(F.col("payload"))).alias("value"))
+
+
 def payload_profile(
     raw: DataFrame, sample_size: int | None = None, min_percent: float | None = None, value: str = "value"
 ) -> DataFrame:

@@ -370,6 +370,11 @@ def _flat_profile(profile: DataFrame) -> DataFrame:
     return profile.select("key", "observed_in", F.array_join(F.array_sort(types), ",").alias("types"), "null_frac")
 
 
+@query
+def payload_examples(spark, sf_dir):
+    return profiling.payload_examples(star.event_payloads(spark, sf_dir))
+
+
 @query
 def payload_summary(spark, sf_dir):
     row = profiling.payload_summary(star.event_payloads(spark, sf_dir), min_percent=0.25)
@@ -388,10 +393,10 @@ def watermark_probe_by_media(spark, sf_dir):
 
 @query
 def watermarks(spark, sf_dir):
-    stopped = star.by_date_raw(spark, sf_dir).where("dt < DATE '2024-01-25'")
-    loaded = fact(spark, sf_dir).select(F.lit("fact").alias("dataset"), "media_id", "dt")
-    loaded = loaded.unionByName(stopped.select(F.lit("media_by_date").alias("dataset"), "media_id", "dt"))
-    return incremental.next_window(incremental.watermarks(loaded), "2024-01-29")
+    marks = incremental.watermarks(fact(spark, sf_dir), "fact").unionByName(
+        incremental.watermarks(star.media_raw(spark, sf_dir), "media")
+    )
+    return incremental.next_window(marks, "2024-01-29")
 
 
 @query

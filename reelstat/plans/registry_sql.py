@@ -92,7 +92,8 @@ _CTES = {
                   ELSE '0.' || lpad(CAST(event_id % 90 + 5 AS VARCHAR), 2, '0') || '5' END
                || ',"mobile":' || CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END
                || ',"props":' || CASE WHEN event_id % 4 = 0 THEN '["a",1]' ELSE props END
-               || CASE WHEN event_id % 3 = 0 THEN ',"org":null' ELSE '' END || '}' AS value
+               || CASE WHEN event_id % 3 = 0 THEN ',"org":null' ELSE '' END
+               || CASE WHEN event_id % 5 = 0 THEN ',"email":"u' || event_id || '@example.com"' ELSE '' END || '}' AS value
         FROM events""",
     "payloads_viewed": """
         SELECT * FROM payloads
@@ -359,6 +360,17 @@ ORACLES = {
     ),
     "payload_profile": _sql(_flat_profile("payloads"), "payloads"),
     "payload_profile_sample": _sql(_flat_profile("payloads_sampled"), "payloads_sampled"),
+    "payload_examples": _sql(
+        """SELECT '{' || CASE WHEN event_id % 5 = 0 THEN '"email":"<redacted>",' ELSE '' END
+                  || '"event_key":"e' || event_id || '","event_type":"' || json_extract_string(value, '$.event_type')
+                  || '","mobile":' || json_extract_string(value, '$.mobile')
+                  || CASE WHEN event_id % 3 = 0 THEN ',"org":null' ELSE '' END
+                  || ',"percent_viewed":' || json_extract(value, '$.percent_viewed')
+                  || ',"props":' || replace(CAST(json_extract(value, '$.props') AS VARCHAR), ' ', '')
+                  || ',"received_at":"' || json_extract_string(value, '$.received_at') || '"}' AS value
+           FROM payloads""",
+        "payloads",
+    ),
     "payload_summary": _sql(
         """SELECT (SELECT count(*) FROM payloads) AS fetched, (SELECT count(*) FROM payloads_viewed) AS sampled,
                   count(DISTINCT key) AS distinct_keys, string_agg(DISTINCT key, ',' ORDER BY key) AS top_keys
@@ -370,11 +382,10 @@ ORACLES = {
     "watermarks": _sql(
         """SELECT dataset, media_id, max(dt) AS last_date, least(max(dt), DATE '2024-01-29') - 1 AS start_date,
                   DATE '2024-01-29' AS end_date
-           FROM (SELECT 'fact' AS dataset, media_id, dt FROM fact
-                 UNION ALL SELECT 'media_by_date', media_id, dt FROM by_date WHERE dt < DATE '2024-01-25')
+           FROM (SELECT 'fact' AS dataset, media_id, dt FROM fact UNION ALL SELECT 'media', media_id, dt FROM media_flat)
            GROUP BY dataset, media_id""",
         "fact",
-        "by_date",
+        "media_flat",
     ),
     "run_status_latest": """
         SELECT 'day#' || CAST(ts AS DATE) AS run_date, upper(event_type) AS data_in_process,

@@ -133,7 +133,8 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit('"props":'), F.when(n % 4 == 0, '["a",1]').otherwise(F.col("props"))),
     ]
     org = F.when(n % 3 == 0, F.lit(',"org":null')).otherwise(F.lit(""))
-    value = F.concat(F.lit("{"), F.concat_ws(",", *pairs), org, F.lit("}"))
+    email = F.when(n % 5 == 0, F.concat(F.lit(',"email":"u'), n, F.lit('@example.com"'))).otherwise(F.lit(""))
+    value = F.concat(F.lit("{"), F.concat_ws(",", *pairs), org, email, F.lit("}"))
     return df.select(_media(df).alias("media_id"), value.alias("value"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
 from reelstat.operators.keyed import earliest_per_key, latest_per_key
+from reelstat.sources.bronze import read_bronze
 
 DAY = date(2025, 3, 10)
 SILVER = "dt date, media_id string, visitor_key string, load_count bigint, play_count bigint, name string, email string"
@@ -223,6 +224,22 @@ def test_payload_profile(spark):
     assert profiling.payload_profile(raw, sample_size=2).count() == 4
 
 
+def test_payload_examples_are_redacted(spark):
+    texts = ['{"b":1,"email":"a@x","percent_viewed":0.5}', '{"a":{"ip":"1.2.3.4"},"percent_viewed":0.9}', '{"percent_viewed":0}']
+    raw = spark.createDataFrame([(t,) for t in texts], "value string")
+    out = [row.value for row in profiling.payload_examples(raw, min_percent=0.05).orderBy("value").collect()]
+    assert out == ['{"a":{"ip":"<redacted>"},"percent_viewed":0.9}', '{"b":1,"email":"<redacted>","percent_viewed":0.5}']
+    assert profiling.payload_examples(raw, sample_size=2).count() == 2
+
+
+def test_derived_rates_of_lifetime_statistics(spark, roots, land):
+    land("media_stats", "2025-03-04", "m", [{"load_count": 8, "play_count": 2, "visitors": 0, "play_rate": 0.3}])
+    stats = read_bronze(spark, roots.bronze, "media_stats", ["2025-03-04"])
+    typed = by_date.type_by_date(stats)
+    out = values(by_date.derived_rates(typed), "media_id", "play_rate", "plays_per_load", "plays_per_visitor")
+    assert out == [("m", 0.3, 0.25, None)]
+
+
 def test_watermark_probe(spark):
     texts = [
         '{"updated_at": "2025-03-01T10:00:00Z", "created": "2024-01-01", "modified": 5}',
