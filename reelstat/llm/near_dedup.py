@@ -18,7 +18,7 @@ per node, and no link between components is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,29 +35,34 @@ COLLISIONS = 34  # of 64; a pair at similarity 0.75 has fewer with probability 3
 PERCENT = 75
 TURNS = 2  # rounds of hub pairs before the pairs across components are formed; any number gives the same result
 BLOCK_BYTES = 4_000_000
-SCHEMA = "row_id long, text_hash long, n_shingles long, node binary, keys array<bigint>"
+VALUE_BITS = 57  # of a key; the coordinate is above them
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    factors = multipliers(COORDINATES)
-    coordinate = np.arange(COORDINATES, dtype=np.int64) << 32
-    for batch in batches:
-        sizes, nodes, keys = [], [], []
-        for text in batch.column("text"):
-            shingles = shingle_set(text.as_py())
-            sizes.append(len(shingles))
-            nodes.append(xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-            keys.append(coordinate | minhash(shingles, factors).astype(np.int64) if len(shingles) else None)
-        yield pa.RecordBatch.from_arrays(
-            [
-                batch.column("row_id"),
-                batch.column("text_hash"),
-                pa.array(sizes, pa.int64()),
-                pa.array(nodes, pa.binary()),
-                pa.array(keys, pa.list_(pa.int64())),
-            ],
-            ["row_id", "text_hash", "n_shingles", "node", "keys"],
-        )
+def keyed(values: np.ndarray) -> np.ndarray:
+    """A key per coordinate: its number and the upper bits of its value."""
+    coordinate = np.arange(len(values), dtype=np.uint64) << np.uint64(VALUE_BITS)
+    return (coordinate | values >> np.uint64(64 - VALUE_BITS)).view(np.int64)
+
+
+def coordinates(shingles: np.ndarray) -> np.ndarray:
+    """The keys of a set: one for each coordinate of its MinHash signature."""
+    return keyed(minhash(shingles, multipliers(COORDINATES)))
+
+
+def _signed(keys_of: Callable[[np.ndarray], np.ndarray]):
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, nodes, keys = [], [], []
+            for text in batch.column("text"):
+                shingles = shingle_set(text.as_py())
+                sizes.append(len(shingles))
+                nodes.append(xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
+                keys.append(keys_of(shingles) if len(shingles) else None)
+            made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
+            names = ["row_id", "text_hash", "n_shingles", "node", "keys"]
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("text_hash"), *made], names)
+
+    return sign
 
 
 def _similar(percent: int):
@@ -138,7 +143,7 @@ def _blocks(collisions: int, percent: int):
         key, i, j = (table.column(name)[0].as_py() for name in ("key", "i", "j"))
         keys = np.stack([np.asarray(x, np.int64) for x in table.column("keys").to_pylist()])
         masks = np.asarray(table.column("posted").to_pylist(), np.int64).view(np.uint64)
-        block, at = np.asarray(table.column("block")), np.uint64(key >> 32)
+        block, at = np.asarray(table.column("block")), np.uint64((key % (1 << 64)) >> VALUE_BITS)
         labels = np.unique(column["component"], return_inverse=True)[1]
         sets = [np.frombuffer(x, np.uint64) for x in column["shingles"]]
         sizes = np.array([len(x) for x in sets])
@@ -167,7 +172,8 @@ def _across(lists: DataFrame, posted: DataFrame, found: DataFrame, texts: DataFr
 
     A list is dealt into blocks of about BLOCK_BYTES; a task holds two blocks, and only links leave it.
     """
-    masks = posted.groupBy("node").agg(F.bit_or(F.expr("shiftleft(1L, int(shiftright(key, 32)))")).alias("posted"))
+    bit = f"shiftleft(1L, int(shiftrightunsigned(key, {VALUE_BITS})))"
+    masks = posted.groupBy("node").agg(F.bit_or(F.expr(bit)).alias("posted"))
     members = lists.select("node").distinct()
     sets = _texts_of(members, found, texts).mapInArrow(_sets, "node binary, shingles binary")
     full = sets.join(found.select("node", "keys"), "node").join(masks, "node")
@@ -208,15 +214,22 @@ def _confirmed(pairs: DataFrame, found: DataFrame, texts: DataFrame, percent: in
     return joined.mapInArrow(_similar(percent), "a binary, b binary")
 
 
-def classes(rows: DataFrame, percent: int = PERCENT, collisions: int = COLLISIONS) -> DataFrame:
-    """Rows (row_id, text) -> (row_id, n_shingles, node, component), one row each.
+def classes(
+    rows: DataFrame,
+    percent: int = PERCENT,
+    collisions: int = COLLISIONS,
+    keys_of: Callable[[np.ndarray], np.ndarray] = coordinates,
+) -> DataFrame:
+    """Rows (row_id, text) -> (row_id, n_shingles, node, component), one row each; row_id of any orderable type.
 
     node is the class of equal sets, component the least node linked to it over any chain of links; both are null for a
     row without words or text, which is linked with nothing. Two nodes are linked if 100 * intersection >= percent *
     union of their full sets. Rows may repeat and row_id may be null: they are told apart by what they hold.
     """
     texts = rows.select("row_id", "text", F.xxhash64("text").alias("text_hash"))
-    signed = save(texts.select("row_id", "text_hash", "text").mapInArrow(_signatures, SCHEMA))
+    kind = rows.schema["row_id"].dataType.simpleString()
+    schema = f"row_id {kind}, text_hash long, n_shingles long, node binary, keys array<bigint>"
+    signed = save(texts.select("row_id", "text_hash", "text").mapInArrow(_signed(keys_of), schema))
     grouped = signed.where("node is not null").groupBy("node")
     found = grouped.agg(
         F.min(F.struct("row_id", "text_hash")).alias("rep"),

@@ -47,17 +47,17 @@ def shingle_set(text: str | None, width: int = WORDS) -> np.ndarray:
 
 def multipliers(n: int, seed: int = 1) -> np.ndarray:
     """Odd multipliers, the same on every machine."""
-    state = np.arange(1, n + 1, dtype=np.uint64) * STEP + np.uint64(seed) * np.uint64(0xBF58476D1CE4E5B9)
+    state = np.arange(1, n + 1, dtype=np.uint64) * STEP + np.uint64(seed * 0xBF58476D1CE4E5B9 % 2**64)
     return mixed(state) | np.uint64(1)
 
 
 def minhash(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
-    """The least of factor * shingle for each factor, its upper 32 bits. Blocks bound the memory of very long texts."""
+    """The least of factor * shingle for each factor. Blocks bound the memory of very long texts."""
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), BLOCK):
         block = shingles[at : at + BLOCK]
         np.minimum(least, (factors[:, None] * block[None, :]).min(axis=1), out=least)
-    return least >> np.uint64(32)
+    return least
 
 
 def overlap(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
