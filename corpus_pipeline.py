@@ -1,13 +1,52 @@
-"""The corpus pipeline: quality rules, near-dedup, substring dedup, decontamination, packing."""
+"""The corpus pipeline: quality rules, near-dedup, substring dedup, benchmark decontamination, packing.
+
+Each stage takes the documents its predecessor kept and calls one operator; what it decides takes effect. All but the last
+return the columns of documents.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import near_dedup
+from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality
 from reelstat.llm.scratch import save
 
-STAGES = [("near_dedup", lambda spark, docs, sf_dir: near_dedup.keep_one(docs))]
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules reject go."""
+    return quality.keep_good(docs)
+
+
+def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays, that of the smallest id."""
+    return near_dedup.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages stay in the document of the smallest id and leave all others."""
+    return paragraph_dedup.remove_passages(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Contaminated documents go."""
+    return decontaminate.remove_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents and where they lie in the training sequences."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("minhash_near_dedup", minhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("packing", pack),
+]
+
+#: Estimation, components and packing are not expressible in SQL; tests/llm holds the stages against brute force.
 ORACLE_SQL = None
 
 
