@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality
+from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,8 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paragraph_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
