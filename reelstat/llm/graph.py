@@ -30,7 +30,6 @@ def components(links: DataFrame) -> DataFrame:
             both.where(F.col("b") > F.col("a"))
             .join(nearest, "a")
             .select(F.col("b").alias("a"), F.least("a", "least").alias("b"))
-            .distinct()
         )
         lowest = large.groupBy("a").agg(F.min("b").alias("least"))
         small = (

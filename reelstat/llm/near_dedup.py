@@ -10,10 +10,9 @@ share a key of both prefixes. The frequent keys, those of passages that thousand
 whether they collide too is looked up in the signatures of the pairs that the prefix found.
 
 Within the list of a key, nodes are paired with two of the list's nodes only, the hubs. Of its pairs, a node's best one is
-checked; what it links is one component. This goes on for some turns with other hubs, in lists that still hold several
-components. Nodes of a list that then still lie in different components are compared in blocks (`_across`), each pair in
-the list of its first shared coordinate only, and only links leave a block. So a list of near copies yields a few rows
-per node, and no link between components is lost.
+checked; what it links is one component. Nodes of a list that then still lie in different components are compared in
+blocks (`_across`), each pair in the list of its first shared coordinate only, and only links leave a block. So a list of
+near copies yields a few rows per node, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -33,7 +32,6 @@ from xxhash import xxh3_128_digest
 COORDINATES = 64
 COLLISIONS = 34  # of 64; a pair at similarity 0.75 has fewer with probability 3e-5
 PERCENT = 75
-TURNS = 2  # rounds of hub pairs before the pairs across components are formed; any number gives the same result
 BLOCK_BYTES = 4_000_000
 VALUE_BITS = 57  # of a key; the coordinate is above them
 
@@ -94,12 +92,12 @@ def _posted(nodes: DataFrame, collisions: int) -> DataFrame:
     )
 
 
-def _hubs(lists: DataFrame, turn: int) -> DataFrame:
-    """Pairs a < b of each list's nodes with two of its nodes, other ones at each turn, in another component."""
-    order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "component")
-    ends = lists.groupBy("key").agg(F.min(order).alias("low"), F.max(order).alias("high")).where("low < high")
-    pairs = lists.join(ends, "key").select("node", "component", F.explode(F.array("low", "high")).alias("hub"))
-    pairs = pairs.where("component <> hub.component").withColumn("other", F.col("hub.node"))
+def _hubs(posted: DataFrame) -> DataFrame:
+    """Pairs a < b of each list's nodes with two of its nodes."""
+    order = F.struct(F.xxhash64("node"), "node")
+    ends = posted.groupBy("key").agg(F.min(order).alias("low"), F.max(order).alias("high")).where("low < high")
+    pairs = posted.join(ends, "key").select("node", F.explode(F.array("low.node", "high.node")).alias("other"))
+    pairs = pairs.where("node <> other")
     return pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
 
 
@@ -136,7 +134,10 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _blocks(collisions: int, percent: int):
-    """Links within a block, or between two blocks, of one list: those that no earlier coordinate's list has tested."""
+    """Links within a block, or between two blocks, of one list, as far as they join components that are still apart.
+
+    Pairs that share an earlier coordinate are left to the list of that one.
+    """
 
     def link(table: pa.Table) -> pa.Table:
         column = {name: table.column(name).to_pylist() for name in ("node", "component", "shingles")}
@@ -158,25 +159,27 @@ def _blocks(collisions: int, percent: int):
             y, equal = (v[equal.sum(axis=1) >= collisions] for v in (y, equal))
             bits = (equal.astype(np.uint64) << np.arange(keys.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
             for z in y[(bits & masks[y] & masks[x] & earlier) == 0]:
+                if labels[x] == labels[z]:  # linked meanwhile
+                    continue
                 both, either = overlap(sets[x], sets[z])
                 if 100 * both >= percent * either:
                     left.append(column["node"][x])
                     right.append(column["node"][z])
+                    labels[labels == labels[z]] = labels[x]
         return pa.table({"a": pa.array(left, pa.binary()), "b": pa.array(right, pa.binary())})
 
     return link
 
 
-def _across(lists: DataFrame, posted: DataFrame, found: DataFrame, texts: DataFrame, collisions: int, percent: int):
+def _across(lists: DataFrame, posted: DataFrame, nodes: DataFrame, texts: DataFrame, collisions: int, percent: int):
     """The links between different components of a list, each pair tested once and on its full sets.
 
     A list is dealt into blocks of about BLOCK_BYTES; a task holds two blocks, and only links leave it.
     """
     bit = f"shiftleft(1L, int(shiftrightunsigned(key, {VALUE_BITS})))"
     masks = posted.groupBy("node").agg(F.bit_or(F.expr(bit)).alias("posted"))
-    members = lists.select("node").distinct()
-    sets = _texts_of(members, found, texts).mapInArrow(_sets, "node binary, shingles binary")
-    full = sets.join(found.select("node", "keys"), "node").join(masks, "node")
+    sets = texts.join(lists.select("node").distinct(), "node").mapInArrow(_sets, "node binary, shingles binary")
+    full = sets.join(nodes.select("node", "keys"), "node").join(masks, "node")
     full = save(full.withColumn("bytes", F.octet_length("shingles") + 800))
     weighed = lists.join(full.select("node", "bytes"), "node")
     counts = weighed.groupBy("key").agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("n"))
@@ -205,9 +208,8 @@ def _texts_of(members: DataFrame, found: DataFrame, texts: DataFrame) -> DataFra
     return needed.join(texts, same).select("node", "text").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, found: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full shingle sets are similar enough."""
-    texts = save(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), found, texts))
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     joined = pairs.select("a", "b").join(right, "b").join(left, "a")
@@ -239,15 +241,10 @@ def classes(
     found = save(found.select("node", "rep.row_id", "rep.text_hash", "size", "keys"))
     nodes = found.select("node", "size", "keys")
     posted = save(_posted(nodes, collisions))
-    lists = posted.withColumn("component", F.col("node"))
-    links = labels = None
-    for turn in range(TURNS):
-        pairs = save(_best(_colliding(_hubs(lists, turn), nodes, collisions, percent)))
-        new = _confirmed(pairs, found, texts, percent)
-        links = save(links.unionByName(new) if links else new)
-        labels = save(components(links))
-        lists = save(_mixed(posted, labels))
-    more = save(_across(lists, posted, found, texts, collisions, percent))
+    held = save(_texts_of(posted.select("node").distinct(), found, texts))
+    links = save(_confirmed(_best(_colliding(_hubs(posted), nodes, collisions, percent)), held, percent))
+    labels = save(components(links))
+    more = save(_across(save(_mixed(posted, labels)), posted, nodes, held, collisions, percent))
     if not more.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
     out = signed.select("row_id", "n_shingles", "node").join(labels, "node", "left")

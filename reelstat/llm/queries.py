@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality, toxicity
+from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,40 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The rules of the contract, as host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@query
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filter.judged(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLES["op5_url_filters"] = """
+WITH cut AS (
+    SELECT page_id, regexp_extract(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END,
+        '^[^?#]*') AS rest FROM pages),
+parts AS (
+    SELECT page_id, translate(regexp_extract(rest, '^[^/]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        substr(rest, length(regexp_extract(rest, '^[^/]*')) + 1) AS path FROM cut),
+matched AS (
+    SELECT *, '.' || host AS dotted, CASE
+        WHEN suffix('.' || host, '.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+        WHEN suffix('.' || host, '.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+        WHEN suffix('.' || host, '.com') AND starts_with(path, '/') THEN 'com/'
+        WHEN suffix('.' || host, '.net') AND starts_with(path, '/es/') THEN 'net/es/'
+        WHEN suffix('.' || host, '.net') AND starts_with(path, '/fr/') THEN 'net/fr/' END AS rule
+    FROM parts)
+SELECT page_id, host, path, rule,
+    CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM matched
+"""
