@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality, toxicity, url_filter
+from reelstat.llm import (
+    decontaminate,
+    licenses,
+    near_dedup,
+    packing,
+    paragraph_dedup,
+    quality,
+    site_tree,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -89,3 +100,18 @@ SELECT page_id, host, path, rule,
     CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM matched
 """
+
+
+@query
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_tree.extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+@query
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.recognised(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
