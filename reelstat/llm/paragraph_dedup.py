@@ -59,7 +59,7 @@ def beginnings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, starts_of, hashes_of = [], [], []
+        rows, starts_of, hashes_of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for number, text in enumerate(batch.column("text")):
             text = text.as_py() or ""
             raw = np.frombuffer(text.encode("utf-8"), np.uint8)

@@ -32,16 +32,21 @@ def _share(part: str, whole: str) -> Column:
     return F.col(part) / F.greatest(F.col(whole), F.lit(1))
 
 
-RULES: dict[str, Column] = {
-    "length": _vote(F.col("n_words") < 20, F.col("n_words") >= 20),
-    "word_length": _vote(~_share("word_chars", "n_words").between(2, 14), _share("word_chars", "n_words").between(3, 11)),
-    "symbols": _vote(_share("n_symbols", "word_chars") > 0.05, _share("n_symbols", "word_chars") < 0.01),
-    "lines": _vote((F.col("n_dup_lines") > 3) & (_share("n_dup_lines", "n_lines") > 0.3), F.col("n_dup_lines") < 3),
-    "repeats": _vote(_share("n_repeat_words", "n_words") > 0.3, _share("n_repeat_words", "n_words") < 0.1),
-    "common_words": _vote(F.col("n_common") == 0, F.col("n_common") >= 3),
-    "sentences": _vote(_share("n_stops", "n_words") < 0.005, _share("n_stops", "n_words").between(0.02, 0.4)),
-    "letters": _vote(_share("n_letters", "word_chars") < 0.85, _share("n_letters", "word_chars") > 0.92),
-}
+RULES = ("length", "word_length", "symbols", "lines", "repeats", "common_words", "sentences", "letters")
+
+
+def rules() -> dict[str, Column]:
+    """The votes, over the counts of `measured`."""
+    return {
+        "length": _vote(F.col("n_words") < 20, F.col("n_words") >= 20),
+        "word_length": _vote(~_share("word_chars", "n_words").between(2, 14), _share("word_chars", "n_words").between(3, 11)),
+        "symbols": _vote(_share("n_symbols", "word_chars") > 0.05, _share("n_symbols", "word_chars") < 0.01),
+        "lines": _vote((F.col("n_dup_lines") > 3) & (_share("n_dup_lines", "n_lines") > 0.3), F.col("n_dup_lines") < 3),
+        "repeats": _vote(_share("n_repeat_words", "n_words") > 0.3, _share("n_repeat_words", "n_words") < 0.1),
+        "common_words": _vote(F.col("n_common") == 0, F.col("n_common") >= 3),
+        "sentences": _vote(_share("n_stops", "n_words") < 0.005, _share("n_stops", "n_words").between(0.02, 0.4)),
+        "letters": _vote(_share("n_letters", "word_chars") < 0.85, _share("n_letters", "word_chars") > 0.92),
+    }
 
 
 def _hashes() -> Column:
@@ -93,7 +98,6 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
 
     Starts from the majority of votes. Counts that favour right votes a little keep a rule that never votes defined.
     """
-    rules = len(RULES)
     total = sum(n for _, n in patterns)
     posterior = [min(0.95, max(0.05, (v.count(GOOD) + 1) / (v.count(GOOD) + 2 * v.count(BAD) + 2))) for v, _ in patterns]
     prior, good, bad = 0.8, [], []
@@ -101,7 +105,7 @@ def estimate(patterns: list[tuple[tuple[int, ...], int]], rounds: int = ROUNDS)
         mass = sum(p * n for p, (_, n) in zip(posterior, patterns))
         prior = (mass + 8) / (total + 10)
         good, bad = [], []
-        for j in range(rules):
+        for j in range(len(RULES)):
             on_good, on_bad = {GOOD: 4.0, BAD: 0.5, ABSTAIN: 1.0}, {GOOD: 0.5, BAD: 4.0, ABSTAIN: 1.0}
             for p, (votes, n) in zip(posterior, patterns):
                 on_good[votes[j]] += p * n
@@ -127,11 +131,11 @@ def judged(docs: DataFrame, text_column: str = "text", carried: list[str] | None
     """
     carried = docs.columns if carried is None else carried
     counted = save(measured(docs, text_column, carried))
-    voted = counted.select(*[rule.alias(name) for name, rule in RULES.items()])
+    voted = counted.select(*[rule.alias(name) for name, rule in rules().items()])
     patterns = [(tuple(row[:-1]), row[-1]) for row in voted.groupBy(*RULES).count().orderBy(*RULES).collect()]
     prior, good, bad = estimate(patterns)
     odds = F.lit(math.log(prior / (1 - prior)))
-    for j, rule in enumerate(RULES.values()):
+    for j, rule in enumerate(rules().values()):
         weight = {v: math.log(good[j][v] / bad[j][v]) for v in (GOOD, BAD, ABSTAIN)}
         odds = odds + F.when(rule == GOOD, weight[GOOD]).when(rule == BAD, weight[BAD]).otherwise(weight[ABSTAIN])
     few, repeated = F.col("n_words") < 20, 100 * F.col("n_repeat_words") > 30 * F.col("n_words")
