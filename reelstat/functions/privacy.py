@@ -125,16 +125,25 @@ def _masked_variant() -> Column:
 def redact_variant(value: Column, keys: Iterable[str] = EVENT_PII, null_too: bool = False, depth: int = 3) -> Column:
     """Redaction of a payload of unknown shape.
 
-    Objects and arrays are rebuilt down to `depth` levels. What lies deeper is kept as it is where its text
-    names none of the keys, and replaced as a whole where it does, so nothing leaks at any depth.
+    Objects and arrays are rebuilt down to `depth` levels. Deeper, values are replaced in the JSON text, at any depth:
+    plain values, and objects and arrays from the innermost out. Only a value that resists this, such as one with
+    brackets inside its strings, is replaced together with what surrounds it, so nothing leaks.
     """
     listed = sorted(keys)
-    named = '"(' + "|".join(listed) + r')"\s*:'
+    name = r'(?<!\\)"(' + "|".join(listed) + r')":'
+    plain = name + r'(?:"(?:[^"\\]|\\.)*"|-?[0-9][^,}\]]*|true|false' + ("|null" if null_too else "") + ")"
+    flat = name + r"(?:\{[^{}\[\]]*\}|\[[^{}\[\]]*\])"
+
+    def deep(node: Column) -> Column:
+        text = F.regexp_replace(F.to_json(node), plain, f'"$1":"{REDACTED}"')
+        for _ in range(3):
+            text = F.regexp_replace(text, flat, f'"$1":"{REDACTED}"')
+        return F.when(text.rlike(name + r"[\[{]"), _masked_variant()).otherwise(F.try_parse_json(text))
 
     def level(node: Column, left: int) -> Column:
         kind = F.schema_of_variant(node)
         if left == 0:
-            return F.when(F.to_json(node).rlike(named), _masked_variant()).otherwise(node)
+            return F.when(F.to_json(node).rlike(name), deep(node)).otherwise(node)
 
         def entry(key: Column, item: Column) -> Column:
             hit = key.isin(listed)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.functions.typing import as_count, as_day, as_double, col_or_null
+from reelstat.operators.keyed import latest_per_key
 
 _COUNTS = ("load_count", "play_count")
 _RATES = ("play_rate", "hours_watched", "engagement")
@@ -40,9 +41,10 @@ def derived_rates(stats: DataFrame) -> DataFrame:
 def reconcile(by_date: DataFrame, fact: DataFrame) -> DataFrame:
     """Reported statistics beside the daily fact, with the play rate derived in both usual ways.
 
-    Days or media that only one side has are kept.
+    Days or media that only one side has are kept. Of a day that was delivered more than once the last delivery counts.
     """
-    reported = derived_rates(by_date).select(
+    last = latest_per_key(by_date, ["day", "media_id"], ["dt"]) if "dt" in by_date.columns else by_date
+    reported = derived_rates(last).select(
         F.col("day").alias("dt"),
         "media_id",
         F.col("load_count").alias("reported_loads"),

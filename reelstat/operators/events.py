@@ -47,9 +47,22 @@ def without_key(df: DataFrame) -> DataFrame:
 def dedup_events(df: DataFrame, seen: DataFrame | None = None) -> DataFrame:
     """One row per event_key, none of those in `seen`. Records without a key cannot be copies and are all kept.
 
-    The keyless go round the shuffle: however many they are, they would all meet in one task.
+    The input is read once, with no filter that a JSON reader could apply to broken lines. Keyless records are grouped
+    by their whole content, which spreads them over all tasks, and come out as often as they went in.
     """
-    return first_of_each_key(df, seen).unionByName(without_key(df))
+    if df.isStreaming:
+        raise ValueError("dedup_events takes batches")
+    rest = [name for name in df.columns if name != "event_key"]
+    order = [F.col("received_at").isNull().alias("_no_received_at"), "received_at"]
+    order += [F.col(f"`{name}`") for name in rest if name != "received_at"]
+    whole = F.when(F.col("event_key").isNull(), F.struct(*[F.col(f"`{name}`") for name in rest]))
+    grouped = df.groupBy("event_key", whole.alias("_whole")).agg(F.min(F.struct(*order)).alias("_row"), F.count("*").alias("_n"))
+    if seen is not None:
+        keys = seen.select("event_key").where(F.col("event_key").isNotNull())
+        grouped = grouped.join(keys, "event_key", "left_anti")
+    copies = F.when(F.col("event_key").isNull(), F.col("_n")).otherwise(1).cast("int")
+    repeated = grouped.withColumn("_copy", F.explode(F.sequence(F.lit(1), copies)))
+    return repeated.select(*[F.col("event_key") if name == "event_key" else F.col("_row")[name].alias(name) for name in df.columns])
 
 
 def exclude_seen(df: DataFrame, seen: DataFrame) -> DataFrame:

@@ -47,4 +47,7 @@ def log_status(log: DataFrame, day: str | date, step: str, status: str, ts: date
 
 
 def latest_status(log: DataFrame) -> DataFrame:
-    return latest_per_key(log, ["run_date", "data_in_process"], ["updated_at"])
+    """The last entry per run and step. At equal times the later state of a step counts, and a failure above success."""
+    rank = F.array_position(F.array(F.lit(STARTED), F.lit(SUCCEEDED), F.lit(FAILED)), F.col("status"))
+    ranked = log.withColumn("_rank", rank)
+    return latest_per_key(ranked, ["run_date", "data_in_process"], ["updated_at", "_rank"]).drop("_rank")

@@ -237,9 +237,12 @@ def catalog_sweep(
     descending: bool = False,
     page: int = 1,
     per_page: int = 50,
-    max_pages: int = 2,
+    max_pages: int | None = None,
 ) -> DataFrame:
-    """A window of pages over the media whose name contains `search` (any case) and whose section is `media_type`."""
+    """The media whose name contains `search` (any case) and whose section is `media_type`, from `page` on.
+
+    All pages, or `max_pages` of them.
+    """
     if search:
         media = media.where(F.lower("name").contains(search.lower()))
     if media_type:
@@ -248,7 +251,9 @@ def catalog_sweep(
     if sort_by:
         order.append(F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last())
     first = (max(page, 1) - 1) * per_page
-    return media.orderBy(*order, F.col("media_id").asc()).offset(first).limit(per_page * max_pages)
+    ordered = media.orderBy(*order, F.col("media_id").asc())
+    ordered = ordered.offset(first) if first else ordered
+    return ordered if max_pages is None else ordered.limit(per_page * max_pages)
 
 
 def catalog_summary(media: DataFrame, n: int = 10) -> DataFrame:

@@ -115,8 +115,6 @@ def silver_events(
     seen = read_days(spark, output_uri, "silver_events", near)
     rows = protect_events(type_events(raw), ip_hash_key)
     rows = rows.withColumns({name: redact_nested(F.col(name)) for name in extra})
-    # Records with and without a key are read apart. The reader drops a record at its key, so this costs less than
-    # keeping the parsed day (measured: 10.5 s against 11.2 s for 2,000,000 records).
     rows = stamp(dedup_events(rows, seen), "processed_at", ts)
     rows = assert_no_pii(_in_order(rows, "silver_events", extra))
     return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)

@@ -302,8 +302,7 @@ def events_window(spark, sf_dir):
 @query
 def events_min_percent(spark, sf_dir):
     rows = profiling.filter_events(star.events_raw(spark, sf_dir), min_percent=0.05)
-    sample = profiling.sample_first(rows.where(F.col("event_key").isNotNull()), 200)
-    return sample.select("event_key", "received_at", "event_type")
+    return rows.select("event_key", "received_at", "event_type")
 
 
 @query

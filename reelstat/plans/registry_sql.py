@@ -317,7 +317,7 @@ ORACLES = {
     ),
     "events_min_percent": _sql(
         """SELECT event_key, received_at, event_type FROM events_flat
-           WHERE percent_viewed >= 0.05 AND event_key IS NOT NULL ORDER BY received_at, event_key LIMIT 200""",
+           WHERE percent_viewed >= 0.05""",
         "events_flat",
     ),
     "top_media_by_events": _sql(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
@@ -14,6 +14,7 @@ COMPRESSION = "snappy"
 
 # Upper bound of one file, so that a large table is read by many tasks.
 RECORDS_PER_FILE = 10_000_000
+KEPT_DAYS = 7
 
 
 def cluster(df: DataFrame, *cols: str) -> DataFrame:
@@ -74,7 +75,8 @@ def write_replace(
     The frame may read the version it replaces. Readers take the newest version with a `_SUCCESS` marker, so a
     job that dies half-way changes nothing. `files` bounds the number of files without a shuffle; it must leave
     no more rows to one of them than a task can write, as `rows / RECORDS_PER_FILE` does. `keep` removes all but
-    that many of the newest complete versions once the new one is complete.
+    that many of the newest complete versions once the new one is complete, and never one younger than KEPT_DAYS: a
+    backfill of many days writes many versions within minutes, while readers and the catalog still use an older one.
     """
     version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     rows, seen = _counted(df if files is None else df.coalesce(files))
@@ -85,6 +87,9 @@ def write_replace(
         .parquet(join(path, f"version={version}"))
     )
     if keep is not None:
+        oldest = (datetime.now(timezone.utc) - timedelta(days=KEPT_DAYS)).strftime("%Y%m%dT%H%M%S%f")
         for old in complete_versions(df.sparkSession, path)[max(keep, 1) :]:
-            remove_dir(df.sparkSession, old)
+            version = old.rpartition("version=")[2]
+            if "T" not in version or version < oldest:  # a version that is no time has no age
+                remove_dir(df.sparkSession, old)
     return seen.get["rows"]

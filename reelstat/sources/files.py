@@ -30,13 +30,27 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_dir(spark: SparkSession, staged: str, target: str) -> None:
-    """Put a finished directory in the place of another. In between, the target is missing but never half-written."""
+    """Put a finished directory in the place of another, which is moved aside first and deleted last.
+
+    If the new one cannot be moved in, the old one is put back.
+    """
     fs, source = _filesystem(spark, staged)
     _, goal = _filesystem(spark, target)
-    fs.delete(goal, True)
+    aside = None
+    if fs.exists(goal):
+        _, aside = _filesystem(spark, f"{staged.rstrip('/')}-replaced")
+        if not fs.rename(goal, aside):
+            raise OSError(f"could not move {target} aside")
     fs.mkdirs(goal.getParent())
-    if not fs.rename(source, goal):
-        raise OSError(f"could not move {staged} to {target}")
+    try:
+        if not fs.rename(source, goal):
+            raise OSError(f"could not move {staged} to {target}")
+    except Exception:
+        if aside is not None and not fs.exists(goal):
+            fs.rename(aside, goal)
+        raise
+    if aside is not None:
+        fs.delete(aside, True)
 
 
 def remove_dir(spark: SparkSession, path: str) -> None:

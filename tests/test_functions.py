@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import hmac
 import io
+import json
 from contextlib import redirect_stdout
 from datetime import date, datetime
 
@@ -122,7 +123,7 @@ def test_redact_keeps_null_structs(spark):
         ('{"a":1,"email":"x"}', '{"a":1,"email":"<redacted>"}'),
         ('{"email":null}', '{"email":null}'),
         ('{"org":{"name":"x"},"l":[{"ip":"1"},2]}', '{"l":[{"ip":"<redacted>"},2],"org":"<redacted>"}'),
-        ('{"a":{"b":{"c":{"d":{"email":"x"}}}}}', '{"a":{"b":{"c":"<redacted>"}}}'),
+        ('{"a":{"b":{"c":{"d":{"email":"x"}}}}}', '{"a":{"b":{"c":{"d":{"email":"<redacted>"}}}}}'),
         ('{"a":{"b":{"c":{"d":{"e":1.5}}}}}', '{"a":{"b":{"c":{"d":{"e":1.5}}}}}'),
         ("[]", "[]"),
         ("7", "7"),
@@ -141,3 +142,17 @@ def test_pii_check_sees_every_depth(spark):
         assert_no_pii(drop_pii(df))
     flat = spark.createDataFrame([(date(2025, 1, 1), "US", "x")], "dt date, country string, email string")
     assert values(assert_no_pii(drop_pii(flat)), "dt", "country") == [(date(2025, 1, 1), "US")]
+
+
+def test_deep_redaction_keeps_the_rest(spark):
+    from reelstat.functions.privacy import redact_json
+
+    texts = [
+        '{"a":{"b":{"c":{"d":1,"email":"x","e":[{"ip":{"v":1},"k":true}]}}}}',
+        '{"a":{"b":{"c":{"d":1,"email":null}}}}',
+        '{"a":{"b":{"c":{"note":"the \\"email\\":\\"x\\" field"}}}}',
+    ]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [json.loads(r.c) for r in rows.select("i", redact_json(F.col("t")).alias("c")).orderBy("i").collect()]
+    assert got[0] == {"a": {"b": {"c": {"d": 1, "email": "<redacted>", "e": [{"ip": "<redacted>", "k": True}]}}}}
+    assert got[1] == json.loads(texts[1]) and got[2] == json.loads(texts[2])

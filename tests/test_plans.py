@@ -13,6 +13,7 @@ from conftest import SMALL, values
 from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
+from reelstat.plans import registry
 from reelstat.operators import events, gold, reports, visitors
 from reelstat.sinks.tables import write_day, write_days
 from reelstat.sources.tables import read_days
@@ -40,7 +41,7 @@ def conf(spark, **settings):
             spark.conf.set(key, value)
 
 
-@pytest.mark.parametrize("name", [n for n in registered.queries() if n not in THROUGH_FILES])
+@pytest.mark.parametrize("name", [n for n in registry.QUERIES if n not in THROUGH_FILES])
 def test_no_python_and_no_cross_join(spark, name):
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(registered.queries()[name](spark, SMALL))
@@ -83,8 +84,9 @@ def test_event_dedup_and_overlap_share_the_shuffle_of_the_events(spark):
     df = spark.range(10).selectExpr("string(id) event_key", "timestamp'2025-01-01' received_at", "id n")
     with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         text = plan(events.dedup_events(df, df.select("event_key")))
-    # One for the events, one for the stored keys, and none for the events without a key.
-    assert text.count("Exchange hashpartitioning(event_key") == 2 and text.count("Exchange") == 2
+    # One for the events, which also spreads those without a key, and one for either side of the overlap check.
+    assert text.count("Exchange hashpartitioning(event_key") == 3 and text.count("Exchange") == 3
+    assert plan(events.dedup_events(df)).count("Range (") == 1  # a single scan
 
 
 def test_joins_follow_the_measured_size(spark):
