@@ -43,6 +43,29 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+_SQL_WORDS = """list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+
+ORACLES["op3_benchmark_decontamination"] = f"""
+WITH docs AS (SELECT doc_id, {_SQL_WORDS} AS words FROM documents),
+items AS (SELECT item_id, {_SQL_WORDS} AS words FROM benchmark),
+known AS (
+    SELECT DISTINCT item_id, least(len(words), 13) AS length, array_to_string(words[i : i + least(len(words), 13) - 1], ' ') AS w
+    FROM (SELECT *, unnest(range(1, greatest(len(words) - 12, 1) + 1)) AS i FROM items WHERE len(words) > 0)),
+placed AS (
+    SELECT doc_id, length, i, array_to_string(words[i : i + length - 1], ' ') AS w
+    FROM (SELECT *, unnest(range(1, len(words) - length + 2)) AS i FROM docs, (SELECT DISTINCT length FROM known))),
+hits AS (SELECT doc_id, item_id, i, placed.length FROM placed JOIN known USING (w, length)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + length)) AS p FROM hits) GROUP BY 1),
+held AS (SELECT doc_id, string_agg(name, ',' ORDER BY name) AS names, count(*) AS n
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY 1)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(covered.n, 0) AS n_hit, coalesce(held.n, 0) AS n_items,
+    sha256(coalesce(names, '')) AS items_sha256, coalesce(covered.n > 0 AND 20 * covered.n >= len(words), false) AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"), carried=["doc_id"])
