@@ -9,7 +9,11 @@ their pattern, sequence and offset by that rank. No sequence, piece or document
 
 from __future__ import annotations
 
+import re
+import sys
+import unicodedata
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
 
@@ -23,13 +27,31 @@ from reelstat.llm.scratch import save
 CAPACITY = 2048
 END_ID = 1
 SALTS = 64
-CACHED_WORDS = 200_000
+CACHED_WORDS = 500_000
+BLOCK_CHARS = 4_000_000  # of texts whose words are looked up together
+#: A run of punctuation between an ASCII letter and white space. No apostrophe: the tokenizer takes 's and the like as units.
+AFTER_LETTERS = re.compile(rb"(?<=[a-z])([.,;:!?%&$*#|]+)(?![^ \t-\r])")
+
+
+#: Byte-level models spell a byte by its Latin-1 character where that is printable, the others by 256, 257, ... in order.
+PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+SPELT = {byte: 256 + i for i, byte in enumerate(b for b in range(256) if b not in PRINTABLE)}
+
+
+def little_endian(ids: list[int]) -> bytes:
+    numbers = array("I", ids)
+    if sys.byteorder == "big":
+        numbers.byteswap()
+    return numbers.tobytes()
 
 
 class Encoder:
-    """Ids of a text as little-endian 32-bit bytes. The tokenizer never joins across ASCII white space, so words are cached.
+    """Ids of texts as little-endian 32-bit bytes.
 
-    The cache is emptied when it holds CACHED_WORDS, which bounds its memory and changes no result.
+    The tokenizer lower-cases, never joins across ASCII white space, and takes punctuation after letters apart from them.
+    So texts are lower-cased and cut there first, and each different word is encoded once and cached. A word of letters
+    goes to the tokenizer's model at once, with bytes spelt as byte-level models spell them; all else takes the whole
+    way. The cache is emptied when it holds CACHED_WORDS, which bounds its memory and changes no result.
     """
 
     def __init__(self, path: str):
@@ -38,18 +60,49 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.words: dict[bytes, bytes] = {}
 
-    def __call__(self, text: str) -> bytes:
-        words = text.encode("utf-8").split()
-        missing = list({w for w in words if w not in self.words})
-        if missing:
-            if len(self.words) + len(missing) > CACHED_WORDS:
-                self.words, missing = {}, list(set(words))
-            for start in range(0, len(missing), 1000):
-                block = missing[start : start + 1000]
-                texts = [word.decode("utf-8") for word in block]
-                for word, found in zip(block, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                    self.words[word] = np.array(found.ids, "<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, words))
+    def _add(self, words: list[bytes]) -> None:
+        tokenize, odd = self.tokenizer.model.tokenize, []
+        for word in words:
+            text = word.decode("utf-8")
+            if text.isascii():
+                text, spelt = text.lower(), text.lower()
+            else:
+                text = "".join([c.lower() for c in unicodedata.normalize("NFC", text)])
+                spelt = text.encode("utf-8").decode("latin-1").translate(SPELT)
+            if text.isalpha():
+                self.words[word] = little_endian([token.id for token in tokenize(spelt)])
+            else:
+                odd.append(word)
+        for start in range(0, len(odd), 2000):
+            block = [word.decode("utf-8") for word in odd[start : start + 2000]]
+            for word, found in zip(odd[start:], self.tokenizer.encode_batch_fast(block, add_special_tokens=False)):
+                self.words[word] = little_endian(found.ids)
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        split = [self._cut(text.encode("utf-8")) for text in texts]
+        distinct = set().union(*split)
+        missing = list(distinct - self.words.keys())
+        if len(self.words) + len(missing) > CACHED_WORDS:
+            self.words, missing = {}, list(distinct)
+        self._add(missing)
+        return (b"".join(map(self.words.__getitem__, words)) for words in split)
+
+    @staticmethod
+    def _cut(raw: bytes) -> list[bytes]:
+        if b"<|" in raw:  # special tokens are looked for before lower-casing
+            return raw.split()
+        return AFTER_LETTERS.sub(rb" \1", raw.lower()).split()
+
+
+def _encoded(encode: Encoder, texts: pa.Array) -> Iterator[bytes]:
+    block, size = [], 0
+    for text in texts:
+        block.append(text.as_py() or "")
+        size += len(block[-1])
+        if size >= BLOCK_CHARS:
+            yield from encode(block)
+            block, size = [], 0
+    yield from encode(block)
 
 
 def _pieces(path: str, capacity: int):
@@ -60,8 +113,8 @@ def _pieces(path: str, capacity: int):
         encode, end = Encoder(path), np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             rows: list[list] = [[], [], [], [], []]
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                ids = encode(text.as_py() or "") + end
+            for doc_id, ids in zip(batch.column(0).to_pylist(), _encoded(encode, batch.column(1))):
+                ids += end
                 total = len(ids) // 4
                 for start in range(0, total, capacity):
                     part = memoryview(ids)[4 * start : 4 * (start + capacity)]

@@ -206,8 +206,10 @@ def test_tokens_of_odd_white_space():
 
     path = public_tokenizers.path("word_bpe_49k.json")
     encode, plain = packing.Encoder(path), Tokenizer.from_file(path)
-    for text in ["I'm  a x<|endoftext|>y don't \u0301a ΟΔΟΣ İ \x1c\x1d a\x1fb \x85 \u200b q 123 ...", "a\x0bb\x0cc\td", "テスト 12!?", "a\u0000b"]:
-        assert np.frombuffer(encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+    texts = ["I'm  a x<|endoftext|>y don't \u0301a ΟΔΟΣ İ \x1c\x1d a\x1fb \x85 \u200b q 123 ...", "a\x0bb\x0cc\td", "テスト 12!?", "a\u0000b", ""]
+    texts += ["Of%%% the&&& Éa. élan, it's it.'s a.b. Ab!? x|y A\u0301. ΣΑΣ. STRASSE ß; ǅ, ª. ²"]
+    for text, ids in zip(texts, encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids, text
 
 
 def test_passages_are_found_and_removed(documents, nothing):
