@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from reelstat.llm import decontaminate, near_dedup, packing, paragraph_dedup, quality
 from reelstat.llm.scratch import save
@@ -24,8 +25,11 @@ def minhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages stay in the document of the smallest id and leave all others."""
-    return paragraph_dedup.remove_passages(docs)
+    """Passages stay in the document of the smallest id and leave all others; n_chars follows the text."""
+    kept = paragraph_dedup.remove_passages(docs)
+    if "n_chars" in kept.columns:
+        kept = kept.withColumn("n_chars", F.char_length("text").cast(kept.schema["n_chars"].dataType))
+    return kept
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
