@@ -30,7 +30,7 @@ from reelstat.llm.shingles import minhash, multipliers, overlap, shingle_set
 from xxhash import xxh3_128_digest
 
 COORDINATES = 64
-COLLISIONS = 34  # of 64; a pair at similarity 0.75 has fewer with probability 3e-5
+COLLISIONS = 34  # of 64; a pair at similarity 0.75 has fewer with probability 4.4e-5
 PERCENT = 75
 BLOCK_BYTES = 4_000_000
 VALUE_BITS = 57  # of a key; the coordinate is above them
