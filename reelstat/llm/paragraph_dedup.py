@@ -2,8 +2,10 @@
 
 A repeated passage may stand anywhere in a text, so the paragraphs compared are of two kinds.
 
-- Running paragraphs: the PASSAGE words from every place where a sentence, a line or a capitalised word begins, whatever
-  follows. Equal ones of different documents meet by their hash. They overlap, so a longer passage is covered by several.
+- Running paragraphs: the PASSAGE words from every word on. Not each is written out. The anchor of a paragraph is the least
+  hash of its runs of ANCHOR words, so equal paragraphs have equal anchors, wherever they stand (winnowing). Consecutive
+  paragraphs of one anchor are a block, about one for 13 words. Blocks meet by their anchor: where all holders have the
+  same block, all its paragraphs are shared; else the paragraphs of each different block are compared one by one.
 - Written paragraphs: the lines of PASSAGE words or more. Their MinHash signature is cut into BANDS bands of ROWS rows;
   paragraphs that collide in a band are compared on their full sets of 5-word shingles (`near_dedup.classes`). At
   similarity 0.75 a pair collides with probability 1 - (1 - 0.75 ** 2) ** 10 = 0.9997.
@@ -18,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reelstat.llm.near_dedup import PERCENT, classes, keyed
@@ -26,8 +28,10 @@ from reelstat.llm.scratch import save
 from reelstat.llm.shingles import STEP, minhash, mixed, multipliers, split_words, word_hashes
 
 PASSAGE = 50
+ANCHOR = 25
 BANDS, ROWS = 10, 2
 FIRST = -(2**63)  # stands for a null id, which is before all others
+INVERSE = np.uint64(pow(int(STEP), -1, 2**64))
 
 
 def banded(shingles: np.ndarray) -> np.ndarray:
@@ -42,48 +46,103 @@ def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def beginnings(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Numbers of the words with which a sentence or line begins or that are capitalised."""
-    if not len(starts):
-        return starts
-    first = raw[starts]
-    second = raw[np.minimum(starts + 1, len(raw) - 1)]
-    begins = ((first >= 65) & (first <= 90)) | ((first == 0xC3) & (second >= 0x80) & (second <= 0x9E))
-    last = raw[ends[:-1] - 1]
-    begins[1:] |= (last == ord(".")) | (last == ord("!")) | (last == ord("?"))
-    lines = np.cumsum(raw == 10)[starts]
-    begins[1:] |= lines[1:] != lines[:-1]
-    begins[0] = True
-    return np.flatnonzero(begins)
+class Runs:
+    """Hashes of runs of a text's words, each from two sums over all words before."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        powers = np.full(len(hashes) + 1, STEP)
+        inverses = np.full(len(hashes) + 1, INVERSE)
+        powers[0] = inverses[0] = 1
+        self.inverses = np.cumprod(inverses)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * np.cumprod(powers)[:-1], dtype=np.uint64)])
+
+    def __call__(self, starts: np.ndarray, lengths: np.ndarray | int) -> np.ndarray:
+        value = (self.sums[starts + lengths] - self.sums[starts]) * self.inverses[starts]
+        return mixed(value + np.asarray(lengths).astype(np.uint64) * STEP)
+
+
+def least_of(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of `width` consecutive values, from each that has as many."""
+    least, have = values, 1
+    while have < width:
+        step = min(have, width - have)
+        least, have = np.minimum(least[: len(least) - step], least[step:]), have + step
+    return least
+
+
+def blocks_of(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """First paragraph, number of paragraphs, anchor and hash of each block of a text."""
+    n = len(hashes) - PASSAGE + 1
+    if n < 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    runs = Runs(hashes)
+    anchors = least_of(runs(np.arange(len(hashes) - ANCHOR + 1), ANCHOR), PASSAGE - ANCHOR + 1)
+    starts = np.concatenate([[0], np.flatnonzero(anchors[1:] != anchors[:-1]) + 1])
+    counts = np.diff(np.append(starts, n))
+    return starts, counts, anchors[starts], runs(starts, counts + PASSAGE - 1)
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, starts_of, hashes_of = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-        for number, text in enumerate(batch.column("text")):
-            text = text.as_py() or ""
-            raw = np.frombuffer(text.encode("utf-8"), np.uint8)
-            begins = beginnings(raw, *word_bounds(raw))
-            hashes = word_hashes(split_words(text))
-            begins = begins[begins + PASSAGE <= len(hashes)]
-            value = np.zeros(len(begins), np.uint64)
-            for i in range(PASSAGE):
-                value = value * STEP + hashes[begins + i]
-            rows.append(np.full(len(begins), number))
-            starts_of.append(begins)
-            hashes_of.append(mixed(value))
-        take = pa.array(np.concatenate(rows).astype(np.int64))
+        found = [blocks_of(word_hashes(split_words(text.as_py()))) for text in batch.column("text")]
+        take = pa.array(np.repeat(np.arange(len(found)), [len(x[0]) for x in found]))
+        starts, counts, anchors, hashes = (np.concatenate(x) for x in zip(*found)) if found else blocks_of(np.zeros(0))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id").take(take),
                 batch.column("text_hash").take(take),
-                pa.array(np.concatenate(starts_of).astype(np.int32)),
-                pa.array(np.concatenate(hashes_of).view(np.int64)),
+                pa.array(starts.astype(np.int32)),
+                pa.array(counts.astype(np.int32)),
+                pa.array(anchors.view(np.int64)),
+                pa.array(hashes.view(np.int64)),
             ],
-            ["id", "text_hash", "start", "hash"],
+            ["id", "text_hash", "start", "n", "anchor", "block"],
         )
 
 
+def _paragraphs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The paragraphs of the blocks that are wanted of each text."""
+    names = ["anchor", "block", "at", "hash", "first", "last"]
+    for batch in batches:
+        for text, wanted in zip(batch.column("text"), batch.column("wanted")):
+            runs = Runs(word_hashes(split_words(text.as_py())))
+            block = {name: wanted.values.field(name).to_numpy() for name in ("start", "n", *names[:2], *names[4:])}
+            take = np.repeat(np.arange(len(block["n"])), block["n"])
+            at = np.arange(len(take)) - np.repeat(np.cumsum(block["n"]) - block["n"], block["n"])
+            block |= {"at": at.astype(np.int32), "hash": runs(block["start"][take] + at, PASSAGE).view(np.int64)}
+            columns = [pa.array(block[name] if name in ("at", "hash") else block[name][take]) for name in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+
+def _equal(named: DataFrame) -> DataFrame:
+    """(id, text_hash, start, end, first): the running paragraphs that several documents hold; consecutive ones of the same
+    first document are one span. Equal paragraphs have equal anchors, so both hashes together tell them apart."""
+    blocks = "id long, text_hash long, start int, n int, anchor long, block long"
+    running = save(named.select("id", "text_hash", "text").mapInArrow(_running, blocks))
+    shared = running.groupBy("anchor").agg(
+        F.min("id").alias("first"), F.max("id").alias("last"), (F.min("block") < F.max("block")).alias("differ")
+    )
+    met = save(running.join(shared.where("first < last").select("anchor", "first", "differ"), "anchor"))
+    span = lambda at, n: [(F.col("start") + at).alias("start"), (F.col("start") + at + n + PASSAGE - 1).alias("end")]
+    whole = met.where("not differ").select("id", "text_hash", *span(F.lit(0), F.col("n")), "first")
+    apart = met.where("differ").drop("first", "differ")
+    different = apart.groupBy("anchor", "block").agg(
+        F.min(F.struct("id", "text_hash", "start", "n")).alias("one"), F.max("id").alias("last")
+    )
+    one = different.select("one.*", "anchor", "block", F.col("one.id").alias("first"), "last")
+    wanted = F.collect_list(F.struct("start", "n", "anchor", "block", "first", "last")).alias("wanted")
+    texts = named.join(one.groupBy("id", "text_hash").agg(wanted), ["id", "text_hash"]).select("text", "wanted")
+    each = "anchor long, block long, at int, hash long, first long, last long"
+    paragraphs = save(texts.mapInArrow(_paragraphs, each))
+    held = paragraphs.groupBy("anchor", "hash").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    kept = paragraphs.select("anchor", "block", "at", "hash").join(held.where("first < last").drop("last"), ["anchor", "hash"])
+    rank = F.dense_rank().over(Window.partitionBy("anchor", "block", "first").orderBy("at"))
+    parts = kept.withColumn("island", F.col("at") - rank).groupBy("anchor", "block", "first", "island")
+    parts = parts.agg(F.min("at").alias("at"), (F.max("at") - F.min("at") + 1).cast("int").alias("count"))
+    split = apart.join(parts, ["anchor", "block"])
+    return whole.unionByName(split.select("id", "text_hash", *span(F.col("at"), F.col("count")), "first"))
+
+
 def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of PASSAGE words or more, with the numbers of their first and past-the-last word."""
     for batch in batches:
@@ -112,9 +171,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         F.xxhash64(text_column).alias("text_hash"),
         F.col(text_column).alias("text"),
     )
-    running = save(named.mapInArrow(_running, "id long, text_hash long, start int, hash long"))
-    shared = running.groupBy("hash").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    equal = running.join(shared, "hash").select("id", "text_hash", "start", (F.col("start") + PASSAGE).alias("end"), "first")
+    equal = _equal(named)
     lines = named.mapInArrow(_written, "id long, text_hash long, start int, end int, text string")
     rows = lines.select(F.struct("id", "text_hash", "start", "end").alias("row_id"), "text")
     found = classes(rows, percent, 1, banded).select("row_id.*", "component")

@@ -233,6 +233,36 @@ def test_passages_are_found_and_removed(documents, nothing):
     assert paragraph_dedup.report(nothing).collect() == [] and paragraph_dedup.remove_passages(nothing).collect() == []
 
 
+def test_passages_at_any_offset_equal_brute_force(spark):
+    """Lower-case text without stops in lines of ten words, so that no line is a written paragraph."""
+    rng = random.Random(11)
+    plain = lambda n: [w.lower().rstrip(".") for w in prose(rng, n, 90_000)]
+    passages = [plain(n) for n in (49, 50, 51, 57, 75, 140)]
+    rows = [(i, ["the"] * (40 + 15 * i) + plain(60)) for i in range(4)] + [(4, ["a", "b", "c"] * 40), (5, ["b", "c", "a"] * 30)]
+    for i in range(10, 70):
+        words = plain(rng.randint(0, 90))
+        for passage in rng.sample(passages, rng.randint(0, 3)):
+            cut = rng.choice([0, 0, rng.randint(0, 20)])
+            words += passage[cut:] + plain(rng.randint(0, 40))
+        rows.append((i if rng.random() < 0.9 else None, words))
+    rows += [rows[20], (rows[21][0], rows[22][1]), (99, rows[30][1][3:] + passages[5])]
+    holders = defaultdict(set)
+    for doc_id, words in rows:
+        for i in range(len(words) - 49):
+            holders[tuple(words[i : i + 50])].add(-1 if doc_id is None else doc_id)
+    want = Counter()
+    for doc_id, words in {(d, tuple(w)) for d, w in rows}:
+        own, spans = -1 if doc_id is None else doc_id, [(i, holders[words[i : i + 50]]) for i in range(len(words) - 49)]
+        shared = {p for i, held in spans if len(held) > 1 for p in range(i, i + 50)}
+        removed = {p for i, held in spans if min(held) < own for p in range(i, i + 50)}
+        firsts = sorted({min(held) for _, held in spans if len(held) > 1})
+        if shared:
+            want[doc_id, len(shared), len(removed), tuple(None if f < 0 else f for f in firsts)] += 1
+    texts = [(d, "\n".join(" ".join(w[i : i + 10]) for i in range(0, len(w), 10))) for d, w in rows]
+    out = paragraph_dedup.report(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.n_repeated, r.n_removed, tuple(r.first_ids)) for r in out) == want
+
+
 def test_spans_are_cut_at_words():
     assert paragraph_dedup.without("á b\n c  d e", [(1, 3), (2, 3)]) == "á d e"
     assert paragraph_dedup.without("a b", [(0, 2)]) == ""
