@@ -79,6 +79,21 @@ def test_what_all_pages_of_a_host_share_is_cut(spark):
     assert site_tree.extract(pages.limit(0)).collect() == []
 
 
+def test_the_share_of_pages_decides_at_every_size(spark):
+    """A sentence on 40 % of the pages stays whatever their number, copies are told by their blocks, articles stay whole."""
+    html = "<body><script>{0}</script><div><p>Menu</p>{1}<p>Own {2}</p></div></body>"
+    rows = []
+    for host, m in (("small.org", 20), ("large.org", 400)):
+        for i in range(m):
+            rows.append((len(rows), f"http://{host}/{i}", html.format(i, "<p>Shared</p>" if i % 5 < 2 else "", i)))
+    rows += [(1000 + i, "http://small.org/copy", html.format(1000 + i, "", 3)) for i in range(200)]
+    rows += [(2000 + i, "http://a.org/", f"<article><p>Same text</p><p>Own {i}</p></article>") for i in range(10)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in site_tree.extract(pages).collect()}
+    assert out[0] == out[20] == "Shared Own 0" and out[2] == "Own 2"
+    assert out[1003] == "Own 3" and out[2001] == "Same text Own 1"
+
+
 def test_archives_round_trip(spark, pages):
     out = warc.round_trip(pages).collect()
     assert len(out) == pages.count()
