@@ -222,7 +222,7 @@ def classes(
     collisions: int = COLLISIONS,
     keys_of: Callable[[np.ndarray], np.ndarray] = coordinates,
 ) -> DataFrame:
-    """Rows (row_id, text) -> (row_id, n_shingles, node, component), one row each; row_id of any orderable type.
+    """Rows (row_id, text) -> (row_id, text_hash, n_shingles, node, component), one row each; row_id of any orderable type.
 
     node is the class of equal sets, component the least node linked to it over any chain of links; both are null for a
     row without words or text, which is linked with nothing. Two nodes are linked if 100 * intersection >= percent *
@@ -247,8 +247,8 @@ def classes(
     more = save(_across(save(_mixed(posted, labels)), posted, nodes, held, collisions, percent))
     if not more.isEmpty():
         labels = components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
-    out = signed.select("row_id", "n_shingles", "node").join(labels, "node", "left")
-    return out.select("row_id", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
+    out = signed.select("row_id", "text_hash", "n_shingles", "node").join(labels, "node", "left")
+    return out.select("row_id", "text_hash", "n_shingles", "node", F.coalesce("component", "node").alias("component"))
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -269,8 +269,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 def keep_one(docs: DataFrame) -> DataFrame:
     """The documents, one of each component: that of the smallest id, with all its columns.
 
-    Equal rows of one id are one document and leave as one; rows of one id and different texts are told apart by text.
+    Equal rows of one id are one document and leave as one; of those that differ in other columns any one stays. Texts of one
+    id are told apart: of several in one component, that of the smallest hash stays. A null id is after all others.
     """
-    result = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(result, docs["doc_id"].eqNullSafe(result["_id"]), "left_semi")
-    return kept
+    rows = docs.select(F.col("doc_id").cast("long").alias("row_id"), "text")
+    texts = classes(rows).groupBy("component", "row_id", "text_hash").agg(F.count("*").alias("n"))
+    texts = save(texts.withColumn("place", F.struct(F.col("row_id").isNull().alias("null"), "row_id", "text_hash")))
+    grouped = texts.where("component is not null").groupBy("component").agg(F.min_by("n", "place").alias("n"), F.min("place").alias("place"))
+    alone = texts.where("component is null").select("n", "place")
+    kept = save(grouped.select("n", "place").unionByName(alone).select("n", "place.row_id", "place.text_hash"))
+    own = docs.withColumn("_hash", F.xxhash64("text"))
+
+    def of(found: DataFrame) -> DataFrame:
+        same = own["doc_id"].cast("long").eqNullSafe(found["row_id"]) & own["_hash"].eqNullSafe(found["text_hash"])
+        return own.join(found, same, "left_semi")
+
+    once = of(kept.where("n = 1").select("row_id", "text_hash"))
+    repeated = of(kept.where("n > 1").select("row_id", "text_hash")).dropDuplicates(["doc_id", "_hash"])
+    return once.unionByName(repeated).select(*docs.columns)

@@ -85,6 +85,18 @@ def test_near_dedup_equals_brute_force(documents, nothing):
     assert near_dedup.near_duplicates(nothing).collect() == []
 
 
+def test_keep_one_leaves_one_row_of_each_group(spark):
+    rng = random.Random(4)
+    a, b, c, d = (" ".join(prose(rng, 100)) for _ in range(4))
+    near = lambda text: text + " and more"
+    rows = [(1, a), (1, a), (2, near(a)), (2, b), (3, c), (3, near(c)), (4, None), (4, None), (5, ""), (None, near(b)), (None, d), (None, d)]
+    kept = near_dedup.keep_one(spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string"))
+    assert kept.columns == ["doc_id", "text", "source"]
+    out = Counter((r.doc_id, r.text) for r in kept.collect())
+    assert out - Counter([(3, c), (3, near(c))]) == Counter([(1, a), (2, b), (4, None), (5, ""), (None, d)])
+    assert out[3, c] + out[3, near(c)] == 1
+
+
 def test_across_links_what_hubs_leave_apart(spark):
     """A chain of texts, each similar only to its neighbours, is one component."""
     rng = random.Random(3)
