@@ -66,6 +66,17 @@ def test_blocks_of_the_article():
     assert [b[1] for b in site_tree.blocks("<script>never closed")] == []
 
 
+def test_names_of_wrappers_are_no_noise():
+    texts = lambda page: [text for _, text, _ in site_tree.blocks(page)]
+    for name in ("content with-sidebar", "no-sidebar", "has-comments", "search-results", "widget"):
+        assert texts(f'<div class="{name}"><nav>N</nav><article><p>Text</p></article></div><p>x') == ["Text"], name
+    assert texts('<div id="social-history"><p>Long own text</p></div>') == ["Long own text"]
+    assert texts('<div class="widget"><p>Most of the text</p></div><p>Less') == ["Most of the text", "Less"]
+    assert texts('<div class="page-footer">F</div><p>Own text <span class="ad">Buy</span> on</p>') == ["Own text on"]
+    page = '<article><p>Short</p></article><div id="comments"><article><p>A comment that is longer</p></article></div>'
+    assert texts(page) == ["Short"]
+
+
 def test_what_all_pages_of_a_host_share_is_cut(spark):
     html = "<body><div><p>Subscribe now</p><p>Own text {0}</p></div></body>"
     rows = [(i, "http://h.org/" + str(i), html.format(i)) for i in range(12)]
