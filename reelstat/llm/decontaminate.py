@@ -59,6 +59,9 @@ def scanned(docs: DataFrame, items: DataFrame, id_column: str = "doc_id", text_c
     right = known.select("hash", "window", "items")
     if n_windows <= BROADCAST_WINDOWS:
         right = F.broadcast(right)
+    else:  # the rows are shuffled: each carries its own window, not all words of its document
+        each = each.withColumn("own", F.when(F.col("place") > 0, window)).drop("words")
+        window = F.col("own")
     # array_contains, not =, so that the join's key is the hash alone.
     verified = (each["hash"] == right["hash"]) & F.array_contains(F.array(right["window"]), window)
     rows = each.join(right, verified, "left").where((F.col("place") == 0) | F.col("items").isNotNull())

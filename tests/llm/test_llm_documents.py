@@ -177,6 +177,17 @@ def test_decontamination_equals_brute_force(documents, nothing, spark):
     assert not any(r.contaminated for r in decontaminate.contamination(documents, empty).collect())
 
 
+def test_decontamination_by_a_shuffle_join_carries_windows_only(documents, spark, monkeypatch):
+    text = next(r.text for r in documents.where("length(text) > 600").collect())
+    benchmark = spark.createDataFrame([(1, " ".join(text.split()[3:30])), (2, "one")], "item_id long, text string")
+    want = Counter(map(tuple, decontaminate.contamination(documents, benchmark).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 0)
+    assert Counter(map(tuple, decontaminate.contamination(documents, benchmark).collect())) == want
+    plan = decontaminate.scanned(documents, benchmark)._jdf.queryExecution().optimizedPlan().toString()
+    (join,) = [line for line in plan.split("\n") if "Join Left" in line]
+    assert "words" not in join
+
+
 def test_packing_keeps_every_id_once(documents, nothing):
     import public_tokenizers
     from tokenizers import Tokenizer
