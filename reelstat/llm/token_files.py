@@ -16,6 +16,7 @@ import re
 import string
 from array import array
 from collections.abc import Iterator
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +29,7 @@ from reelstat.sources.files import join
 
 LENGTH = 2048
 BATCH = 64
-SHARD_BYTES = 32_000_000
+SHARD_BYTES = 8_000_000
 READ_BYTES = 8_000_000
 END_ID = 0
 CACHED_WORDS = 500_000
@@ -45,6 +46,9 @@ LINES = re.compile(r"([^\W\d_]+)([.,;:!?]*)\n([^\W\d_]+)([.,;:!?]*)")
 SPECIAL = "<|"
 
 
+identify = attrgetter("id")
+
+
 def plain(word: str) -> bool:
     """Letters alone, of scripts whose classes are the same in every version of Unicode."""
     return word.isalpha() and (word.isascii() or max(word) < "\u0250")
@@ -67,7 +71,7 @@ class Words(dict):
     def _letters(self, word: str) -> bytes:
         """Of letters as the model spells them: bytes by characters, a space before the word as the first of them."""
         spelt = word.replace(" ", "Ġ") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(SPELT)
-        return array(self.kind, [token.id for token in self.tokenize(spelt)]).tobytes()
+        return array(self.kind, list(map(identify, self.tokenize(spelt)))).tobytes()
 
     def _stops(self, stops: str) -> bytes:
         if stops not in self.stops:
@@ -80,8 +84,13 @@ class Words(dict):
         if len(self) >= CACHED_WORDS:
             self.clear()
         letters = word.rstrip(STOPS)
-        if plain(letters):
-            ids = self._letters(" " + letters) if letters == word else self[letters] + self._stops(word[len(letters) :])
+        if letters.isalpha() and letters.isascii():
+            if letters == word:
+                ids = array(self.kind, list(map(identify, self.tokenize("Ġ" + word)))).tobytes()
+            else:
+                ids = self[letters] + self._stops(word[len(letters) :])
+        elif plain(letters):
+            ids = self._letters(" " + letters) + self._stops(word[len(letters) :])
         elif (lines := LINES.fullmatch(word)) and plain(lines[1]) and plain(lines[3]):
             ids = self[lines[1]] + self._stops(lines[2]) + self._stops("\n") + self._letters(lines[3]) + self._stops(lines[4])
         else:
@@ -108,25 +117,36 @@ class Encoder:
         return self.words.whole(first) + ids if first else ids
 
 
-def shard_file(kind: str, length: int, ids: bytes, documents: list[tuple[int | None, int]], place: tuple[int, int]) -> bytes:
-    """One file: the ids of whole documents as (doc_id, number of ids) cut into sequences, the last one padded with zeros."""
-    flat = np.frombuffer(ids, kind)
-    n = -(-len(flat) // length) * length
+def shard_file(kind: str, length: int, ids: bytearray, documents: list[tuple[int | None, int]], place: tuple[int, int]) -> pa.Buffer:
+    """One file: the ids of whole documents as (doc_id, number of ids) cut into sequences, the last one padded with zeros.
+
+    `ids` is padded in place and then written from where it is."""
+    width = np.dtype(kind).itemsize
+    used = len(ids) // width
+    n = -(-used // length) * length
+    ids.extend(bytes((n - used) * width))
     counts = np.array([count for _, count in documents], np.int64)
-    ends, mask, padded = np.zeros(n, bool), np.arange(n) < len(flat), np.zeros(n, kind)
-    padded[: len(flat)] = flat
+    mask, ends = np.zeros(n, bool), np.zeros(n, bool)
+    mask[:used] = True
     ends[np.cumsum(counts) - 1] = True
     held = pa.table({"doc_id": pa.array([d for d, _ in documents], pa.int64()), "n_tokens": counts})
     index = pa.BufferOutputStream()
     with pa.ipc.new_stream(index, held.schema) as writer:
         writer.write_table(held)
-    columns = {name: pa.FixedSizeListArray.from_arrays(pa.array(x), length) for name, x in (("ids", padded), ("mask", mask), ("ends", ends))}
-    about = {"partition": str(place[0]), "shard": str(place[1]), "n_tokens": str(len(flat)), "documents": index.getvalue().to_pybytes()}
+    values = {"ids": np.frombuffer(ids, kind), "mask": mask, "ends": ends}
+    columns = {name: pa.FixedSizeListArray.from_arrays(pa.array(x), length) for name, x in values.items()}
+    about = {"partition": str(place[0]), "shard": str(place[1]), "n_tokens": str(used), "documents": index.getvalue().to_pybytes()}
     table = pa.table(columns).replace_schema_metadata(about)
     out = pa.BufferOutputStream()
     with pa.ipc.new_file(out, table.schema) as writer:
         writer.write_table(table, max_chunksize=BATCH)
-    return out.getvalue().to_pybytes()
+    return out.getvalue()
+
+
+def _one(value: pa.Buffer) -> pa.Array:
+    """An array of one binary value, without a copy."""
+    ends = pa.py_buffer(np.array([0, value.size], np.int32).tobytes())
+    return pa.Array.from_buffers(pa.binary(), 1, [None, ends, value])
 
 
 def _shards(path: str, length: int, shard_bytes: int):
@@ -134,25 +154,24 @@ def _shards(path: str, length: int, shard_bytes: int):
         encode, place = Encoder(path), [TaskContext.get().partitionId(), 0]
         kind = {"H": "u2", "I": "u4"}[encode.words.kind]
         end = np.array([END_ID], kind).tobytes()
-        parts: list[bytes] = []
+        ids = bytearray()
         documents: list[tuple[int | None, int]] = []
 
         def shard() -> pa.RecordBatch:
-            made = shard_file(kind, length, b"".join(parts), documents, tuple(place)).removesuffix(MAGIC.encode())
-            place[1], parts[:], documents[:] = place[1] + 1, [], []
-            return pa.RecordBatch.from_arrays([pa.array([made], pa.binary())], ["value"])
+            made = shard_file(kind, length, ids, documents, tuple(place))
+            place[1] += 1
+            return pa.RecordBatch.from_arrays([_one(made.slice(0, made.size - len(MAGIC)))], ["value"])
 
-        size = 0
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id"), batch.column("text")):
-                ids = encode(text.as_py() or "") + end
-                parts.append(ids)
-                documents.append((doc_id.as_py(), len(ids) // len(end)))
-                size += len(ids)
-                if size >= shard_bytes:
+                before = len(ids)
+                ids += encode(text.as_py() or "")
+                ids += end
+                documents.append((doc_id.as_py(), (len(ids) - before) // len(end)))
+                if len(ids) >= shard_bytes:
                     yield shard()
-                    size = 0
-        if parts:
+                    ids, documents = bytearray(), []
+        if documents:
             yield shard()
 
     return write
@@ -237,8 +256,8 @@ def write(
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
-    order = ["doc_id", F.xxhash64("text"), "text"]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    order = ["doc_id", F.xxhash64("text")]  # a sample of these reaches the driver, so no texts
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     shards = ordered.mapInArrow(_shards(tokenizer, length, shard_bytes), "value binary")
     text = shards.select(F.col("value").cast("string").alias("value"))
     text.write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(join(path, "shards"))
