@@ -12,10 +12,12 @@ Files are written and read by Spark's own sources, so they may lie in any store
 
 from __future__ import annotations
 
+import codecs
 import re
 import string
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from operator import attrgetter
 
 import numpy as np
@@ -30,6 +32,7 @@ from reelstat.sources.files import join
 LENGTH = 2048
 BATCH = 64
 SHARD_BYTES = 8_000_000
+ROWS = 1_000  # of a batch on its way to a task's Python
 READ_BYTES = 8_000_000
 END_ID = 0
 CACHED_WORDS = 500_000
@@ -46,6 +49,8 @@ LINES = re.compile(r"([^\W\d_]+)([.,;:!?]*)\n([^\W\d_]+)([.,;:!?]*)")
 SPECIAL = "<|"
 
 
+#: By byte, the character that byte-level models spell it with.
+SPELLING = "".join(chr(SPELT.get(byte, byte)) for byte in range(256))
 identify = attrgetter("id")
 
 
@@ -68,9 +73,9 @@ class Words(dict):
     def whole(self, text: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _letters(self, word: str) -> bytes:
+    def letters(self, word: str) -> bytes:
         """Of letters as the model spells them: bytes by characters, a space before the word as the first of them."""
-        spelt = word.replace(" ", "Ġ") if word.isascii() else word.encode("utf-8").decode("latin-1").translate(SPELT)
+        spelt = codecs.charmap_decode(word.encode("utf-8"), "strict", SPELLING)[0]
         return array(self.kind, list(map(identify, self.tokenize(spelt)))).tobytes()
 
     def _stops(self, stops: str) -> bytes:
@@ -90,9 +95,9 @@ class Words(dict):
             else:
                 ids = self[letters] + self._stops(word[len(letters) :])
         elif plain(letters):
-            ids = self._letters(" " + letters) + self._stops(word[len(letters) :])
+            ids = self.letters(" " + letters) + self._stops(word[len(letters) :])
         elif (lines := LINES.fullmatch(word)) and plain(lines[1]) and plain(lines[3]):
-            ids = self[lines[1]] + self._stops(lines[2]) + self._stops("\n") + self._letters(lines[3]) + self._stops(lines[4])
+            ids = self[lines[1]] + self._stops(lines[2]) + self._stops("\n") + self.letters(lines[3]) + self._stops(lines[4])
         else:
             ids = self.whole(" " + word)
         self[word] = ids
@@ -114,7 +119,9 @@ class Encoder:
             return self.words.whole(text)
         first, *rest = BEFORE_WORD.split(text) if ODD_SPACE.search(text) else text.split(" ")
         ids = b"".join(map(self.words.__getitem__, rest))
-        return self.words.whole(first) + ids if first else ids
+        if not first:
+            return ids
+        return (self.words.letters(first) if plain(first) else self.words.whole(first)) + ids
 
 
 def shard_file(kind: str, length: int, ids: bytearray, documents: list[tuple[int | None, int]], place: tuple[int, int]) -> pa.Buffer:
@@ -260,10 +267,23 @@ def write(
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     shards = ordered.mapInArrow(_shards(tokenizer, length, shard_bytes), "value binary")
     text = shards.select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(join(path, "shards"))
+    with _batches_of(spark, ROWS):
+        text.write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(join(path, "shards"))
     _number(spark, path)
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is run inside sends so many rows at once to Python, which bounds the memory of a batch of texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _number(spark: SparkSession, path: str) -> None:
     long = "partition long, shard long, n_tokens long, n_documents long"
     headers = _files(spark, path).mapInArrow(_headers, long)
