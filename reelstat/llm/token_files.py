@@ -15,6 +15,8 @@ from __future__ import annotations
 import codecs
 import re
 import string
+import sys
+import types
 from array import array
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -124,6 +126,18 @@ class Encoder:
         return (self.words.letters(first) if plain(first) else self.words.whole(first)) + ids
 
 
+#: Fixed value: the name under which a worker process keeps its encoders from task to task.
+KEPT = "_reelstat_encoders"
+
+
+def kept_encoder(path: str) -> Encoder:
+    """The process's encoder of a tokenizer: reading one takes longer than many a task."""
+    held = sys.modules.setdefault(KEPT, types.ModuleType(KEPT)).__dict__
+    if path not in held:
+        held[path] = Encoder(path)
+    return held[path]
+
+
 def shard_file(kind: str, length: int, ids: bytearray, documents: list[tuple[int | None, int]], place: tuple[int, int]) -> pa.Buffer:
     """One file: the ids of whole documents as (doc_id, number of ids) cut into sequences, the last one padded with zeros.
 
@@ -158,7 +172,7 @@ def _one(value: pa.Buffer) -> pa.Array:
 
 def _shards(path: str, length: int, shard_bytes: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, place = Encoder(path), [TaskContext.get().partitionId(), 0]
+        encode, place = kept_encoder(path), [TaskContext.get().partitionId(), 0]
         kind = {"H": "u2", "I": "u4"}[encode.words.kind]
         end = np.array([END_ID], kind).tobytes()
         ids = bytearray()
@@ -180,6 +194,7 @@ def _shards(path: str, length: int, shard_bytes: int):
                     ids, documents = bytearray(), []
         if documents:
             yield shard()
+        pa.default_memory_pool().release_unused()  # the process lives on
 
     return write
 

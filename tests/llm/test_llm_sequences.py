@@ -7,7 +7,6 @@ import random
 import re
 import zlib
 from collections import Counter
-from pathlib import Path
 
 import numpy as np
 import public_tokenizers
