@@ -18,11 +18,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_TERMS = 50_000  # learnt word beginnings, heaviest first: bounds what is broadcast
-MAX_ROWS = 20_000  # labelled rows that the logistic fit sees, by hash of their id
+from reelstat.llm.scratch import save
+
+#: Labelled rows that are learnt from, chosen by the hash of their id. It bounds what is broadcast: ids and labels first,
+#: then the terms, which are at most those of so many documents that three toxic ones or more hold.
+MAX_ROWS = 50_000
 LEAST_WEIGHT = 2.5
 STEMS = (4, 6)
 CACHED_WORDS = 300_000
@@ -67,7 +70,7 @@ def learn_terms(train: DataFrame, least_weight: float = LEAST_WEIGHT) -> dict[st
     odds = F.log(toxic / (totals.toxic + 1)) - F.log(clean / (totals.clean + 1))
     sure = odds - 1.64 * F.sqrt(1 / toxic + 1 / clean)
     found = counts.select("term", sure.alias("weight")).where(F.col("weight") > least_weight)
-    return {row.term: row.weight for row in found.orderBy(F.desc("weight"), "term").limit(MAX_TERMS).collect()}
+    return {row.term: row.weight for row in found.collect()}
 
 
 class Lexicon:
@@ -160,23 +163,36 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
+def _chosen(labels: DataFrame, folds: int) -> DataFrame:
+    """(doc_id, toxic) of at most about MAX_ROWS ids outside the held-out fold; of several labels of an id the greatest."""
+    known = labels.where(F.col("toxic").isin(0, 1) & (_fold(folds) != 0))
+    known = save(known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+    share = min(1.0, MAX_ROWS / max(1, known.count()))
+    return known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
+
+
+def _fold(folds: int) -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0))
+
+
 def score(docs: DataFrame, labels: DataFrame, folds: int = 5) -> DataFrame:
     """(doc_id, held_out, score, predicted) per row; only labels of rows outside the held-out fold are learnt from.
 
     held_out: crc32(doc_id as text) mod folds is 0; a row of a null id is held out. Of several labels of an id the
-    greatest counts. Null and empty texts match no clause and get the score of that.
+    greatest counts. Null and empty texts match no clause and get the score of that. Repeated rows are scored each, very
+    long texts as a whole; other columns are not looked at, whatever their names. No rows give no rows; without labels
+    every score is that of a document that matches no clause.
+
+    Texts are not shuffled: the chosen ids, MAX_ROWS at most, are broadcast to the documents.
     """
     spark = docs.sparkSession
-    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds, F.lit(0))
-    known = labels.where("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    rows = docs.select("doc_id", "text", (fold == 0).alias("held_out"))
-    train = rows.where(~F.col("held_out")).join(known, "doc_id").select("doc_id", "text", "toxic")
+    rows = docs.select("doc_id", "text", (_fold(folds) == 0).alias("held_out"))
+    chosen = F.broadcast(_chosen(labels, folds))
+    train = save(rows.where(~F.col("held_out")).join(chosen, "doc_id").select("doc_id", "text", "toxic"))
     terms = spark.sparkContext.broadcast(learn_terms(train))
     names = ["f0", "f1", "f2", "f3"]
     schema = "row struct<doc_id:bigint,toxic:int>, " + ", ".join(f"{n} double" for n in names)
-    share = min(1.0, MAX_ROWS / max(1, train.count()))
-    sample = train.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(1_000_000 * share))
-    sample = sample.select(F.struct(F.col("doc_id").cast("long"), "toxic").alias("row"), "text")
+    sample = train.select(F.struct(F.col("doc_id").cast("long"), "toxic").alias("row"), "text")
     seen = sample.mapInArrow(_featured(terms), schema).select("row.toxic", *names).toPandas()
     w = fit(seen[names].to_numpy(float), seen["toxic"].to_numpy(float))
     schema = schema.replace("toxic:int", "held_out:boolean")
