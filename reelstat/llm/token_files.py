@@ -19,7 +19,6 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
-from contextlib import contextmanager
 from operator import attrgetter
 
 import numpy as np
@@ -29,12 +28,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.llm.packing import SPELT
+from reelstat.llm.scratch import batches_of
 from reelstat.sources.files import join
 
 LENGTH = 2048
 BATCH = 64
 SHARD_BYTES = 8_000_000
-ROWS = 1_000  # of a batch on its way to a task's Python
 READ_BYTES = 8_000_000
 END_ID = 0
 CACHED_WORDS = 500_000
@@ -282,23 +281,11 @@ def write(
     ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order, "text")
     shards = ordered.mapInArrow(_shards(tokenizer, length, shard_bytes), "value binary")
     text = shards.select(F.col("value").cast("string").alias("value"))
-    with _batches_of(spark, ROWS):
+    with batches_of(spark):
         text.write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(join(path, "shards"))
     _number(spark, path)
 
 
-@contextmanager
-def _batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
-    """What is run inside sends so many rows at once to Python, which bounds the memory of a batch of texts."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def _number(spark: SparkSession, path: str) -> None:
     long = "partition long, shard long, n_tokens long, n_documents long"
     headers = _files(spark, path).mapInArrow(_headers, long)
