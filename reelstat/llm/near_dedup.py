@@ -142,8 +142,8 @@ def _blocks(collisions: int, percent: int):
     def link(table: pa.Table) -> pa.Table:
         column = {name: table.column(name).to_pylist() for name in ("node", "component", "shingles")}
         key, i, j = (table.column(name)[0].as_py() for name in ("key", "i", "j"))
-        keys = np.stack([np.asarray(x, np.int64) for x in table.column("keys").to_pylist()])
-        masks = np.asarray(table.column("posted").to_pylist(), np.int64).view(np.uint64)
+        keys = table.column("keys").combine_chunks().flatten().to_numpy().reshape(table.num_rows, -1)
+        masks = table.column("posted").to_numpy().view(np.uint64)
         block, at = np.asarray(table.column("block")), np.uint64((key % (1 << 64)) >> VALUE_BITS)
         labels = np.unique(column["component"], return_inverse=True)[1]
         sets = [np.frombuffer(x, np.uint64) for x in column["shingles"]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
@@ -42,9 +44,11 @@ def shingle_hashes(hashes: np.ndarray, width: int = WORDS) -> np.ndarray:
 
 def shingle_set(text: str | None, width: int = WORDS) -> np.ndarray:
     """The distinct shingles of a text, ascending."""
-    return np.unique(shingle_hashes(word_hashes(split_words(text)), width))
+    hashes = np.sort(shingle_hashes(word_hashes(split_words(text)), width))
+    return hashes[np.concatenate([[True], hashes[1:] != hashes[:-1]])] if len(hashes) else hashes
 
 
+@cache
 def multipliers(n: int, seed: int = 1) -> np.ndarray:
     """Odd multipliers, the same on every machine."""
     state = np.arange(1, n + 1, dtype=np.uint64) * STEP + np.uint64(seed * 0xBF58476D1CE4E5B9 % 2**64)
@@ -53,6 +57,8 @@ def multipliers(n: int, seed: int = 1) -> np.ndarray:
 
 def minhash(shingles: np.ndarray, factors: np.ndarray) -> np.ndarray:
     """The least of factor * shingle for each factor. Blocks bound the memory of very long texts."""
+    if 0 < len(shingles) <= BLOCK:
+        return (factors[:, None] * shingles[None, :]).min(axis=1)
     least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), BLOCK):
         block = shingles[at : at + BLOCK]
