@@ -105,40 +105,70 @@ def _walk(value: Column, dtype: T.DataType, keys: frozenset[str], null_too: bool
 def _walk_map(value: Column, dtype: T.MapType, keys: frozenset[str], null_too: bool) -> Column:
     listed = sorted(keys)
 
+    if not isinstance(dtype.keyType, T.StringType):  # no such key is one of the names
+        return F.transform_values(value, lambda _, item: _walk(item, dtype.valueType, keys, null_too))
+    plain = isinstance(dtype.valueType, T.StringType)
+
     def one(key: Column, item: Column) -> Column:
         hit = key.isin(listed) if null_too else key.isin(listed) & item.isNotNull()
         kept = _walk(item, dtype.valueType, keys, null_too)
-        if isinstance(dtype.valueType, T.StringType):
-            return F.when(hit, F.lit(REDACTED)).otherwise(kept)
-        if isinstance(dtype.valueType, T.VariantType):
-            return F.when(hit, _masked_variant()).otherwise(kept)
-        # A map has one value type, so a value that cannot hold the text is removed instead.
-        return F.when(~hit, kept)
+        return F.when(hit, F.lit(REDACTED) if plain else _masked_variant()).otherwise(kept if plain else _as_variant(kept, dtype.valueType))
 
+    # A map has one value type; one that cannot hold the text becomes a map of variants, which hold it beside the others.
     return F.transform_values(value, one)
 
 
+def _as_variant(value: Column, dtype: T.DataType) -> Column:
+    if isinstance(dtype, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_variant_object(value)
+    return value if isinstance(dtype, T.VariantType) else value.cast("variant")
+
+
 def _masked_variant() -> Column:
     return F.parse_json(F.lit(f'"{REDACTED}"'))
 
 
+# Fixed value: the tokens of JSON text. Strings are matched without backtracking, so their length does not matter.
+_TOKENS = r'("[^"\\]*+(?:\\.[^"\\]*+)*+"|[\[\]{},:]|[^\[\]{},:"]++)'
+
+
+def _redact_text(text: Column, keys: list[str], null_too: bool) -> Column:
+    """The same on compact JSON text, at any depth: one pass over its tokens.
+
+    The state is the text so far, the depth, the depth of the value that is being left out (-1: none), the token before,
+    and whether the next token begins a value to be replaced.
+    """
+    quoted = [f'"{key}"' for key in keys]
+    mask = F.lit(f'"{REDACTED}"')
+    start = F.struct(
+        F.lit("").alias("out"), F.lit(0).alias("depth"), F.lit(-1).alias("skip"), F.lit("").alias("last"), F.lit(False).alias("due")
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        opens, closes = token.isin("{", "["), token.isin("}", "]")
+        depth = state["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0)
+        skipping = state["skip"] >= 0
+        hidden = state["due"] if null_too else state["due"] & (token != "null")
+        written = F.when(skipping, F.lit("")).when(hidden, mask).otherwise(token)
+        skip = F.when(skipping, F.when(depth == state["skip"], -1).otherwise(state["skip"])).when(hidden & opens, state["depth"]).otherwise(-1)
+        due = ~skipping & (token == ":") & state["last"].isin(quoted)
+        made = (F.concat(state["out"], written), depth, skip, token, due)
+        return F.struct(*[c.alias(n) for c, n in zip(made, ("out", "depth", "skip", "last", "due"))])
+
+    return F.aggregate(F.regexp_extract_all(text, F.lit(_TOKENS), F.lit(1)), start, step, lambda state: state["out"])
+
+
 def redact_variant(value: Column, keys: Iterable[str] = EVENT_PII, null_too: bool = False, depth: int = 3) -> Column:
-    """Redaction of a payload of unknown shape.
+    """Redaction of a payload of unknown shape, at any depth.
 
-    Objects and arrays are rebuilt down to `depth` levels. Deeper, values are replaced in the JSON text, at any depth:
-    plain values, and objects and arrays from the innermost out. Only a value that resists this, such as one with
-    brackets inside its strings, is replaced together with what surrounds it, so nothing leaks.
+    Objects and arrays are rebuilt down to `depth` levels, which costs least. What lies deeper and holds one of the keys is
+    redacted in its JSON text, token by token; the result is the same whatever `depth` is.
     """
     listed = sorted(keys)
     name = r'(?<!\\)"(' + "|".join(listed) + r')":'
-    plain = name + r'(?:"(?:[^"\\]|\\.)*"|-?[0-9][^,}\]]*|true|false' + ("|null" if null_too else "") + ")"
-    flat = name + r"(?:\{[^{}\[\]]*\}|\[[^{}\[\]]*\])"
 
     def deep(node: Column) -> Column:
-        text = F.regexp_replace(F.to_json(node), plain, f'"$1":"{REDACTED}"')
-        for _ in range(3):
-            text = F.regexp_replace(text, flat, f'"$1":"{REDACTED}"')
-        return F.when(text.rlike(name + r"[\[{]"), _masked_variant()).otherwise(F.try_parse_json(text))
+        return F.try_parse_json(_redact_text(F.to_json(node), listed, null_too))
 
     def level(node: Column, left: int) -> Column:
         kind = F.schema_of_variant(node)

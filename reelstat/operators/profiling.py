@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -162,71 +163,88 @@ def probe_time(text: Column) -> Column:
     )
 
 
-def watermark_probe(
-    raw: DataFrame,
-    candidates: Iterable[str] = WATERMARK_FIELDS,
-    by: Iterable[str] = (),
-    value: str = "value",
-) -> DataFrame:
-    """Per candidate field, in order of preference: values found, values that are times, earliest and latest.
+def _inner(node: Column) -> Column:
+    """The elements of an array, or of the `items` of an object; none otherwise."""
+    listed = F.try_variant_get(node, "$", "array<variant>")
+    wrapped = F.try_variant_get(F.try_variant_get(node, "$.items", "variant"), "$", "array<variant>")
+    return F.coalesce(listed, wrapped, F.array().cast("array<variant>"))
 
-    Looks at JSON objects, at the elements of JSON arrays, and at the `items` of each. `suggested` marks the first
-    candidate with usable times, per group of `by`.
-    """
-    by, names = list(by), list(candidates)
-    node = F.col("_node")
-    empty = F.array().cast("array<variant>")
 
-    def listed(v: Column) -> Column:
-        return F.coalesce(F.try_variant_get(v, "$", "array<variant>"), empty)
+def _marked(last: bool):
+    return lambda node: F.struct(node.alias("_node"), F.lit(last).alias("_last"))
 
-    top = F.when(F.schema_of_variant(node).startswith("ARRAY"), listed(node)).otherwise(F.array(node))
-    nested = F.flatten(F.transform(F.col("_top"), lambda v: listed(F.try_variant_get(v, "$.items", "variant"))))
-    nodes = (
-        raw.select(*by, F.try_parse_json(F.col(value)).alias("_node"))
-        .select(*by, top.alias("_top"))
-        .select(*by, F.explode(F.concat("_top", nested)).alias("_node"))
-    )
+
+def _probed(nodes: DataFrame, by: list[str], names: list[str]) -> DataFrame:
+    """Per group: values found, times among them, earliest and latest, of each name."""
+    node = F.col("_node")
 
     def string_at(name: str) -> Column:
         kind = F.schema_of_variant(F.try_variant_get(node, f"$.{name}", "variant"))
         return F.when(kind == "STRING", F.try_variant_get(node, f"$.{name}", "string"))
 
-    texts = nodes.select(*by, *[string_at(name).alias(f"text_{i}") for i, name in enumerate(names)])
+    texts = nodes.select(*by, "_left", *[string_at(name).alias(f"text_{i}") for i, name in enumerate(names)])
     times = texts.select("*", *[probe_time(F.col(f"text_{i}")).alias(f"time_{i}") for i in range(len(names))])
     # One row per group; a payload contributes to all candidates at once.
-    totals = times.groupBy(*by).agg(
-        *[
-            measure
-            for i in range(len(names))
-            for measure in (
-                F.count(f"text_{i}").alias(f"found_{i}"),
-                F.count(f"time_{i}").alias(f"parsed_{i}"),
-                F.min(f"time_{i}").alias(f"min_{i}"),
-                F.max(f"time_{i}").alias(f"max_{i}"),
-            )
-        ]
-    )
+    measures = [
+        measure
+        for i in range(len(names))
+        for measure in (
+            F.count(f"text_{i}").alias(f"found_{i}"),
+            F.count(f"time_{i}").alias(f"parsed_{i}"),
+            F.min(f"time_{i}").alias(f"min_{i}"),
+            F.max(f"time_{i}").alias(f"max_{i}"),
+        )
+    ]
+    return times.groupBy(*by).agg(F.coalesce(F.max("_left"), F.lit(False)).alias("_left"), *measures)
+
+
+def watermark_probe(
+    raw: DataFrame,
+    candidates: Iterable[str] = WATERMARK_FIELDS,
+    by: Iterable[str] = (),
+    value: str = "value",
+) -> DataFrame:
+    """Per candidate field, in order of preference: values found, values that are times, earliest and latest.
+
+    Looks at JSON objects, at the elements of JSON arrays, and at the `items` of each, however they are nested. `suggested`
+    marks the first candidate with usable times, per group of `by`.
+
+    One pass takes the payloads and two containers inside each other, and says whether any of them holds more; only then a
+    further pass takes the next levels of what is left. The totals of a pass, a row per group, are kept in memory.
+    """
+    by, names = list(by), list(candidates)
+    nodes = raw.select(*by, F.try_parse_json(F.col(value)).alias("_node"))
+    passes: list[DataFrame] = []
+    more = True
+    while more:
+        inside = F.flatten(F.transform("_inner", _inner))
+        levels = nodes.select(*by, "_node", _inner(F.col("_node")).alias("_inner")).withColumn("_inside", inside)
+        marked = [F.transform(listed, _marked(last)) for listed, last in ((F.array("_node"), False), ("_inner", False), ("_inside", True))]
+        each = levels.select(*by, F.explode(F.concat(*marked)).alias("_one")).select(*by, "_one.*")
+        left = F.col("_last") & (F.size(_inner(F.col("_node"))) > 0)
+        totals = _probed(each.withColumn("_left", left), by, names).persist()
+        passes.append(totals)
+        more = bool(totals.agg(F.max("_left")).first()[0])
+        nodes = each.where(left).select(*by, F.explode(_inner(F.col("_node"))).alias("_node")) if more else nodes
+    totals = passes[0]
+    if len(passes) > 1:
+        both = reduce(DataFrame.unionByName, passes)
+        fold = {"found": F.sum, "parsed": F.sum, "min": F.min, "max": F.max}
+        totals = both.groupBy(*by).agg(*[f(f"{n}_{i}").alias(f"{n}_{i}") for i in range(len(names)) for n, f in fold.items()])
     best = F.coalesce(*[F.when(F.col(f"parsed_{i}") > 0, F.lit(i)) for i in range(len(names))], F.lit(-1))
-    return totals.select(
-        *by,
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(i).alias("priority"),
-                        F.lit(name).alias("field"),
-                        F.col(f"found_{i}").alias("found"),
-                        F.col(f"parsed_{i}").alias("parsed"),
-                        F.col(f"min_{i}").alias("min_ts"),
-                        F.col(f"max_{i}").alias("max_ts"),
-                        (best == i).alias("suggested"),
-                    )
-                    for i, name in enumerate(names)
-                ]
-            )
-        ),
-    )
+    fields = [
+        F.struct(
+            F.lit(i).alias("priority"),
+            F.lit(name).alias("field"),
+            F.col(f"found_{i}").alias("found"),
+            F.col(f"parsed_{i}").alias("parsed"),
+            F.col(f"min_{i}").alias("min_ts"),
+            F.col(f"max_{i}").alias("max_ts"),
+            (best == i).alias("suggested"),
+        )
+        for i, name in enumerate(names)
+    ]
+    return totals.select(*by, F.inline(F.array(*fields)))
 
 
 def catalog_sweep(

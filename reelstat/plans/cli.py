@@ -27,6 +27,13 @@ _GOLD = ("--silver-uri", "--gold-uri", "--day")
 _ONE_LEVEL = {"flat_days": {"action": "store_true", "help": "keep media_id as a column, not one directory per media"}}
 
 
+_EXTRA = {"extra_fields": {"default": "", "help": "further event fields to keep, comma-separated"}}
+
+
+def _names(text: str) -> list[str]:
+    return [name.strip() for name in text.split(",") if name.strip()]
+
+
 def silver_visitors(argv: Sequence[str] | None = None) -> int:
     args = _arguments("silver_visitors", argv, *_SILVER, email_hash_key={}, **_ONE_LEVEL)
     spark = session("silver-visitors")
@@ -43,11 +50,10 @@ def silver_media(argv: Sequence[str] | None = None) -> int:
 
 
 def silver_events(argv: Sequence[str] | None = None) -> int:
-    args = _arguments("silver_events", argv, *_SILVER, ip_hash_key={}, **_ONE_LEVEL)
+    args = _arguments("silver_events", argv, *_SILVER, ip_hash_key={}, **_EXTRA, **_ONE_LEVEL)
     spark = session("silver-events")
-    return jobs.silver_events(
-        spark, args.input_uri, args.output_uri, args.day, args.ip_hash_key, media_dirs=not args.flat_days
-    )
+    where = (args.input_uri, args.output_uri, args.day, args.ip_hash_key)
+    return jobs.silver_events(spark, *where, media_dirs=not args.flat_days, extra=_names(args.extra_fields))
 
 
 def silver_media_by_date(argv: Sequence[str] | None = None) -> int:
@@ -77,8 +83,11 @@ def run_days(argv: Sequence[str] | None = None) -> dict:
         status_uri={},
         day={},
         ip_hash_key={},
+        email_hash_key={},
+        **_EXTRA,
         **_ONE_LEVEL,
     )
     days = args.day.split(",") if args.day else [jobs.yesterday_utc()]
     roots = jobs.Roots(args.bronze_uri, args.silver_uri, args.gold_uri, args.status_uri)
-    return jobs.run_days(session("media-days"), days, roots, args.ip_hash_key, not args.flat_days)
+    keys = (args.ip_hash_key, not args.flat_days, args.email_hash_key)
+    return jobs.run_days(session("media-days"), days, roots, *keys, _names(args.extra_fields))

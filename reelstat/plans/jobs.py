@@ -5,10 +5,12 @@ Only these functions touch paths; everything they apply is DataFrame in, DataFra
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,11 +20,12 @@ from reelstat.operators.by_date import type_by_date
 from reelstat.operators.events import dedup_events, protect_events, type_events
 from reelstat.operators.gold import daily_fact
 from reelstat.operators.incremental import FAILED, STARTED, SUCCEEDED, status_row
-from reelstat.operators.media import flatten_media, media_snapshot, to_dim_media, upsert_dim
+from reelstat.operators.media import flatten_media, media_versions, to_dim_media, upsert_dim
 from reelstat.operators.quality import assert_no_pii
+from reelstat.operators.quarantine import file_counts, quarantined, sound
 from reelstat.operators.reports import today_utc
 from reelstat.operators.visitors import dedup_visitors, flatten_visitors, pseudonymise_email
-from reelstat.schemas import TABLE_DIRS, TABLES
+from reelstat.schemas import DELIVERED, FILE_COUNTS, QUARANTINE, TABLE_DIRS, TABLES
 from reelstat.sinks.tables import RECORDS_PER_FILE, write_day, write_days, write_replace
 from reelstat.sources.bronze import read_bronze
 from reelstat.sources.files import join
@@ -47,6 +50,32 @@ def _in_order(df: DataFrame, table: str, extra: Iterable[str] = ()) -> DataFrame
     return df.select(*data.names, *extra, *partitions.names)
 
 
+@contextmanager
+def _sound_records(
+    spark: SparkSession, job: str, input_uri: str, output_uri: str, dataset: str, day: str | date, extra: Iterable[str] = ()
+) -> Iterator[DataFrame | None]:
+    """The records of a day, for as long as the block lasts; None, with a message, if there are none.
+
+    The files are read once: the parsed day is kept in memory, or on the executors' disks, for the outputs made of it. Lines
+    that could not be read whole go to `quarantine/lines` under the silver root as they are, and the counts of every file
+    to `quarantine/files`, both by dataset and day, and replaced when the day runs again. Keep that folder as closely as
+    bronze: the lines are not redacted.
+    """
+    raw = read_bronze(spark, input_uri, dataset, [day], extra, lossless=True)
+    raw = None if raw is None else raw.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if raw is None or raw.isEmpty():
+            _skip(job, day, input_uri)
+            yield None
+        else:
+            for rows, table in ((quarantined(raw), QUARANTINE), (file_counts(raw), FILE_COUNTS)):
+                write_day(rows, join(output_uri, table, f"dataset={dataset}"), day, media_dirs=False)
+            yield sound(raw)
+    finally:
+        if raw is not None:
+            raw.unpersist()
+
+
 def silver_visitors(
     spark: SparkSession,
     input_uri: str,
@@ -56,14 +85,14 @@ def silver_visitors(
     media_dirs: bool = True,
     ts: datetime | None = None,
 ) -> int:
-    raw = read_bronze(spark, input_uri, "visitors", [day])
-    if raw is None or raw.isEmpty():
-        return _skip("silver_visitors", day, input_uri)
-    rows = dedup_visitors(flatten_visitors(raw))
-    if email_key:
-        rows = pseudonymise_email(rows, email_key)
-    rows = _in_order(stamp(rows, "ingested_at", ts), "silver_visitors")
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_visitors"]), day, media_dirs)
+    with _sound_records(spark, "silver_visitors", input_uri, output_uri, "visitors", day) as raw:
+        if raw is None:
+            return 0
+        rows = dedup_visitors(flatten_visitors(raw))
+        if email_key:
+            rows = pseudonymise_email(rows, email_key)
+        rows = _in_order(stamp(rows, "ingested_at", ts), "silver_visitors")
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_visitors"]), day, media_dirs)
 
 
 def silver_media(
@@ -76,16 +105,16 @@ def silver_media(
     ts: datetime | None = None,
 ) -> int:
     """Write the day's history, then carry its latest versions into the snapshot."""
-    raw = read_bronze(spark, input_uri, "media", [day])
-    if raw is None or raw.isEmpty():
-        return _skip("silver_media", day, input_uri)
-    rows = _in_order(stamp(flatten_media(raw), "ingested_at", ts), "silver_media_history")
-    written = write_day(rows, join(output_uri, TABLE_DIRS["silver_media_history"]), day, media_dirs)
+    with _sound_records(spark, "silver_media", input_uri, output_uri, "media", day) as raw:
+        if raw is None:
+            return 0
+        rows = _in_order(stamp(flatten_media(raw), "ingested_at", ts), "silver_media_history")
+        written = write_day(rows, join(output_uri, TABLE_DIRS["silver_media_history"]), day, media_dirs)
     if snapshot:
         # From the Parquet just written, so the JSON is parsed once.
-        batch = media_snapshot(read_days(spark, output_uri, "silver_media_history", [day]))
-        current = upsert_dim(read_current(spark, output_uri, "silver_media_snapshot"), batch)
-        current = _in_order(current, "silver_media_snapshot")
+        batch = media_versions(read_days(spark, output_uri, "silver_media_history", [day]))
+        current = upsert_dim(read_current(spark, output_uri, "silver_media_snapshot", f"{DELIVERED} date"), batch)
+        current = _in_order(current, "silver_media_snapshot", [DELIVERED])
         write_replace(current, join(output_uri, TABLE_DIRS["silver_media_snapshot"]), keep=VERSIONS_KEPT)
     return written
 
@@ -107,17 +136,17 @@ def silver_events(
     the one that stored it first: keys in the neighbouring days' tables are left out here.
     """
     extra = list(extra)
-    raw = read_bronze(spark, input_uri, "events", [day], extra)
-    if raw is None or raw.isEmpty():
-        return _skip("silver_events", day, input_uri)
-    this = parse_day(day)
-    near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
-    seen = read_days(spark, output_uri, "silver_events", near)
-    rows = protect_events(type_events(raw), ip_hash_key)
-    rows = rows.withColumns({name: redact_nested(F.col(name)) for name in extra})
-    rows = stamp(dedup_events(rows, seen), "processed_at", ts)
-    rows = assert_no_pii(_in_order(rows, "silver_events", extra))
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
+    with _sound_records(spark, "silver_events", input_uri, output_uri, "events", day, extra) as raw:
+        if raw is None:
+            return 0
+        this = parse_day(day)
+        near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
+        seen = read_days(spark, output_uri, "silver_events", near)
+        rows = protect_events(type_events(raw), ip_hash_key)
+        rows = rows.withColumns({name: redact_nested(F.col(name)) for name in extra})
+        rows = stamp(dedup_events(rows, seen), "processed_at", ts)
+        rows = assert_no_pii(_in_order(rows, "silver_events", extra))
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
 
 
 def silver_media_by_date(
@@ -128,11 +157,11 @@ def silver_media_by_date(
     media_dirs: bool = True,
     ts: datetime | None = None,
 ) -> int:
-    raw = read_bronze(spark, input_uri, "media_by_date", [day])
-    if raw is None or raw.isEmpty():
-        return _skip("silver_media_by_date", day, input_uri)
-    rows = _in_order(stamp(type_by_date(raw), "processed_at", ts), "silver_media_by_date")
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_media_by_date"]), day, media_dirs)
+    with _sound_records(spark, "silver_media_by_date", input_uri, output_uri, "media_by_date", day) as raw:
+        if raw is None:
+            return 0
+        rows = _in_order(stamp(type_by_date(raw), "processed_at", ts), "silver_media_by_date")
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_media_by_date"]), day, media_dirs)
 
 
 def gold_dim_media(spark: SparkSession, silver_uri: str, gold_uri: str, ts: datetime | None = None) -> int:
@@ -171,18 +200,26 @@ class Roots:
 
 
 def run_day(
-    spark: SparkSession, day: str | date | None, roots: Roots, ip_hash_key: str | None = None, media_dirs: bool = True
+    spark: SparkSession,
+    day: str | date | None,
+    roots: Roots,
+    ip_hash_key: str | None = None,
+    media_dirs: bool = True,
+    email_key: str | None = None,
+    extra: Iterable[str] = (),
 ) -> dict[str, int]:
-    """All steps of one day (default: yesterday, UTC): rows written per step.
+    """All steps of one day (default: yesterday, UTC): rows written per step. `extra` names further event fields to keep.
 
     Each step logs STARTED and then SUCCEEDED or FAILED. A failed step fails the day and is raised.
     """
     day = yesterday_utc() if day is None else parse_day(day)
     steps: dict[str, Callable[[], int]] = {
         "silver_media": lambda: silver_media(spark, roots.bronze, roots.silver, day, media_dirs=media_dirs),
-        "silver_visitors": lambda: silver_visitors(spark, roots.bronze, roots.silver, day, media_dirs=media_dirs),
+        "silver_visitors": lambda: silver_visitors(
+            spark, roots.bronze, roots.silver, day, email_key, media_dirs=media_dirs
+        ),
         "silver_events": lambda: silver_events(
-            spark, roots.bronze, roots.silver, day, ip_hash_key, media_dirs=media_dirs
+            spark, roots.bronze, roots.silver, day, ip_hash_key, media_dirs=media_dirs, extra=extra
         ),
         "silver_media_by_date": lambda: silver_media_by_date(
             spark, roots.bronze, roots.silver, day, media_dirs=media_dirs
@@ -216,7 +253,10 @@ def run_days(
     roots: Roots,
     ip_hash_key: str | None = None,
     media_dirs: bool = True,
+    email_key: str | None = None,
+    extra: Iterable[str] = (),
 ) -> dict[date, dict[str, int]]:
     """Rerun or backfill chosen days, oldest first. Running a day again leaves the same content."""
     ordered = sorted(set(map(parse_day, days)))
-    return {day: run_day(spark, day, roots, ip_hash_key, media_dirs) for day in ordered}
+    extra = list(extra)
+    return {day: run_day(spark, day, roots, ip_hash_key, media_dirs, email_key, extra) for day in ordered}

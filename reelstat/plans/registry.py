@@ -16,18 +16,18 @@ from reelstat.functions.privacy import drop_pii, hmac_column, redact, redact_jso
 from reelstat.functions.typing import day_literal
 from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
 from reelstat.plans import jobs
-from reelstat.schemas import CATALOG_PII, EVENT_PII, TABLE_DIRS
+from reelstat.schemas import CATALOG_PII, DELIVERED, EVENT_PII
 from reelstat.session import shared_dir
 from reelstat.sinks.landing import as_json_lines, land_bronze
-from reelstat.sinks.tables import write_replace
+from reelstat.sinks.tables import cluster
 from reelstat.sources import bronze
 from reelstat.sources import star_tables as star
 from reelstat.sources.files import join
-from reelstat.sources.tables import read_current, read_days
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine
 from reelstat.streaming.events import stream_events
 
 AS_OF = "2024-01-30"
-DAY = "2024-01-10"
+DAY, NEXT_DAY = "2024-01-10", "2024-01-11"
 HMAC_KEY = "fixed key of the registered queries"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,10 +129,11 @@ def media_snapshot_latest(spark, sf_dir):
 
 @query
 def media_snapshot_upsert(spark, sf_dir):
-    rows = history(spark, sf_dir)
-    cut = day_literal("1998-01-01")
-    before, batch = rows.where(F.col("dt") < cut), rows.where(F.col("dt") >= cut)
-    return tidy(media.upsert_dim(media.media_snapshot(before), media.media_snapshot(batch)), "progress")
+    rows, current = history(spark, sf_dir), None
+    early, late = F.col("dt") < day_literal("1994-01-15"), F.col("dt") >= day_literal("1997-01-15")
+    for part in (late, early, ~early & ~late):  # days are not run in their order
+        current = media.upsert_dim(current, media.media_versions(rows.where(part)))
+    return tidy(current.drop(DELIVERED), "progress")
 
 
 @query
@@ -449,12 +450,45 @@ def events_through_stream(spark, sf_dir):
 
 @query
 def dim_through_files(spark, sf_dir):
-    root, rows = join(shared_dir(spark), f"registered-{uuid.uuid4()}"), history(spark, sf_dir)
-    path = join(root, TABLE_DIRS["silver_media_snapshot"])
-    for part in (F.col("dt") < day_literal("1998-01-01"), F.col("dt") >= day_literal("1998-01-01")):
-        current = read_current(spark, root, "silver_media_snapshot")
-        current = None if current is None else current.drop("ingested_at")
-        write_replace(media.upsert_dim(current, media.media_snapshot(rows.where(part))), path)
-    final = read_current(spark, root, "silver_media_snapshot")
-    write_replace(media.to_dim_media(final), join(root, TABLE_DIRS["gold_dim_media"]))
-    return tidy(read_current(spark, root, "gold_dim_media").drop("silver_ingested_at", "gold_ingested_at"), "progress")
+    """Two batch days through the media jobs, the later one first."""
+    raw = star.media_raw(spark, sf_dir)
+    early = F.col("dt") < day_literal("1995-06-15")
+    raw = raw.withColumn("dt", F.when(early, day_literal(DAY)).otherwise(day_literal(NEXT_DAY)))
+    root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
+    roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])
+    land_bronze(raw, roots.bronze, "media")
+    for day in (NEXT_DAY, DAY):
+        jobs.silver_media(spark, roots.bronze, roots.silver, day, media_dirs=False)
+    jobs.gold_dim_media(spark, roots.silver, roots.gold)
+    return tidy(read_current(spark, roots.gold, "gold_dim_media").drop("silver_ingested_at", "gold_ingested_at"), "progress")
+
+
+def _with_broken_lines(spark: SparkSession, sf_dir: str) -> jobs.Roots:
+    root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
+    roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])
+    lines = star.event_lines(spark, sf_dir).withColumn("dt", day_literal(DAY))
+    cluster(lines, "dt", "media_id").write.partitionBy("dt", "media_id").text(join(roots.bronze, "events"))
+    jobs.silver_events(spark, roots.bronze, roots.silver, DAY)
+    return roots
+
+
+@query
+def events_beside_broken_lines(spark, sf_dir):
+    roots = _with_broken_lines(spark, sf_dir)
+    rows = read_days(spark, roots.silver, "silver_events", [DAY])
+    return tidy(rows.select("event_key", "received_at", "event_type", "media_id"))
+
+
+@query
+def events_quarantined(spark, sf_dir):
+    roots = _with_broken_lines(spark, sf_dir)
+    return read_quarantine(spark, roots.silver, "events", [DAY]).select("dt", "media_id", "kind", "text")
+
+
+@query
+def bronze_file_counts(spark, sf_dir):
+    roots = _with_broken_lines(spark, sf_dir)
+    files = read_file_counts(spark, roots.silver, "events", [DAY])
+    media = bronze.path_value(F.col("source_file"), "media_id").alias("media_id")
+    sums = [F.sum(name).alias(name) for name in ("records", "broken", "partial")]
+    return files.groupBy("dt", media).agg(*sums)

@@ -39,7 +39,8 @@ _CTES = {
         FROM silver_visitors GROUP BY dt, media_id""",
     "media_flat": """
         SELECT CAST(p_partkey AS VARCHAR) AS media_id, p_name AS name, CAST(p_size * 60 AS DOUBLE) AS duration_s,
-               CAST(CAST(l_shipdate AS DATE) - l_linenumber AS TIMESTAMP) AS created_at, l_shipdate AS updated_at,
+               CAST(CAST(l_shipdate AS DATE) - l_linenumber AS TIMESTAMP) AS created_at,
+               CAST(date_trunc('month', l_shipdate) AS TIMESTAMP) AS updated_at,
                l_linestatus AS status, l_returnflag = 'R' AS archived, p_type AS section,
                CAST(split_part(p_brand, '#', 2) AS BIGINT) AS project_id, p_brand AS project_name,
                'https://img.example/' || p_partkey AS thumbnail_url, round(1 - l_discount, 9) AS progress,
@@ -49,7 +50,7 @@ _CTES = {
         SELECT * EXCLUDE (dt, rn) FROM (
             SELECT *, row_number() OVER (
                 PARTITION BY media_id
-                ORDER BY updated_at DESC NULLS LAST, name DESC, duration_s DESC, created_at DESC, status DESC,
+                ORDER BY updated_at DESC NULLS LAST, dt DESC, name DESC, duration_s DESC, created_at DESC, status DESC,
                          archived DESC, section DESC, project_id DESC, project_name DESC, thumbnail_url DESC, progress DESC
             ) AS rn FROM media_flat
         ) WHERE rn = 1""",
@@ -152,6 +153,9 @@ def _flat_profile(payloads: str) -> str:
     return f"SELECT key, observed_in, types, coalesce(nulls, 0.0) AS null_frac FROM ({_profile(payloads)})"
 
 
+_CLEAN_PAYLOAD = """CASE WHEN event_type <> 'purchase' THEN NULL
+    WHEN event_id % 2 = 0 THEN '{"a":{"b":{"c":{"d":' || event_id || ',"org":"<redacted>","z":[[{"ip":null}]]}}}}'
+    ELSE '{"email":"<redacted>","n":' || event_id || '}' END"""
 _FACT = "dt, media_id, loads, plays, unique_visitors, round(play_rate, 9) AS play_rate"
 _WEEK = f"dt BETWEEN DATE '{AS_OF}' - 7 AND DATE '{AS_OF}'"
 _FORTNIGHT = f"dt BETWEEN DATE '{AS_OF}' - 14 AND DATE '{AS_OF}'"
@@ -289,8 +293,9 @@ ORACLES = {
     ),
     "events_payload_redacted": _sql(
         """SELECT event_key, received_at,
-                  CASE WHEN event_type = 'purchase' THEN '{"email":"<redacted>","n":' || event_id || '}' END AS conversion_data
-           FROM events_flat""",
+                  """
+        + _CLEAN_PAYLOAD
+        + " AS conversion_data FROM events_flat",
         "events_flat",
     ),
     "events_dedup": _sql(
@@ -405,9 +410,37 @@ ORACLES["by_date_through_files"] = f"SELECT * REPLACE ({_ONE_DAY}) FROM ({ORACLE
 ORACLES["events_through_files"] = _sql(
     f"""SELECT {_ONE_DAY}, event_key, ts AS received_at, "at", event_type, nullif(media_id, '') AS media_id, position_s,
                round(percent_viewed, 9) AS percent_viewed, country, region, visitor_key, {_hmac('ip')} AS ip_hmac,
-               CASE WHEN event_type = 'purchase' THEN '{{"email":"<redacted>","n":' || event_id || '}}' END AS conversion_data
+               {_CLEAN_PAYLOAD} AS conversion_data
         FROM events_once""",
     "events_once",
 )
 ORACLES["events_through_stream"] = ORACLES["events_through_files"]
-ORACLES["dim_through_files"] = ORACLES["dim_media"]
+_TWO_DAYS = "CASE WHEN dt < DATE '1995-06-15' THEN 1 ELSE 2 END AS dt"
+ORACLES["dim_through_files"] = f"""
+    WITH media_flat AS (SELECT * REPLACE ({_TWO_DAYS}) FROM ({_CTES['media_flat']})), snapshot AS ({_CTES['snapshot']}),
+    dim AS ({_CTES['dim']}) SELECT * FROM dim"""
+
+# One line in 37 is cut off and one of the others in 41 has a text where an object belongs.
+_LINES = """
+    SELECT event_id AS n, ts, event_type, json_extract_string(props, '$.k') AS media_id,
+           CASE WHEN event_id % 37 = 0 THEN 'broken' WHEN event_id % 41 = 0 THEN 'partial' END AS kind
+    FROM events"""
+ORACLES["events_quarantined"] = f"""
+    WITH lines AS ({_LINES})
+    SELECT {_ONE_DAY}, media_id, kind,
+           CASE kind WHEN 'broken' THEN '{{"event_key":"e' || n || '","received_at'
+                     ELSE '{{"event_key":"p' || n || '","event_type":"odd","user_agent_details":"x' || n || '"}}' END AS text
+    FROM lines WHERE kind IS NOT NULL"""
+ORACLES["bronze_file_counts"] = f"""
+    WITH lines AS ({_LINES})
+    SELECT {_ONE_DAY}, media_id, count(*) AS records, count(*) FILTER (WHERE kind = 'broken') AS broken,
+           count(*) FILTER (WHERE kind = 'partial') AS partial
+    FROM lines GROUP BY media_id"""
+ORACLES["events_beside_broken_lines"] = f"""
+    WITH lines AS ({_LINES}), keyed AS (
+        SELECT *, CASE WHEN kind = 'partial' THEN 'p' || n WHEN n % 31 <> 0 THEN 'e' || (n // 2) END AS event_key FROM lines),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY event_key ORDER BY ts, n) AS rn
+               FROM keyed WHERE kind IS DISTINCT FROM 'broken')
+    SELECT event_key, CASE WHEN kind IS NULL THEN ts END AS received_at,
+           CASE WHEN kind IS NULL THEN event_type ELSE 'odd' END AS event_type, media_id
+    FROM ranked WHERE rn = 1 OR event_key IS NULL"""

@@ -50,6 +50,10 @@ BRONZE = {
     ),
 }
 
+# Of a lossless read: the text of a line that could not be read whole, and the file it stands in.
+LINE_TEXT = "line_text"
+SOURCE_FILE = "source_file"
+
 # Where media_id comes from: the directory always, or the directory only when the record has none.
 MEDIA_ID_FROM_PATH = ("visitors", "media")
 MEDIA_ID_FROM_BODY = ("events", "media_by_date", "media_stats")
@@ -172,6 +176,13 @@ TABLES = {
     ),
 }
 
+# Tables beside the contract's: what could not be read of each dataset, and the counts of its files, by day.
+QUARANTINE = "quarantine/lines"
+FILE_COUNTS = "quarantine/files"
+
+# Columns that the snapshot's files have beyond the contract's: the day that delivered the row, which ranks equal versions.
+DELIVERED = "delivered"
+
 # Directory of each table under the silver or gold root.
 TABLE_DIRS = {
     "silver_visitors": "visitors",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstat.functions.typing import day_literal
-from reelstat.schemas import BRONZE, MEDIA_ID_FROM_PATH
+from reelstat.schemas import BRONZE, LINE_TEXT, MEDIA_ID_FROM_PATH, SOURCE_FILE
 from reelstat.sources.files import day_paths, join, read_or_none
 
 # Fixed value: the directory name Spark gives to rows whose partition value is NULL or empty.
@@ -50,29 +50,38 @@ def with_day(df: DataFrame, day: str | date | None = None, path: Column | None =
     return df.withColumn("dt", path_value(path, "dt").try_cast("date"))
 
 
+def bronze_schema(dataset: str, extra: Iterable[str] = (), lossless: bool = False) -> T.StructType:
+    further = [*extra, LINE_TEXT] if lossless else list(extra)
+    return T.StructType(BRONZE[dataset].fields + [T.StructField(name, T.StringType()) for name in further])
+
+
 def read_bronze(
     spark: SparkSession,
     root: str,
     dataset: str,
     days: Iterable[str | date] | None = None,
     extra: Iterable[str] = (),
+    lossless: bool = False,
 ) -> DataFrame | None:
     """All records of a dataset on the given days (all days if None), with `dt` and `media_id`.
 
     None if no day directory exists. Zero-byte files give no rows. The schema is explicit, so there is no
-    inference pass over the files; `extra` names further fields to read, as text.
+    inference pass over the files; `extra` names further fields to read, as text. `lossless` adds the text of every line
+    that could not be read whole and the file of each record (`operators/quarantine.py` tells them apart).
     """
     base = join(root, dataset)
     paths = day_paths(spark, base, days)
     if not paths:
         return None
-    schema = T.StructType(BRONZE[dataset].fields + [T.StructField(name, T.StringType()) for name in extra])
+    schema = bronze_schema(dataset, extra, lossless)
+    reader = spark.read.option("columnNameOfCorruptRecord", LINE_TEXT) if lossless else spark.read
+    named = (lambda df: df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))) if lossless else (lambda df: df)
     if dataset in MEDIA_ID_FROM_PATH:
         # Partition columns in the read schema keep `0123` a string and override the record's own media_id.
         full = T.StructType(schema.fields + _PARTITIONS)
-        return read_or_none(lambda: spark.read.schema(full).option("basePath", base).json(paths))
+        return read_or_none(lambda: named(reader.schema(full).option("basePath", base).json(paths)))
     # A media_id partition column would replace the record's value, so partition discovery is off here.
-    df = read_or_none(lambda: spark.read.schema(schema).option("recursiveFileLookup", "true").json(paths))
+    df = read_or_none(lambda: named(reader.schema(schema).option("recursiveFileLookup", "true").json(paths)))
     if df is None:
         return None
     # The path is searched per row, so only where the day is not known beforehand.

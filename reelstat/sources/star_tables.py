@@ -54,7 +54,8 @@ def media_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("name"),
         _text(F.col("p_size") * 60.0).alias("duration"),
         F.date_format(F.date_sub("l_shipdate", F.col("l_linenumber")), "yyyy-MM-dd'T'00:00:00'Z'").alias("created"),
-        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'+00:00'").alias("updated"),
+        # Versions of a month have one time, so the day that delivered them decides.
+        F.date_format("l_shipdate", "yyyy-MM-'01T00:00:00+00:00'").alias("updated"),
         F.col("l_linestatus").alias("status"),
         F.when(F.col("l_returnflag") == "R", "true").otherwise("false").alias("archived"),
         F.col("p_type").alias("section"),
@@ -88,11 +89,26 @@ def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(n % 5 == 0, F.concat(F.lit("Org "), user % 13)).alias("org"),
         F.when(kind == "signup", F.concat(F.lit("u"), user, F.lit("@example.com"))).alias("email"),
         _text(user).alias("visitor_key"),
-        F.when(kind == "purchase", F.concat(F.lit('{"email":"u'), user, F.lit('@example.com","n":'), n, F.lit("}")))
+        F.when(
+            (kind == "purchase") & (n % 2 == 0),
+            F.concat(F.lit('{"a":{"b":{"c":{"d":'), n, F.lit(',"org":{"name":"A ]}[x","l":[1,{"ip":"1"}]},"z":[[{"ip":null}]]}}}}')),
+        )
+        .when(kind == "purchase", F.concat(F.lit('{"email":"u'), user, F.lit('@example.com","n":'), n, F.lit("}")))
         .alias("conversion_data"),
     )
 
 
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(media_id, value): events as JSON lines, some of them cut off, some with a field of a wrong shape."""
+    df = table(spark, sf_dir, "events")
+    n = F.col("event_id")
+    key = F.when(n % 31 != 0, F.concat(F.lit("e"), F.floor(n / 2)))
+    whole = F.to_json(F.struct(key.alias("event_key"), F.date_format("ts", _ISO).alias("received_at"), "event_type"))
+    cut = F.concat(F.lit('{"event_key":"e'), n, F.lit('","received_at'))
+    odd = F.concat(F.lit('{"event_key":"p'), n, F.lit('","event_type":"odd","user_agent_details":"x'), n, F.lit('"}'))
+    return df.select(_media(df).alias("media_id"), F.when(n % 37 == 0, cut).when(n % 41 == 0, odd).otherwise(whole).alias("value"))
+
+
 def by_date_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = table(spark, sf_dir, "events")
     days = df.groupBy(F.col("ts").cast("date").alias("dt"), _media(df).alias("media_id")).agg(
@@ -139,7 +155,7 @@ def event_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def probe_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Payloads with time fields in several formats, half of them wrapped in `items`."""
+    """Payloads with time fields in several formats, a quarter of them in `items`, a quarter six containers deep."""
     df = table(spark, sf_dir, "events")
     n = F.col("event_id")
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -153,7 +169,9 @@ def probe_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('"}'),
     )
     wrapped = F.concat(F.lit('{"items":['), record, F.lit("]}"))
-    return df.select(_media(df).alias("media_id"), F.when(n % 2 == 0, record).otherwise(wrapped).alias("value"))
+    deep = F.concat(F.lit('[[[{"items":[{"items":[['), record, F.lit("]]}]}]]]"))
+    value = F.when(n % 2 == 0, record).when(n % 4 == 1, wrapped).otherwise(deep)
+    return df.select(_media(df).alias("media_id"), value.alias("value"))
 
 
 def run_status_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

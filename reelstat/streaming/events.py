@@ -45,6 +45,14 @@ def append_new(batch: DataFrame, path: str, ip_hash_key: str | bytes | None = No
     finds its events stored and adds only what is missing. Nothing is too late: there is no watermark to fall
     behind and no state to grow, since an old day is compared with that day's table.
     """
+    batch = batch.persist()  # parsed once for its days, its keyed and its keyless events
+    try:
+        _append(batch, path, ip_hash_key, overlap)
+    finally:
+        batch.unpersist()
+
+
+def _append(batch: DataFrame, path: str, ip_hash_key: str | bytes | None, overlap: int) -> None:
     spark = batch.sparkSession
     days = [row.dt for row in batch.select("dt").distinct().collect() if row.dt is not None]
     near = {day + timedelta(days=n) for day in days for n in range(-overlap, overlap + 1)}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from reelstat.functions.privacy import drop_pii, hmac_column, redact, redact_json
 from reelstat.functions.typing import as_count, as_day, as_timestamp, col_or_null, guarded_ratio, stamp
 from reelstat.operators.quality import assert_no_pii, pii_columns
+from reelstat.schemas import EVENT_PII
 
 
 def one(spark, text, convert):
@@ -117,6 +118,38 @@ def test_redact_keeps_null_structs(spark):
     assert redact(df).first()["who"] is None
 
 
+def test_redacted_maps_hold_the_text_beside_their_values(spark):
+    columns = "m map<string,int>, s map<string,struct<ip:string,n:int>>, k map<int,struct<ip:string,n:int>>"
+    df = spark.createDataFrame([({"email": 1, "x": 2, "ip": None}, {"org": ("1", 2), "y": ("1", 3)}, {7: ("1", 4)})], columns)
+    row = redact(df).select(F.to_json("m").alias("m"), F.to_json("s").alias("s"), "k").first()
+    assert json.loads(row.m) == {"email": "<redacted>", "x": 2, "ip": None} or json.loads(row.m) == {"email": "<redacted>", "x": 2}
+    assert json.loads(row.s) == {"org": "<redacted>", "y": {"ip": "<redacted>", "n": 3}}
+    assert tuple(row.k[7]) == ("<redacted>", 4)
+
+
+@pytest.mark.parametrize("depth", [0, 1, 2, 3])
+@pytest.mark.parametrize("null_too", [False, True])
+def test_redaction_does_not_depend_on_depth(spark, depth, null_too):
+    from reelstat.functions.privacy import redact_json
+
+    def clean(value):
+        if isinstance(value, list):
+            return [clean(v) for v in value]
+        if not isinstance(value, dict):
+            return value
+        return {k: "<redacted>" if k in EVENT_PII and (null_too or v is not None) else clean(v) for k, v in value.items()}
+
+    deep = {"d": 1, "org": {"name": 'A ]}[x" \\', "ip": [1]}, "lat": None, "l": [[{"ip": "1", "k": [True, None, 1.5]}], []], "e": {}}
+    values = [deep, {"a": {"b": {"c": deep, "email": [deep]}}}, [[[[deep, {"city": {}}]]]], {"note": '"email":"x"', "x": "\\"}]
+    nested = deep
+    for i in range(20):
+        nested = {"n": nested, "ip": i} if i % 2 else [nested, {"lon": None}]
+    texts = [json.dumps(v) for v in [*values, nested, {"a": {"b": {"c": {"d": "long" * 20_000, "email": "y" * 50_000}}}}]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    out = df.select("i", redact_json(F.col("t"), null_too=null_too, depth=depth).alias("c")).orderBy("i").collect()
+    assert [json.loads(r.c) for r in out] == [clean(json.loads(t)) for t in texts]
+
+
 @pytest.mark.parametrize(
     "text, clean",
     [

@@ -10,7 +10,7 @@ from reelstat.operators.incremental import latest_status
 from reelstat.operators.quality import duplicate_event_keys, pii_columns
 from reelstat.plans import jobs
 from reelstat.schemas import TABLES, table_schema
-from reelstat.sources.tables import read_current, read_days
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine
 
 DAY, NEXT = "2025-03-04", "2025-03-05"
 
@@ -251,3 +251,78 @@ def test_command_lines(spark, roots, land, capsys):
     assert "Ignoring unknown arguments: ['--job-bookmark']" in out and "secret" not in out
     roots_args = ["--bronze-uri", roots.bronze, "--silver-uri", roots.silver, "--gold-uri", roots.gold]
     assert list(cli.run_days([*roots_args, "--day", f"{NEXT},{DAY}"])) == [date(2025, 3, 4), date(2025, 3, 5)]
+
+
+def broken_page(land, dataset, media, rows, *lines):
+    path = land(dataset, DAY, media, rows)
+    path.write_text("\n".join([path.read_text(encoding="utf-8"), *lines]), encoding="utf-8")
+    return path
+
+
+@pytest.mark.parametrize("dataset", ["visitors", "media", "events", "media_by_date"])
+def test_broken_lines_are_kept_apart_from_the_records(spark, roots, land, dataset):
+    row = {"visitor_key": "v", "name": "n", "event_key": "e", "date": DAY, "load_count": 1}
+    odd = {"visitors": "user_agent_details", "media": "project", "events": "user_agent_details"}.get(dataset)
+    lines = ['{"cut":', "junk", "7"]
+    partial = [] if odd is None else [f'{{"visitor_key":"w","name":"o","event_key":"f","{odd}":"text"}}']
+    broken_page(land, dataset, "m1", [row], *lines, *partial)
+    land(dataset, DAY, "m2", [row])
+    table = {"visitors": "silver_visitors", "media": "silver_media_history", "events": "silver_events", "media_by_date": "silver_media_by_date"}[dataset]
+    job = {"visitors": jobs.silver_visitors, "media": jobs.silver_media, "events": jobs.silver_events, "media_by_date": jobs.silver_media_by_date}[dataset]
+    once = 1 if dataset == "events" else 2  # the two events are copies
+    for _ in range(2):
+        assert job(spark, roots.bronze, roots.silver, DAY) == once + len(partial)
+        assert read_days(spark, roots.silver, table, [DAY]).count() == once + len(partial)
+        kept = values(read_quarantine(spark, roots.silver, dataset, [DAY]), "media_id", "kind", "text")
+        assert kept == sorted([("m1", "broken", x) for x in lines] + [("m1", "partial", x) for x in partial])
+        counts = values(read_file_counts(spark, roots.silver, dataset), "media_id", "records", "broken", "partial")
+        assert counts == [("m1", 4 + len(partial), 3, len(partial)), ("m2", 1, 0, 0)]
+    land(dataset, DAY, "m1", [row])
+    job(spark, roots.bronze, roots.silver, DAY)
+    assert read_quarantine(spark, roots.silver, dataset, [DAY]).count() == 0
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_files_of_a_day_are_parsed_once(spark, roots, land):
+    path = broken_page(land, "events", "m1", [event("a"), event("b")], "junk")
+    seen = spark.sparkContext.statusTracker()
+    assert seen is not None and path.exists()
+    with jobs._sound_records(spark, "t", roots.bronze, roots.silver, "events", DAY) as raw:
+        text = raw._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryTableScan" in text and text.count("FileScan json") == 1
+        assert raw.count() == 2
+
+
+def test_of_equal_versions_the_last_delivery_counts_in_any_order(spark, roots, land):
+    same = "2025-03-01T00:00:00+00:00"
+    land("media", DAY, "m1", [media_object("Zed old", same)], "object.json")
+    land("media", NEXT, "m1", [media_object("Alpha new", same)], "object.json")
+    for days in ([DAY, NEXT], [NEXT, DAY], [DAY], [NEXT], [DAY]):
+        for day in days:
+            jobs.silver_media(spark, roots.bronze, roots.silver, day)
+        snapshot = read_current(spark, roots.silver, "silver_media_snapshot") if len(days) > 1 or day == DAY else None
+        if snapshot is not None:
+            assert values(snapshot, "media_id", "name") == [("m1", "Alpha new")]
+            assert snapshot.columns == table_schema("silver_media_snapshot").names
+
+
+def test_further_fields_and_email_keys_reach_a_run(spark, roots, land):
+    land("events", DAY, "m1", [event("k1", player="p9")])
+    land("visitors", DAY, "m1", [visitor("a", 1, 0, email="a@x")])
+    jobs.run_days(spark, [DAY], roots, "key", email_key="k", extra=["player"])
+    assert values(spark.read.parquet(f"{roots.silver}/events"), "event_key", "player") == [("k1", "p9")]
+    assert [len(e) for (e,) in values(read_days(spark, roots.silver, "silver_visitors"), "email")] == [64]
+
+
+def test_command_lines_take_further_fields(spark, roots, land, monkeypatch):
+    from reelstat.plans import cli
+
+    monkeypatch.setattr(cli, "session", lambda _: spark)
+    land("events", DAY, "m1", [event("k1", player="p9", speed=2)])
+    where = ["--input-uri", roots.bronze, "--output-uri", roots.silver, "--day", DAY]
+    assert cli.silver_events([*where, "--extra-fields", "player, speed"]) == 1
+    assert values(spark.read.parquet(f"{roots.silver}/events"), "player", "speed") == [("p9", "2")]
+    land("visitors", DAY, "m1", [visitor("a", 1, 0, email="a@x")])
+    roots_of = ["--bronze-uri", roots.bronze, "--silver-uri", roots.silver, "--gold-uri", roots.gold, "--day", DAY]
+    cli.run_days([*roots_of, "--email-hash-key", "k", "--extra-fields", "player"])
+    assert [len(e) for (e,) in values(read_days(spark, roots.silver, "silver_visitors"), "email")] == [64]

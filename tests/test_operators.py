@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-import itertools
 import random
 from datetime import date, datetime
 
@@ -288,3 +287,25 @@ def test_status_log(spark):
     log = incremental.log_status(log, "2025-03-09", "dim", "STARTED", datetime(2025, 3, 10, 1))
     out = values(incremental.latest_status(log), "run_date", "data_in_process", "status")
     assert out == [("day#2025-03-09", "dim", "STARTED"), ("day#2025-03-09", "fact", "FAILED")]
+
+
+def test_watermark_probe_at_any_nesting(spark):
+    import random
+
+    rng = random.Random(8)
+    found = 0
+    texts = []
+    for depth in range(12):
+        value = {"created": f"2025-01-{depth + 1:02d}", "other": {"created": "2000-01-01"}}
+        for level in range(depth):
+            # A container may hold times of its own beside what is inside it.
+            value = [value, 5, [], None] if rng.random() < 0.5 else {"items": [value, {"created": "x"}], "created": "2024-05-05"}
+            found += isinstance(value, dict) and 2
+        found += 1
+        texts.append(json.dumps(value))
+    raw = spark.createDataFrame([(t, i % 2) for i, t in enumerate(texts)], "value string, g int")
+    row = {r.field: r for r in profiling.watermark_probe(raw, ["created"]).collect()}["created"]
+    assert row.found == found and str(row.max_ts) == "2025-01-12 00:00:00" and str(row.min_ts) >= "2024-05-05"
+    by = profiling.watermark_probe(raw, ["created"], by=["g"]).collect()
+    assert sorted(r.g for r in by) == [0, 1] and sum(r.found for r in by) == found
+    assert {r.found for r in profiling.watermark_probe(raw.limit(0), ["created"]).collect()} == {0}

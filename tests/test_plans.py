@@ -18,7 +18,8 @@ from reelstat.operators import events, gold, reports, visitors
 from reelstat.sinks.tables import write_day, write_days
 from reelstat.sources.tables import read_days
 
-THROUGH_FILES = [name for name in registered.queries() if "_through_" in name]
+OTHERS = ("events_beside_broken_lines", "events_quarantined", "bronze_file_counts")
+THROUGH_FILES = [name for name in registered.queries() if "_through_" in name or name in OTHERS]
 
 
 def plan(df) -> str:
