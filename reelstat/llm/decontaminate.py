@@ -117,14 +117,17 @@ def remove_documents(docs: DataFrame, items: DataFrame, percent: int = 5) -> Dat
 
 
 def remove_spans(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents with every hit word, and what stands between it and the word before, taken out of the text."""
-    found = save(scanned(docs, items).where(F.size("starts") > 0).select("id", "digest", F.col("starts").alias("_starts")))
+    """The documents with every hit word, and what stands between it and the word before, taken out of the text.
+
+    Null, empty and very long texts, repeated rows and further columns of any name stay as they are but for that.
+    """
+    found = save(scanned(docs, items).where(F.size("starts") > 0).select("id", "digest", "starts"))
     digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
     joined = docs.join(found, docs["doc_id"].eqNullSafe(found["id"]) & (digest == found["digest"]), "left")
     # Each token is what separates a word from the one before it, then the word; what follows the last word comes last.
     apart, word = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]", "[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]"
     tokens = F.regexp_extract_all(docs["text"], F.lit(f"{apart}*{word}+|{apart}+"), F.lit(0))
-    hit = lambda i: F.exists("_starts", lambda w: (i + 1 >= w["start"]) & (i + 1 < w["start"] + w["length"]))
+    hit = lambda i: F.exists(found["starts"], lambda w: (i + 1 >= w["start"]) & (i + 1 < w["start"] + w["length"]))
     kept = F.array_join(F.filter(tokens, lambda t, i: ~hit(i)), "")
-    text = F.when(F.col("_starts").isNull(), docs["text"]).otherwise(kept)
-    return joined.select(*[text.alias(c) if c == "text" else docs[c] for c in docs.columns])
+    text = F.when(found["starts"].isNull(), docs["text"]).otherwise(kept)
+    return joined.select(*[text.alias(c) if c == "text" else docs[f"`{c}`"] for c in docs.columns])

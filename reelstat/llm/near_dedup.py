@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelstat.llm.graph import components
+from reelstat.llm.native_text import unused
 from reelstat.llm.scratch import save
 from reelstat.llm.shingles import minhash, multipliers, overlap, shingle_set
 from xxhash import xxh3_128_digest
@@ -255,6 +256,8 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     """(doc_id, n_shingles, component_id, kept) per row: the smallest id reachable over links, and whether it is the row's.
 
     A row without words is its own component. Rows of a null id are kept only if no row of their component has an id.
+    Repeated rows each have their row. Texts count whole, however long; an empty table gives none; other columns of the
+    documents, whatever their names, are not looked at.
     """
     rows = docs.select(F.col(id_column).cast("long").alias("row_id"), F.col(text_column).alias("text"))
     found = classes(rows)
@@ -278,12 +281,13 @@ def keep_one(docs: DataFrame) -> DataFrame:
     grouped = texts.where("component is not null").groupBy("component").agg(F.min_by("n", "place").alias("n"), F.min("place").alias("place"))
     alone = texts.where("component is null").select("n", "place")
     kept = save(grouped.select("n", "place").unionByName(alone).select("n", "place.row_id", "place.text_hash"))
-    own = docs.withColumn("_hash", F.xxhash64("text"))
+    hashed = unused(docs, "_hash")
+    own = docs.withColumn(hashed, F.xxhash64("text"))
 
     def of(found: DataFrame) -> DataFrame:
-        same = own["doc_id"].cast("long").eqNullSafe(found["row_id"]) & own["_hash"].eqNullSafe(found["text_hash"])
+        same = own["doc_id"].cast("long").eqNullSafe(found["row_id"]) & own[hashed].eqNullSafe(found["text_hash"])
         return own.join(found, same, "left_semi")
 
     once = of(kept.where("n = 1").select("row_id", "text_hash"))
-    repeated = of(kept.where("n > 1").select("row_id", "text_hash")).dropDuplicates(["doc_id", "_hash"])
-    return once.unionByName(repeated).select(*docs.columns)
+    repeated = of(kept.where("n > 1").select("row_id", "text_hash")).dropDuplicates(["doc_id", hashed])
+    return once.unionByName(repeated).drop(hashed)

@@ -6,12 +6,15 @@ universe that level 1 takes for listed though they are not, level 3 the listed k
 on until a level errs on no key. For every key of the universe the first level that does not hold it tells whether it is
 listed, without error; no table is joined to the urls.
 
-Only the levels' bits are broadcast: BITS_PER_KEY for each key encoded, so their size follows the rule list, not the
-corpus. A list whose first level would exceed MAX_BYTES is joined by key instead, which gives the same answer.
+Only the levels' bits are broadcast. A level takes BITS_PER_KEY bits for each key it encodes and more where it is tested
+on many more keys than it encodes, so that it errs on fewer keys than it encodes: the levels shrink, and their size follows
+the listed keys and the logarithm of the corpus. Levels that would exceed MAX_BYTES together are not built: the urls' keys
+are joined to the list instead, which gives the same answer.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,11 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reelstat.llm.native_text import lower_ascii
+from reelstat.llm.native_text import lower_ascii, unused
 from reelstat.llm.scratch import save
 
 BITS_PER_KEY = 12
-HASHES = 8
 BUCKET = 32_768  # bits of one row of bitmap_construct_agg
 MAX_BYTES = 64_000_000
 
@@ -33,10 +35,11 @@ def hosts_and_paths(pages: DataFrame, url_column: str = "url") -> DataFrame:
     url = F.coalesce(F.col(url_column), F.lit(""))
     rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring(`{url_column}`, instr(`{url_column}`, '://') + 3)"))
     rest = F.regexp_extract(F.coalesce(rest, F.lit("")), "(?s)^[^?#]*", 0)
-    split = pages.withColumn("_rest", rest)
-    host = lower_ascii(F.regexp_extract("_rest", "(?s)^[^/]*", 0))
-    path = F.expr("substring(_rest, char_length(regexp_extract(_rest, '(?s)^[^/]*', 0)) + 1)")
-    return split.withColumn("host", host).withColumn("path", path).drop("_rest")
+    name = unused(pages, "_rest")
+    split = pages.withColumn(name, rest)
+    host = lower_ascii(F.regexp_extract(name, "(?s)^[^/]*", 0))
+    path = F.expr(f"substring({name}, char_length(regexp_extract({name}, '(?s)^[^/]*', 0)) + 1)")
+    return split.withColumn("host", host).withColumn("path", path).drop(name)
 
 
 def _candidates(split: DataFrame, lengths: list[int]) -> DataFrame:
@@ -50,16 +53,22 @@ def _candidates(split: DataFrame, lengths: list[int]) -> DataFrame:
     return split.withColumn("keys", F.coalesce(known, F.array().cast("array<string>")))
 
 
-#: A level: its number, its bits' number, its bits.
-Level = tuple[int, int, bytes]
+#: A level: its number, its bits' number, how many hashes a key has, its bits.
+Level = tuple[int, int, int, bytes]
 
 
-def _spots(n_bits: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    return (one[:, None] + two[:, None] * np.arange(HASHES, dtype=np.uint64)) % np.uint64(n_bits)
+def _size(n: int, others: int) -> tuple[int, int]:
+    """Bits and hashes of a level for n keys that is tested on so many others: it errs on n / 8 of them or fewer."""
+    per_key = max(BITS_PER_KEY, math.ceil((math.log2(max(others, 1) / n) + 3) / math.log(2))) if others > n else BITS_PER_KEY
+    return max(BUCKET, -(-n * per_key // BUCKET) * BUCKET), round(per_key * math.log(2))
+
+
+def _spots(n_bits: int, hashes: int, one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one[:, None] + two[:, None] * np.arange(hashes, dtype=np.uint64)) % np.uint64(n_bits)
 
 
 def holds(level: Level, one: np.ndarray, two: np.ndarray) -> np.ndarray:
-    bits, spots = np.frombuffer(level[2], np.uint8), _spots(level[1], one, two)
+    bits, spots = np.frombuffer(level[3], np.uint8), _spots(level[1], level[2], one, two)
     return ((bits[spots >> np.uint64(3)] >> (spots & np.uint64(7)).astype(np.uint8)) & 1).all(axis=1)
 
 
@@ -67,24 +76,23 @@ def _hashes(number: int):
     return [F.xxhash64(F.lit(number), "key").alias("one"), F.xxhash64("key", F.lit(number)).alias("two")]
 
 
-def _build(keys: DataFrame, number: int, n: int) -> Level:
+def _build(keys: DataFrame, number: int, n_bits: int, hashes: int) -> Level:
     """Each task reduces its keys to bitmaps of BUCKET bits, of which the driver gets one per bucket."""
-    n_bits = max(BUCKET, -(-n * BITS_PER_KEY // BUCKET) * BUCKET)
     hashed = keys.select(*_hashes(number))
-    wrapped = hashed.mapInArrow(_places(n_bits), "place long")
+    wrapped = hashed.mapInArrow(_places(n_bits, hashes), "place long")
     grouped = wrapped.groupBy(F.floor(F.col("place") / BUCKET).alias("bucket"))
     rows = grouped.agg(F.bitmap_construct_agg(F.col("place") % BUCKET).alias("bits")).collect()
     bits = bytearray(n_bits // 8)
     for row in rows:
         bits[row.bucket * BUCKET // 8 : (row.bucket + 1) * BUCKET // 8] = row.bits
-    return number, n_bits, bytes(bits)
+    return number, n_bits, hashes, bytes(bits)
 
 
-def _places(n_bits: int):
+def _places(n_bits: int, hashes: int):
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             one, two = (batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) for n in ("one", "two"))
-            spots = np.unique(_spots(n_bits, one, two))
+            spots = np.unique(_spots(n_bits, hashes, one, two))
             yield pa.RecordBatch.from_arrays([pa.array(spots.astype(np.int64))], ["place"])
 
     return place
@@ -99,16 +107,24 @@ def _held(level):
     return test
 
 
-def cascade(listed: DataFrame, universe: DataFrame) -> list[Level]:
-    """Levels for the (distinct) listed keys among the (distinct) keys of the universe, both with a column key."""
+def cascade(listed: DataFrame, universe: DataFrame) -> list[Level] | None:
+    """Levels for the (distinct) listed keys among the (distinct) keys of the universe, both with a column key.
+
+    None if they would take more than MAX_BYTES, which is known before a level's bits are gathered.
+    """
     spark = universe.sparkSession
     encoded = listed.join(universe, "key", "left_semi")
     others = universe.join(listed, "key", "left_anti")
     levels: list[Level] = []
     encoded = save(encoded)
     others = save(others)
+    size, left = 0, others.count()
     while n := encoded.count():
-        level = _build(encoded, len(levels) + 1, n)
+        n_bits, hashes = _size(n, left)
+        size, left = size + n_bits // 8, n
+        if size > MAX_BYTES:
+            return None
+        level = _build(encoded, len(levels) + 1, n_bits, hashes)
         levels.append(level)
         sent = spark.sparkContext.broadcast(level)
         wrong = others.select("key", *_hashes(level[0])).mapInArrow(_held(sent), "key string")
@@ -156,20 +172,26 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = "allow") -> DataFr
 
     The longest fitting rule decides, of equally long ones that with the longer host; without one the url is not listed
     and gets `default`. A rule fits its host and all its subdomains if the url's path begins with the rule's.
+    A null url has an empty host and path and is not listed. Repeated rows each have their row; urls count whole, however
+    long; an empty table gives none; further columns of any name are not looked at.
     """
     spark = pages.sparkSession
     rules = save(rules.select((F.concat_ws("\n", "host", "path")).alias("key"), "verdict"))
     lengths = [r.n for r in rules.select(F.char_length(F.substring_index("key", "\n", -1)).alias("n")).distinct().collect()]
-    split = _candidates(hosts_and_paths(pages), sorted(lengths))
+    split = _candidates(hosts_and_paths(pages.select("page_id", "url")), sorted(lengths))
     listed = rules.select("key").distinct()
     row = F.struct(F.col("page_id").cast("long").alias("page_id"), "host", "path").alias("row")
-    if listed.count() * BITS_PER_KEY / 8 > MAX_BYTES:
-        each = split.select(row, F.explode_outer("keys").alias("key")).join(listed.withColumn("hit", F.lit(True)), "key", "left")
+    levels = cascade(listed, split.select(F.explode("keys").alias("key")).distinct())
+    if levels is None:
+        # Equal pages are one group: a row of it comes from each of their keys, or one for each page without keys.
+        each = split.select(row, F.greatest(F.size("keys"), F.lit(1)).alias("n"), F.explode_outer("keys").alias("key"))
+        each = each.join(listed.withColumn("hit", F.lit(True)), "key", "left")
         best = F.max(F.when(F.col("hit"), F.struct(F.char_length("key"), F.instr("key", "\n"), "key"))).alias("best")
-        found = each.groupBy("row").agg(best, F.count("*")).select("row", F.col("best.key").alias("found"))
+        grouped = each.groupBy("row", "n").agg(best, F.count("*").alias("rows"))
+        copies = F.explode(F.sequence(F.lit(1), F.expr("int(rows div n)")))
+        found = grouped.select("row", F.col("best.key").alias("found"), copies.alias("copy")).drop("copy")
     else:
-        universe = split.select(F.explode("keys").alias("key")).distinct()
-        levels = spark.sparkContext.broadcast(cascade(listed, universe))
+        levels = spark.sparkContext.broadcast(levels)
         schema = "row struct<page_id:bigint,host:string,path:string>, found string"
         found = split.select(row, "keys").mapInArrow(_first_listed(levels), schema)
     said = found.join(rules.withColumnRenamed("key", "found"), "found", "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -321,10 +322,73 @@ def test_clauses_weigh_negation_speech_and_targets():
 
 
 def test_licenses_by_sentences(spark, nothing):
-    rules = {"A": ["First line.", "Second line."], "B": ["First line."], "C": ["Other, 2.0."]}
+    rules = {"A": ["First line. Second line."], "B": ["First line."], "C": ["Other, 2.0."]}
     texts = [None, "", "x\nFIRST   line.\nmiddle words. Second-line!", "Second line. First line.", "say other 2.0. no\nOther 2.0."]
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, licenses string")
     out = {r.doc_id: (list(r.sentence_ids), list(r.licenses)) for r in licenses.recognised(docs, rules).collect()}
     assert out == {0: ([], []), 1: ([], []), 2: ([1, 2], ["A"]), 3: ([2, 1], ["B"]), 4: ([3], ["C"])}
     assert licenses.recognised(nothing, rules).collect() == []
     assert all(not r.licenses for r in licenses.recognised(docs, {}).collect())
+
+
+def scanned_plainly(text: str, rules: dict[str, list[str]]) -> tuple[list[int], list[str]]:
+    """Licenses by trying, in each stretch between sentence ends, every line as the beginning of the last sentence."""
+    known = licenses.identifiers(rules)
+    ids: list[int] = []
+    for stretch in re.split(licenses.ENDS, re.sub("[A-Z]", lambda m: m[0].lower(), text)):
+        lines = [s for s in map(licenses.normal, stretch.split("\n")) if s]
+        cut = next((i for i in range(len(lines)) if " ".join(lines[i:]) in known), len(lines))
+        ids += [known[s] for s in [*lines[:cut], " ".join(lines[cut:])] if s in known]
+    names, chain = set(), ids
+    for name, sentences in sorted(licenses._sequences(rules), key=lambda rule: (-len(rule[1]), rule[0])):
+        sequence, kept, i = [known[s] for s in sentences], [], 0
+        while i < len(chain):
+            if chain[i : i + len(sequence)] == sequence:
+                names.add(name)
+                kept, i = [*kept, 0], i + len(sequence)
+            else:
+                kept, i = [*kept, chain[i]], i + 1
+        chain = kept
+    return ids, sorted(names)
+
+
+def test_usual_notices_and_brute_force(spark):
+    """Wrapped and commented notices, tags, headings, rules inside rules, repeated rows, a very long text, clashing names."""
+    rules = licenses.LICENSE_TEXTS
+    rng = random.Random(4)
+    wrapped = lambda text, mark: "\n".join(
+        f"{mark} {line}" for part in text.split("\n") for line in textwrap.wrap(part, rng.randint(20, 70)) or [""]
+    )
+    texts, want = [None, ""], [[], []]
+    for name, stated in rules.items():
+        for text in stated:
+            after = "\nMore text" if text.endswith(".") else "\n\nMore text"
+            texts += [f"Some Title\n{wrapped(text, mark)}{after}" for mark in ("", "#", " *", "//")]
+            want += [[name]] * 4
+        texts.append(f"// SPDX-License-Identifier: {name}\nint x;")
+        want.append([name])
+    numbered = rules["BSD-3-Clause"][0].replace("\n\nRe", "\n1. Re").replace("\n\nNe", "\n3. Ne")
+    texts += [numbered, "word " * 300_000 + "\n\n" + rules["MIT"][2], "line\n" * 50_000 + "\n* \n" * 50_000 + "All rights reserved", "mit license", numbered]
+    want += [["BSD-3-Clause"], ["MIT"], ["proprietary"], [], ["BSD-3-Clause"]]
+    every = [part for text in texts if text and len(text) < 5_000 for part in re.split("(?<=[.:])", text)]
+    texts += ["".join(rng.choices(every, k=12)) for _ in range(150)]
+    schema = "_chain long, text string, row string, names long, ids string, chain string, flat string, _m0 int"
+    docs = spark.createDataFrame([(i, t, "r", i, "i", "c", "f", 5) for i, t in enumerate(texts)], schema)
+    out = sorted(licenses.recognised(docs.repartition(4)).collect(), key=lambda r: r["_chain"])
+    assert [list(r.licenses) for r in out[: len(want)]] == want
+    assert [(list(r.sentence_ids), list(r.licenses)) for r in out] == [scanned_plainly(t or "", rules) for t in texts]
+    assert all((r["names"], r.ids, r.chain, r.flat, r["_m0"], r.row, r.text) == (r["_chain"], "i", "c", "f", 5, "r", texts[r["_chain"]]) for r in out)
+
+
+def test_helper_names_of_the_caller_stay(spark):
+    """Columns that have the names of helpers, in the operators that return whole documents."""
+    text = " ".join(prose(random.Random(9), 60))
+    names = ["_hash", "_starts", "hash", "digest", "starts", "row_id", "text_hash", "component", "place", "copies", "a.b"]
+    schema = "doc_id long, text string, " + ", ".join(f"`{n}` long" for n in names)
+    rows = [(i, t, *[10 * i + k for k in range(len(names))]) for i, t in enumerate([text, text, None, "", "other words"])]
+    docs = spark.createDataFrame(rows, schema)
+    assert sorted(map(tuple, near_dedup.keep_one(docs).collect())) == sorted([rows[0], *rows[2:]], key=lambda r: r[0])
+    items = spark.createDataFrame([("x", " ".join(text.split()[20:40]))], "item_id string, text string")
+    out = {r[0]: tuple(r) for r in decontaminate.remove_spans(docs, items).collect()}
+    assert [out[i][2:] for i in range(5)] == [r[2:] for r in rows] and out[4] == rows[4] and out[0][1] != text
+    assert sorted(r[0] for r in decontaminate.remove_documents(docs, items).collect()) == [2, 3, 4]

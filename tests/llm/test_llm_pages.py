@@ -9,6 +9,7 @@ import random
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 from reelstat.llm import queries, site_tree, url_filter, warc
 
 SCHEMA = "page_id long, url string, html string, host string, keys string, text string"
@@ -47,9 +48,24 @@ def test_cascade_is_exact_on_its_universe(spark):
 
 def test_joined_rules_answer_alike(spark, pages, monkeypatch):
     rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
-    want = sorted(map(tuple, url_filter.judged(pages, rules).distinct().collect()), key=repr)
+    pages = pages.unionByName(pages.where("page_id > 3")).withColumn("_rest", F.lit(1))
+    long = F.concat(F.lit("http://a.example.com/en/"), F.repeat(F.lit("x/"), 100_000))
+    pages = pages.unionByName(pages.limit(1).withColumn("url", long))
+    want = sorted(map(tuple, url_filter.judged(pages, rules).collect()), key=repr)
+    assert len(want) == pages.count()
     monkeypatch.setattr(url_filter, "MAX_BYTES", 0)
-    assert sorted(map(tuple, url_filter.judged(pages, rules).distinct().collect()), key=repr) == want
+    assert sorted(map(tuple, url_filter.judged(pages, rules).collect()), key=repr) == want
+
+
+def test_levels_shrink_whatever_the_universe():
+    """A level errs on fewer keys than it encodes, so that bits follow the list: 1,000 rules in a corpus of 10 ** 12 keys."""
+    n, others, total = 1_000, 10**12, 0
+    while n:
+        n_bits, hashes = url_filter._size(n, others)
+        wrong = others * (1 - (1 - 1 / n_bits) ** (hashes * n)) ** hashes
+        assert wrong <= n / 4
+        total, n, others = total + n_bits // 8, int(wrong), n
+    assert total < 100_000
 
 
 PAGE = (
