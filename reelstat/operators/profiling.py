@@ -7,7 +7,6 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelstat.functions.privacy import redact_variant
@@ -92,30 +91,33 @@ def payload_examples(
     return sample.select(F.to_json(redact_variant(F.col("payload"))).alias("value"))
 
 
+def _key_counts(sample: DataFrame) -> DataFrame:
+    """(key, type, n): how many payloads have a key with a value of the type, and, under a null key, how many there are.
+
+    One pass, whose totals, a row per key and type, are kept in memory.
+    """
+    fields = F.map_entries(F.try_variant_get("payload", "$", "map<string,variant>"))
+    fields = F.transform(fields, lambda e: F.struct(e["key"].alias("key"), e["value"].alias("node")))
+    itself = F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("node")))
+    each = sample.select(F.explode(F.concat(itself, F.coalesce(fields, F.slice(itself, 1, 0)))).alias("one")).select("one.*")
+    kinds = each.select("key", "node", F.schema_of_variant("node").alias("kind"))  # once per value
+    grouped = kinds.groupBy("key", F.when(F.col("key").isNotNull(), _payload_type(F.col("kind"), F.col("node"))).alias("type"))
+    return grouped.agg(F.count(F.lit(1)).alias("n")).persist()
+
+
 def payload_profile(
     raw: DataFrame, sample_size: int | None = None, min_percent: float | None = None, value: str = "value"
 ) -> DataFrame:
     """Per top-level key: how many payloads have it, the types it takes, and the share of payloads where it is NULL.
 
-    The share is of all payloads. A sample, which is small and in one place, is counted on the way; otherwise the
-    payloads are counted apart, and without a filter that count parses nothing.
+    The share is of all payloads, which are counted in the pass that counts the keys.
     """
-    sample = payload_sample(raw, sample_size, min_percent, value)
-    if sample_size is None:
-        extra, total = [], sample.agg(F.count(F.lit(1))).scalar()
-    else:
-        sample = sample.withColumn("_payloads", F.count(F.lit(1)).over(W.partitionBy(F.lit(1))))
-        extra, total = ["_payloads"], F.col("_payloads")
-    fields = F.explode(F.try_variant_get("payload", "$", "map<string,variant>")).alias("key", "node")
-    counts = (
-        sample.select(*extra, fields)
-        .select(*extra, "key", "node", F.schema_of_variant("node").alias("kind"))  # once per value
-        .groupBy(*extra, "key", _payload_type(F.col("kind"), F.col("node")).alias("type"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    counts = _key_counts(payload_sample(raw, sample_size, min_percent, value))
+    total = counts.where("key IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
     # At most one entry per type name is collected for a key.
     return (
-        counts.groupBy(*extra, "key")
+        counts.where("key IS NOT NULL")
+        .groupBy("key")
         .agg(
             F.sum("n").alias("observed_in"),
             F.map_from_entries(F.sort_array(F.collect_list(F.struct("type", "n")))).alias("types"),
@@ -134,13 +136,12 @@ def payload_summary(
     n_keys: int = 10,
 ) -> DataFrame:
     """Head of a profile: payloads fetched, payloads sampled, distinct keys, and the first keys by name."""
-    sample = payload_sample(raw, sample_size, min_percent, value)
-    fields = F.map_keys(F.try_variant_get("payload", "$", "map<string,variant>"))
-    keys = sample.select(F.explode(fields).alias("key")).distinct()
+    counts = _key_counts(payload_sample(raw, sample_size, min_percent, value))
+    keys = counts.where("key IS NOT NULL").select("key").distinct()
     first = keys.orderBy("key").limit(n_keys).agg(F.sort_array(F.collect_list("key")))
     return raw.agg(F.count(F.lit(1)).alias("fetched")).select(
         "fetched",
-        sample.agg(F.count(F.lit(1))).scalar().alias("sampled"),
+        counts.where("key IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("sampled"),
         keys.agg(F.count(F.lit(1))).scalar().alias("distinct_keys"),
         first.scalar().alias("top_keys"),
     )

@@ -81,6 +81,7 @@ def run_days(argv: Sequence[str] | None = None) -> dict:
         "--silver-uri",
         "--gold-uri",
         status_uri={},
+        catalog_db={},
         day={},
         ip_hash_key={},
         email_hash_key={},
@@ -88,6 +89,6 @@ def run_days(argv: Sequence[str] | None = None) -> dict:
         **_ONE_LEVEL,
     )
     days = args.day.split(",") if args.day else [jobs.yesterday_utc()]
-    roots = jobs.Roots(args.bronze_uri, args.silver_uri, args.gold_uri, args.status_uri)
+    roots = jobs.Roots(args.bronze_uri, args.silver_uri, args.gold_uri, args.status_uri, args.catalog_db)
     keys = (args.ip_hash_key, not args.flat_days, args.email_hash_key)
     return jobs.run_days(session("media-days"), days, roots, *keys, _names(args.extra_fields))

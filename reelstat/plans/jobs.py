@@ -26,6 +26,7 @@ from reelstat.operators.quarantine import file_counts, quarantined, sound
 from reelstat.operators.reports import today_utc
 from reelstat.operators.visitors import dedup_visitors, flatten_visitors, pseudonymise_email
 from reelstat.schemas import DELIVERED, FILE_COUNTS, QUARANTINE, TABLE_DIRS, TABLES
+from reelstat.sinks.catalog import publish
 from reelstat.sinks.tables import RECORDS_PER_FILE, write_day, write_days, write_replace
 from reelstat.sources.bronze import read_bronze
 from reelstat.sources.files import join
@@ -197,6 +198,7 @@ class Roots:
     silver: str
     gold: str
     status: str | None = None
+    catalog: str | None = None  # database whose tables and view each run brings up to date
 
 
 def run_day(
@@ -209,6 +211,7 @@ def run_day(
     extra: Iterable[str] = (),
 ) -> dict[str, int]:
     """All steps of one day (default: yesterday, UTC): rows written per step. `extra` names further event fields to keep.
+    With a catalog named in `roots`, the last step brings its tables, the day's partitions and the view up to date.
 
     Each step logs STARTED and then SUCCEEDED or FAILED. A failed step fails the day and is raised.
     """
@@ -228,6 +231,9 @@ def run_day(
         "gold_fact_media_daily": lambda: gold_fact_media_daily(spark, roots.silver, roots.gold, day),
     }
 
+    if roots.catalog:
+        steps["catalog"] = lambda: len(publish(spark, roots.catalog, roots.silver, roots.gold, day))
+
     def log(step: str, status: str) -> None:
         if roots.status:
             status_row(spark, day, step, status).coalesce(1).write.mode("append").parquet(roots.status)

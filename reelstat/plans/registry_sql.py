@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 
-from reelstat.plans.registry import AS_OF, DAY, HMAC_KEY
+from reelstat.plans.registry import AS_OF, DAY, HMAC_KEY, NEXT_DAY
 
 _BLOCK = HMAC_KEY.encode().ljust(64, b"\0")
 assert len(_BLOCK) == 64 and hashlib.sha256().block_size == 64
@@ -420,6 +420,14 @@ ORACLES["dim_through_files"] = f"""
     WITH media_flat AS (SELECT * REPLACE ({_TWO_DAYS}) FROM ({_CTES['media_flat']})), snapshot AS ({_CTES['snapshot']}),
     dim AS ({_CTES['dim']}) SELECT * FROM dim"""
 
+ORACLES["media_perf_through_catalog"] = f"""
+    WITH visitors_flat AS (
+        SELECT * REPLACE (CASE WHEN dt < DATE '2024-01-15' THEN DATE '{DAY}' ELSE DATE '{NEXT_DAY}' END AS dt)
+        FROM ({_CTES['visitors_flat']})),
+    silver_visitors AS ({_CTES['silver_visitors']}), fact AS ({_CTES['fact']}),
+    media_flat AS (SELECT * REPLACE ({_TWO_DAYS}) FROM ({_CTES['media_flat']})), snapshot AS ({_CTES['snapshot']}),
+    dim AS ({_CTES['dim']}) {ORACLES['media_perf_view'][ORACLES['media_perf_view'].index('SELECT dt, media_id, title'):]}"""
+
 # One line in 37 is cut off and one of the others in 41 has a text where an object belongs.
 _LINES = """
     SELECT event_id AS n, ts, event_type, json_extract_string(props, '$.k') AS media_id,

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import shutil
+from dataclasses import replace
 from datetime import date, timedelta
+from urllib.parse import quote
 
 import pytest
 from conftest import values
@@ -10,7 +12,8 @@ from reelstat.operators.incremental import latest_status
 from reelstat.operators.quality import duplicate_event_keys, pii_columns
 from reelstat.plans import jobs
 from reelstat.schemas import TABLES, table_schema
-from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine
+from reelstat.sinks.catalog import VIEW
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table
 
 DAY, NEXT = "2025-03-04", "2025-03-05"
 
@@ -195,6 +198,35 @@ def test_run_days_twice_equals_once(spark, roots, land, media_dirs):
     assert latest_status(spark.read.parquet(roots.status)).where("status <> 'SUCCEEDED'").isEmpty()
 
 
+@pytest.mark.parametrize("media_dirs", [True, False])
+def test_runs_keep_the_catalog(spark, roots, land, media_dirs):
+    """Tables and view by name after each run: odd media names, a rerun with one media less, more runs than versions kept."""
+    db, odd = "runs_test", "it's a=b %41"
+    named = replace(roots, catalog=db)
+    for day in (DAY, NEXT):
+        everything(land, day, "m1", "m2")
+    land("visitors", DAY, quote(odd, safe="' "), [{"visitor_key": "v", "load_count": 1}])
+    try:
+        jobs.run_days(spark, [DAY, NEXT], named, "key", media_dirs)
+        everything(land, DAY, "m1")
+        for dataset in ("visitors", "events", "media_by_date", "media"):
+            shutil.rmtree(f"{roots.bronze}/{dataset}/dt={DAY}/media_id=m2")
+        for _ in range(3):
+            written = jobs.run_day(spark, DAY, named, "key", media_dirs)
+        assert written["catalog"] == 8
+        first, second = date(2025, 3, 4), date(2025, 3, 5)
+        facts = values(read_table(spark, db, VIEW), "dt", "media_id")
+        assert facts == sorted([(first, odd), (first, "m1"), (second, "m1"), (second, "m2")], key=repr)
+        if media_dirs:
+            for table in ("silver_visitors", "silver_events"):
+                rows = read_table(spark, db, table).select("dt", "media_id").distinct()
+                stored = read_days(spark, roots.silver, table).select("dt", "media_id").distinct()
+                assert values(rows, "dt", "media_id") == values(stored, "dt", "media_id")
+        assert "bytes" in {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {db}.gold_dim_media").collect()}["Statistics"]
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
 def test_media_gone_from_a_rerun_day_leave_no_rows(spark, roots, land):
     everything(land, DAY, "m1", "m2")
     everything(land, NEXT, "m1", "m2")

@@ -223,6 +223,11 @@ def test_payload_profile(spark):
     viewed = profiling.payload_summary(raw, min_percent=0.05).first()
     assert tuple(viewed) == (5, 2, 4, ["a", "b", "c", "percent_viewed"])
     assert profiling.payload_profile(raw, sample_size=2).count() == 4
+    nothing = raw.limit(0)
+    assert profiling.payload_profile(nothing).collect() == []
+    assert tuple(profiling.payload_summary(nothing).first()) == (0, 0, 0, [])
+    unread = spark.createDataFrame([("[1]",), ("{broken",), (None,)], "value string")
+    assert tuple(profiling.payload_summary(unread).first()) == (3, 3, 0, [])
 
 
 def test_payload_examples_are_redacted(spark):
