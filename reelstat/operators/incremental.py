@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from reelstat.functions.typing import day_literal, parse_day
 from reelstat.operators.keyed import latest_per_key
 
+WATERMARK_SCHEMA = "dataset string, media_id string, last_date date, updated_at timestamp"
 STATUS_SCHEMA = "run_date string, data_in_process string, status string, updated_at timestamp"
 STARTED, SUCCEEDED, FAILED = "STARTED", "SUCCEEDED", "FAILED"
 
@@ -32,6 +33,36 @@ def next_window(marks: DataFrame, yesterday: str | date, overlap: int = 1) -> Da
     )
 
 
+def windows_due(
+    tracked: DataFrame, marks: DataFrame, yesterday: str | date, overlap: int = 1, first_days: int = 7
+) -> DataFrame:
+    """(dataset, media_id, start_date, end_date) for each tracked (dataset, media_id), once.
+
+    Media with a stored mark load on from it, as `next_window` says; media without one start `first_days` days back. Media
+    that are no longer tracked have no window and keep their mark. Rows without a dataset or a media_id are left out.
+    """
+    key = ["dataset", "media_id"]
+    end = day_literal(yesterday)
+    known = next_window(marks.select(*key, "last_date"), yesterday, overlap).select(*key, "start_date")
+    wanted = tracked.select(*key).dropna().distinct().join(known, key, "left")
+    start = F.coalesce("start_date", F.date_sub(end, first_days - 1))
+    return wanted.select(*key, start.alias("start_date"), end.alias("end_date"))
+
+
+def days_due(windows: DataFrame) -> list[date]:
+    """The days that any window names. All windows end on one day, so one row tells them."""
+    first, end = windows.agg(F.min("start_date"), F.max("end_date")).first()
+    return [] if first is None else [first + timedelta(days=n) for n in range((end - first).days + 1)]
+
+
+def advance(marks: DataFrame, windows: DataFrame, ts: datetime | None = None) -> DataFrame:
+    """The marks after the windows were loaded. A mark never goes back, whatever order runs are made in."""
+    loaded = windows.select(
+        "dataset", "media_id", F.col("end_date").alias("last_date"), F.lit(ts or datetime.now(timezone.utc)).alias("updated_at")
+    )
+    return latest_per_key(marks.unionByName(loaded), ["dataset", "media_id"], ["last_date", "updated_at"])
+
+
 def run_key(day: str | date) -> str:
     return f"day#{parse_day(day).isoformat()}"
 

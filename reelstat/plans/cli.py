@@ -73,7 +73,11 @@ def gold_fact_media_daily(argv: Sequence[str] | None = None) -> int:
 
 
 def run_days(argv: Sequence[str] | None = None) -> dict:
-    """All steps of the days of `--day` (comma-separated; default: yesterday, UTC)."""
+    """All steps of the days of `--day` (comma-separated; default: yesterday, UTC).
+
+    With `--watermarks-uri` and `--media` (comma-separated) the days are those that the stored watermarks of these media
+    name, up to `--day` or yesterday.
+    """
     args = _arguments(
         "run_days",
         argv,
@@ -82,13 +86,21 @@ def run_days(argv: Sequence[str] | None = None) -> dict:
         "--gold-uri",
         status_uri={},
         catalog_db={},
+        watermarks_uri={},
+        media={"default": ""},
         day={},
         ip_hash_key={},
         email_hash_key={},
         **_EXTRA,
         **_ONE_LEVEL,
     )
-    days = args.day.split(",") if args.day else [jobs.yesterday_utc()]
     roots = jobs.Roots(args.bronze_uri, args.silver_uri, args.gold_uri, args.status_uri, args.catalog_db)
-    keys = (args.ip_hash_key, not args.flat_days, args.email_hash_key)
-    return jobs.run_days(session("media-days"), days, roots, *keys, _names(args.extra_fields))
+    options = {"ip_hash_key": args.ip_hash_key, "media_dirs": not args.flat_days, "email_key": args.email_hash_key}
+    options["extra"] = _names(args.extra_fields)
+    spark = session("media-days")
+    if args.watermarks_uri:
+        media = [(dataset, name) for dataset in jobs.INCREMENTAL for name in _names(args.media)]
+        tracked = spark.createDataFrame(media, "dataset string, media_id string")
+        return jobs.run_due(spark, tracked, roots, args.watermarks_uri, args.day, **options)
+    days = args.day.split(",") if args.day else [jobs.yesterday_utc()]
+    return jobs.run_days(spark, days, roots, **options)

@@ -19,7 +19,7 @@ from reelstat.functions.typing import parse_day, stamp
 from reelstat.operators.by_date import type_by_date
 from reelstat.operators.events import dedup_events, protect_events, type_events
 from reelstat.operators.gold import daily_fact
-from reelstat.operators.incremental import FAILED, STARTED, SUCCEEDED, status_row
+from reelstat.operators.incremental import FAILED, STARTED, SUCCEEDED, advance, days_due, status_row, windows_due
 from reelstat.operators.media import flatten_media, media_versions, to_dim_media, upsert_dim
 from reelstat.operators.quality import assert_no_pii
 from reelstat.operators.quarantine import file_counts, quarantined, sound
@@ -30,11 +30,14 @@ from reelstat.sinks.catalog import publish
 from reelstat.sinks.tables import RECORDS_PER_FILE, write_day, write_days, write_replace
 from reelstat.sources.bronze import read_bronze
 from reelstat.sources.files import join
-from reelstat.sources.tables import read_current, read_days
+from reelstat.sources.tables import read_current, read_days, read_watermarks
 
 # A week of daily runs; a reader that started on an older version has long finished.
 VERSIONS_KEPT = 7
 
+# The datasets that are loaded by watermark.
+INCREMENTAL = ("events", "media_by_date")
+
 
 def yesterday_utc() -> date:
     return today_utc() - timedelta(days=1)
@@ -266,3 +269,30 @@ def run_days(
     ordered = sorted(set(map(parse_day, days)))
     extra = list(extra)
     return {day: run_day(spark, day, roots, ip_hash_key, media_dirs, email_key, extra) for day in ordered}
+
+
+def run_due(
+    spark: SparkSession,
+    tracked: DataFrame,
+    roots: Roots,
+    watermarks_uri: str,
+    yesterday: str | date | None = None,
+    overlap: int = 1,
+    first_days: int = 7,
+    ts: datetime | None = None,
+    **options,
+) -> dict[date, dict[str, int]]:
+    """Load what the tracked (dataset, media_id) still lack up to yesterday, by the stored watermarks.
+
+    The days of all windows are run whole, as a day is replaced whole, so what lies in the overlap stays the same. Marks
+    advance to yesterday once every day has succeeded; a run that fails leaves them, and the next one loads the same days.
+    `options` are those of `run_days`.
+    """
+    end = yesterday_utc() if yesterday is None else parse_day(yesterday)
+    marks = read_watermarks(spark, watermarks_uri)
+    windows = windows_due(tracked, marks, end, overlap, first_days)
+    days = days_due(windows)
+    written = run_days(spark, days, roots, **options)
+    if days:
+        write_replace(advance(marks, windows, ts), watermarks_uri, keep=VERSIONS_KEPT)
+    return written

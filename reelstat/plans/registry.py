@@ -7,13 +7,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reelstat.functions.privacy import drop_pii, hmac_column, redact, redact_json
-from reelstat.functions.typing import day_literal
+from reelstat.functions.typing import day_literal, parse_day
 from reelstat.operators import by_date, events, gold, incremental, media, profiling, quality, reports, visitors
 from reelstat.plans import jobs
 from reelstat.schemas import CATALOG_PII, DELIVERED, EVENT_PII
@@ -24,7 +25,7 @@ from reelstat.sinks.tables import cluster
 from reelstat.sources import bronze
 from reelstat.sources import star_tables as star
 from reelstat.sources.files import join
-from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table, read_watermarks
 from reelstat.streaming.events import stream_events
 
 AS_OF = "2024-01-30"
@@ -481,6 +482,27 @@ def media_perf_through_catalog(spark, sf_dir):
     return tidy(read_table(spark, roots.catalog, VIEW), "play_rate")
 
 
+@query
+def loaded_by_watermark(spark, sf_dir):
+    """Three runs of one day more each, a day of overlap: a third of the media is given up after the second run, another
+    third is tracked from the third run on."""
+    days = F.date_add(day_literal(DAY), F.pmod(F.dayofmonth("dt"), F.lit(4)))
+    raw = star.visitors_raw(spark, sf_dir).withColumn("dt", days)
+    root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
+    roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])
+    land_bronze(raw, roots.bronze, "visitors")
+    media = raw.select(F.lit("visitors").alias("dataset"), "media_id").distinct()
+    third = F.ascii(F.right("media_id", F.lit(1))) % 3
+    marks = join(root, "watermarks")
+    for run, groups in enumerate([(0, 1), (0, 1), (1, 2)]):
+        day, ts = parse_day(DAY) + timedelta(days=run), datetime(2024, 2, 1 + run, tzinfo=timezone.utc)
+        tracked = media.where(third.isin(*groups))
+        jobs.run_due(spark, tracked, roots, marks, day, first_days=1, ts=ts, media_dirs=False)
+    stored = read_days(spark, roots.silver, "silver_visitors")
+    counts = stored.groupBy("media_id").agg(F.countDistinct("dt").alias("days"), F.count("*").alias("visitors"))
+    return read_watermarks(spark, marks).join(counts, "media_id", "left")
+
+
 def _with_broken_lines(spark: SparkSession, sf_dir: str) -> jobs.Roots:
     root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
     roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])

@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from reelstat.operators.incremental import WATERMARK_SCHEMA
 from reelstat.schemas import FILE_COUNTS, QUARANTINE, TABLE_DIRS, table_schema
 from reelstat.sources.files import complete_versions, day_paths, exists, join, list_names, read_or_none
 
@@ -50,6 +51,14 @@ def read_current(spark: SparkSession, root: str, table: str, further: str = "")
     return read_or_none(lambda: spark.read.schema(schema).parquet(location))
 
 
+def read_watermarks(spark: SparkSession, path: str) -> DataFrame:
+    """The stored watermarks; none before the first run has succeeded."""
+    location = current_version(spark, path)
+    if location is None:
+        return spark.createDataFrame([], WATERMARK_SCHEMA)
+    return spark.read.schema(WATERMARK_SCHEMA).parquet(location)
+
+
 def _beside(spark: SparkSession, root: str, table: str, dataset: str, columns: str, days) -> DataFrame | None:
     base = join(root, table, f"dataset={dataset}")
     paths = day_paths(spark, base, days)

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import shutil
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from urllib.parse import quote
 
 import pytest
@@ -13,7 +13,7 @@ from reelstat.operators.quality import duplicate_event_keys, pii_columns
 from reelstat.plans import jobs
 from reelstat.schemas import TABLES, table_schema
 from reelstat.sinks.catalog import VIEW
-from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table, read_watermarks
 
 DAY, NEXT = "2025-03-04", "2025-03-05"
 
@@ -358,3 +358,38 @@ def test_command_lines_take_further_fields(spark, roots, land, monkeypatch):
     roots_of = ["--bronze-uri", roots.bronze, "--silver-uri", roots.silver, "--gold-uri", roots.gold, "--day", DAY]
     cli.run_days([*roots_of, "--email-hash-key", "k", "--extra-fields", "player"])
     assert [len(e) for (e,) in values(read_days(spark, roots.silver, "silver_visitors"), "email")] == [64]
+
+
+def test_runs_load_by_stored_watermarks(spark, roots, land, monkeypatch):
+    marks = f"{roots.silver}/watermarks"
+    ran = []
+    monkeypatch.setattr(jobs, "run_day", lambda spark, day, *options: ran.append(day) or {})
+
+    def tracked(*media):
+        return spark.createDataFrame([("events", m) for m in media], "dataset string, media_id string")
+
+    def stored():
+        return {r.media_id: (r.last_date, r.updated_at.day) for r in read_watermarks(spark, marks).collect()}
+
+    run = lambda media, day, at: jobs.run_due(spark, tracked(*media), roots, marks, day, ts=datetime(2025, 4, at))
+    assert jobs.run_due(spark, tracked(), roots, marks, "2025-03-04") == {} and stored() == {}
+    run(["a", "a", None], "2025-03-07", 1)
+    assert ran == [date(2025, 3, n) for n in range(1, 8)] and stored() == {"a": (date(2025, 3, 7), 1)}
+    ran.clear()
+    run(["a"], "2025-03-09", 2)
+    assert ran == [date(2025, 3, n) for n in (6, 7, 8, 9)] and stored() == {"a": (date(2025, 3, 9), 2)}
+    ran.clear()
+    run(["b"], "2025-03-08", 3)  # newly tracked; the other is given up and keeps its mark
+    assert ran == [date(2025, 3, n) for n in range(2, 9)]
+    assert stored() == {"a": (date(2025, 3, 9), 2), "b": (date(2025, 3, 8), 3)}
+    ran.clear()
+    run(["a"], "2025-03-05", 4)  # an earlier run moves no mark back
+    assert ran == [date(2025, 3, n) for n in (4, 5)] and stored()["a"] == (date(2025, 3, 9), 2)
+
+    def fails(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(jobs, "run_day", fails)
+    with pytest.raises(RuntimeError):
+        run(["a", "b"], "2025-03-10", 5)
+    assert stored() == {"a": (date(2025, 3, 9), 2), "b": (date(2025, 3, 8), 3)}
