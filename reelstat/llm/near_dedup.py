@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from reelstat.llm.graph import components
 from reelstat.llm.native_text import unused
 from reelstat.llm.scratch import save
-from reelstat.llm.shingles import minhash, multipliers, overlap, shingle_set
+from reelstat.llm.shingles import groups, minhashes, multipliers, overlap, overlaps, shingle_set, shingle_sets
 from xxhash import xxh3_128_digest
 
 COORDINATES = 64
@@ -38,28 +38,34 @@ VALUE_BITS = 57  # of a key; the coordinate is above them
 
 
 def keyed(values: np.ndarray) -> np.ndarray:
-    """A key per coordinate: its number and the upper bits of its value."""
-    coordinate = np.arange(len(values), dtype=np.uint64) << np.uint64(VALUE_BITS)
+    """A key per coordinate, a row for each set: its number and the upper bits of its value."""
+    coordinate = np.arange(values.shape[-1], dtype=np.uint64) << np.uint64(VALUE_BITS)
     return (coordinate | values >> np.uint64(64 - VALUE_BITS)).view(np.int64)
 
 
-def coordinates(shingles: np.ndarray) -> np.ndarray:
-    """The keys of a set: one for each coordinate of its MinHash signature."""
-    return keyed(minhash(shingles, multipliers(COORDINATES)))
+def coordinates(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """The keys of sets, a row each: one for each coordinate of the MinHash signature."""
+    return keyed(minhashes(shingles, bounds, multipliers(COORDINATES)))
 
 
-def _signed(keys_of: Callable[[np.ndarray], np.ndarray]):
+def _signed(keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray]):
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, nodes, keys = [], [], []
-            for text in batch.column("text"):
-                shingles = shingle_set(text.as_py())
-                sizes.append(len(shingles))
-                nodes.append(xxh3_128_digest(shingles.tobytes()) if len(shingles) else None)
-                keys.append(keys_of(shingles) if len(shingles) else None)
-            made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            names = ["row_id", "text_hash", "n_shingles", "node", "keys"]
-            yield pa.RecordBatch.from_arrays([batch.column("row_id"), batch.column("text_hash"), *made], names)
+            at = 0
+            for texts in groups(text.as_py() for text in batch.column("text")):
+                shingles, bounds = shingle_sets(texts)
+                sizes = np.diff(bounds)
+                nodes = [xxh3_128_digest(shingles[x:y]) if x < y else None for x, y in zip(bounds[:-1], bounds[1:])]
+                keys = keys_of(shingles, np.unique(bounds))
+                ends = np.concatenate([[0], np.cumsum(sizes > 0)]) * keys.shape[1]
+                lists = pa.ListArray.from_arrays(
+                    pa.array(ends.astype(np.int32)), pa.array(keys.reshape(-1)), mask=pa.array(sizes == 0)
+                )
+                own = batch.slice(at, len(texts))
+                at += len(texts)
+                made = [pa.array(sizes, pa.int64()), pa.array(nodes, pa.binary()), lists]
+                names = ["row_id", "text_hash", "n_shingles", "node", "keys"]
+                yield pa.RecordBatch.from_arrays([own.column("row_id"), own.column("text_hash"), *made], names)
 
     return sign
 
@@ -159,11 +165,12 @@ def _blocks(collisions: int, percent: int):
             equal = keys[y] == keys[x]
             y, equal = (v[equal.sum(axis=1) >= collisions] for v in (y, equal))
             bits = (equal.astype(np.uint64) << np.arange(keys.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-            for z in y[(bits & masks[y] & masks[x] & earlier) == 0]:
-                if labels[x] == labels[z]:  # linked meanwhile
-                    continue
-                both, either = overlap(sets[x], sets[z])
-                if 100 * both >= percent * either:
+            y = y[(bits & masks[y] & masks[x] & earlier) == 0]
+            if not len(y):
+                continue
+            both, either = overlaps(sets[x], [sets[z] for z in y])
+            for z in y[100 * both >= percent * either]:
+                if labels[x] != labels[z]:  # not linked meanwhile
                     left.append(column["node"][x])
                     right.append(column["node"][z])
                     labels[labels == labels[z]] = labels[x]
@@ -221,7 +228,7 @@ def classes(
     rows: DataFrame,
     percent: int = PERCENT,
     collisions: int = COLLISIONS,
-    keys_of: Callable[[np.ndarray], np.ndarray] = coordinates,
+    keys_of: Callable[[np.ndarray, np.ndarray], np.ndarray] = coordinates,
 ) -> DataFrame:
     """Rows (row_id, text) -> (row_id, text_hash, n_shingles, node, component), one row each; row_id of any orderable type.
 

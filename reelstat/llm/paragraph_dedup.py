@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from reelstat.llm.near_dedup import PERCENT, classes, keyed
 from reelstat.llm.scratch import save
-from reelstat.llm.shingles import STEP, minhash, mixed, multipliers, split_words, word_hashes
+from reelstat.llm.shingles import STEP, minhashes, mixed, multipliers, split_words, word_hashes
 
 PASSAGE = 50
 ANCHOR = 25
@@ -34,9 +34,9 @@ FIRST = -(2**63)  # stands for a null id, which is before all others
 INVERSE = np.uint64(pow(int(STEP), -1, 2**64))
 
 
-def banded(shingles: np.ndarray) -> np.ndarray:
-    values = minhash(shingles, multipliers(BANDS * ROWS, seed=2)).reshape(BANDS, ROWS)
-    return keyed(mixed(values[:, 0] * STEP + values[:, 1]))
+def banded(shingles: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    values = minhashes(shingles, bounds, multipliers(BANDS * ROWS, seed=2)).reshape(-1, BANDS, ROWS)
+    return keyed(mixed(values[:, :, 0] * STEP + values[:, :, 1]))
 
 
 def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -147,16 +147,17 @@ def _written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The lines of PASSAGE words or more, with the numbers of their first and past-the-last word."""
     for batch in batches:
         ids, hashes, starts, ends, lines = [], [], [], [], []
-        for doc, text_hash, text in zip(batch.column("id"), batch.column("text_hash"), batch.column("text")):
+        named = (batch.column("id").to_pylist(), batch.column("text_hash").to_pylist(), batch.column("text"))
+        for doc, text_hash, text in zip(*named):
             at = 0
-            for line in (text.as_py() or "").split("\n"):
-                n = len(split_words(line))
+            for line in (text.as_py() or "").encode("utf-8", "surrogatepass").split(b"\n"):
+                n = len(line.split())
                 if n >= PASSAGE:
                     for column, value in zip((ids, hashes, starts, ends, lines), (doc, text_hash, at, at + n, line)):
                         column.append(value)
                 at += n
-        columns = [pa.array([x.as_py() for x in c], pa.int64()) for c in (ids, hashes)]
-        columns += [pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(lines, pa.string())]
+        columns = [pa.array(x, pa.int64()) for x in (ids, hashes)]
+        columns += [pa.array(starts, pa.int32()), pa.array(ends, pa.int32()), pa.array(lines, pa.binary()).cast(pa.string())]
         yield pa.RecordBatch.from_arrays(columns, ["id", "text_hash", "start", "end", "text"])
 
 
