@@ -13,6 +13,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 from reelstat.llm import decontaminate, licenses, near_dedup, packing, paragraph_dedup, quality, toxicity
+from reelstat.llm import shingles as signing
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, id string, kept string, hash string"
 LETTERS = "abcdefghijklmnopqrstuvwxyzäé"
@@ -392,3 +393,20 @@ def test_helper_names_of_the_caller_stay(spark):
     out = {r[0]: tuple(r) for r in decontaminate.remove_spans(docs, items).collect()}
     assert [out[i][2:] for i in range(5)] == [r[2:] for r in rows] and out[4] == rows[4] and out[0][1] != text
     assert sorted(r[0] for r in decontaminate.remove_documents(docs, items).collect()) == [2, 3, 4]
+
+
+def test_sets_of_many_texts_are_those_of_each():
+    some = random.Random(5)
+    texts = [" ".join(some.choices("a B c dd é É".split(), k=n)) for n in (0, 1, 4, 5, 6, 60, 0, 3000, 9000, 2)]
+    texts = [None, *texts, "", "a\tB  c\nd e f"]
+    values, bounds = signing.shingle_sets(texts)
+    each = [signing.shingle_set(text) for text in texts]
+    assert [values[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [own.tolist() for own in each]
+    factors, held = signing.multipliers(20), [own for own in each if len(own)]
+    least = signing.minhashes(values, np.unique(bounds), factors)
+    assert least.tolist() == [signing.minhash(own, factors).tolist() for own in held]
+    for one in held:
+        both, either = signing.overlaps(one, held)
+        assert list(zip(both.tolist(), either.tolist())) == [signing.overlap(one, other) for other in held]
+    assert [len(x) for x in signing.shingle_sets([])] == [0, 1]
+    assert [text for group in signing.groups(texts, 50) for text in group] == texts
