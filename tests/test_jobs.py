@@ -393,3 +393,17 @@ def test_runs_load_by_stored_watermarks(spark, roots, land, monkeypatch):
     with pytest.raises(RuntimeError):
         run(["a", "b"], "2025-03-10", 5)
     assert stored() == {"a": (date(2025, 3, 9), 2), "b": (date(2025, 3, 8), 3)}
+
+
+def test_command_line_loads_by_watermark(spark, roots, monkeypatch):
+    from reelstat.plans import cli
+
+    calls = []
+    monkeypatch.setattr(cli, "session", lambda name: spark)
+    monkeypatch.setattr(jobs, "run_due", lambda spark, tracked, *where, **options: calls.append((tracked, where, options)))
+    argv = ["--bronze-uri", "b", "--silver-uri", "s", "--gold-uri", "g", "--watermarks-uri", "w", "--media", "m, n", "--flat-days"]
+    cli.run_days(argv)
+    (tracked, where, options), = calls
+    assert values(tracked, "dataset", "media_id") == [(d, m) for d in ("events", "media_by_date") for m in ("m", "n")]
+    assert where == (jobs.Roots("b", "s", "g"), "w", None)
+    assert options == {"ip_hash_key": None, "media_dirs": False, "email_key": None, "extra": []}
