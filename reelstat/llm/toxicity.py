@@ -1,12 +1,20 @@
 """Toxicity by a weighted finite-state grammar over clauses.
 
-A lexicon transducer turns words into labels: insult, threat, target, negation, reported speech, other. Its insults and
-threats are the listed ones and those learnt from labelled rows: word beginnings that toxic documents hold significantly
-more often than others, with their log-odds as weight. Four small transducers read the labels of a clause and are run as
-their composition, state by state: `negation` damps the three words after a negation, `speech` damps what follows a verb
-of saying, `target` raises the weight when somebody is addressed or named by a pronoun, and `harm` adds up what insults
-and threats weigh there; a threat without a target counts little. A document is judged by its matched clauses: the
-heaviest, their sum, their number and their share. How far these speak for label 1 is a logistic fit.
+A lexicon turns words into labels with weights: insult, threat, intent, target, negation, reported speech, pause, other.
+Its insults and threats are the listed ones and those learnt from labelled rows: word beginnings that toxic documents hold
+significantly more often than others, with their log-odds as weight. Five transducers read a clause one after another; an
+arc rewrites a label and multiplies the weight that stands there:
+
+- `SPEECH_MACHINE` damps what follows a verb of saying up to the end of the clause, and takes its target from it;
+- `NEGATION_MACHINE` damps the three words after a negation, up to a pause;
+- `INSULT_MACHINE` raises an insult right after another one;
+- `THREAT_MACHINE` halves a threat without a word of intent before it;
+- `TARGET_MACHINE` raises what stands in a clause with a target, which may come last: it guesses from the start whether
+  there is one, and only the right guess is accepted. A threat without a target counts little.
+
+They are composed once into one machine (`compose`), whose paths over a clause are followed in one pass; `in_sequence` runs
+them one by one and is what the composition is tested against. A document is judged by its matched clauses: the heaviest,
+their sum, their number and their share. How far these speak for label 1 is a logistic fit.
 """
 
 from __future__ import annotations
@@ -14,7 +22,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +40,9 @@ LEAST_WEIGHT = 2.5
 STEMS = (4, 6)
 CACHED_WORDS = 300_000
 TOKENS = re.compile(r"[^\W\d_]+|[.!?;:,()\"“”«»\n]")
-OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH = range(6)
+ENDS = set(".!?;\n")  # of clauses; other marks are pauses inside them
+LABELS = OTHER, INSULT, THREAT, TARGET, NEGATION, SPEECH, INTENT, PAUSE = range(8)
+HARM = (INSULT, THREAT)
 
 #: Words of the grammar in English, German, French and Spanish.
 LISTED = {
@@ -39,6 +51,8 @@ LISTED = {
     THREAT: "kill hurt destroy beat shoot murder töten umbringen schlagen tuer frapper détruire matar golpear destruir",
     TARGET: "you your he she they them him her du dich ihr euch er sie tu toi vous te il elle ils tú usted ustedes él ella",
     NEGATION: "not never no neither nor isn aren don nicht nie kein keine pas jamais aucun nunca jamás tampoco",
+    INTENT: "will ll gonna going should must want werde wirst soll sollte vais va devrait veux voy va debería quiero",
+    PAUSE: ", : ( ) \" “ ” « »",
     SPEECH: "said says wrote claims claimed quoted reported sagte schrieb behauptet dit écrit affirme dijo escribió afirma",
 }
 
@@ -95,46 +109,136 @@ class Lexicon:
         return found
 
 
-#: Transducers: (state, label) -> next state; labels not named keep the state, or take the state's "*" transition.
-NEGATIONS = {(s, NEGATION): 3 for s in range(4)} | {(s, "*"): s - 1 for s in (1, 2, 3)}
-SAYINGS = {(0, SPEECH): 1}
-TARGETS = {(0, TARGET): 1}
-#: What a state of these transducers multiplies a weight by.
-DAMPED = {"negation": (1.0, 0.3, 0.3, 0.3), "speech": (1.0, 0.4), "target": (1.0, 1.3), "threat": (0.2, 1.5)}
+@dataclass(frozen=True)
+class Machine:
+    """A weighted transducer over labels. An arc (state, label) leads to (state, label written, factor); a label without
+    an arc is refused in that state."""
 
+    starts: frozenset
+    finals: frozenset
+    arcs: dict
 
-def _step(machine: dict, state: int, label: int) -> int:
-    return machine.get((state, label), machine.get((state, "*"), state))
 
+def _machine(states: int, arc, starts: Iterable[int] = (0,), finals: Iterable[int] | None = None) -> Machine:
+    """Of the rule arc(state, label) -> (state, label written, factor) or None."""
+    arcs = {(s, label): arc(s, label) for s in range(states) for label in LABELS}
+    kept = frozenset(range(states) if finals is None else finals)
+    return Machine(frozenset(starts), kept, {at: to for at, to in arcs.items() if to is not None})
 
-def clause_weight(labels: list[tuple[int, float]]) -> float:
-    """Runs the composition over a clause. The target is looked for in the whole clause first, as it may come last."""
-    target = int(any(label == TARGET for label, _ in labels))
-    negation = speech = 0
-    total = 0.0
-    for label, weight in labels:
-        if label in (INSULT, THREAT):
-            factor = DAMPED["threat"][target] if label == THREAT else DAMPED["target"][_step(TARGETS, 0, TARGET) * target]
-            total += weight * factor * DAMPED["negation"][negation] * DAMPED["speech"][speech]
-        negation, speech = _step(NEGATIONS, negation, label), _step(SAYINGS, speech, label)
-    return total
 
+def _speech(said: int, label: int):
+    return int(said or label == SPEECH), OTHER if said and label == TARGET else label, 0.4 if said and label in HARM else 1.0
 
-def features(text: str, lexicon: Lexicon) -> tuple[float, float, float, float]:
+
+def _negation(left: int, label: int):
+    after = 3 if label == NEGATION else 0 if label == PAUSE else max(left - 1, 0)
+    return after, label, 0.3 if left and label in HARM else 1.0
+
+
+def _insult(after_one: int, label: int):
+    return int(label == INSULT), label, 1.2 if after_one and label == INSULT else 1.0
+
+
+def _threat(intended: int, label: int):
+    return int(intended or label == INTENT), label, 0.5 if label == THREAT and not intended else 1.0
+
+
+_ALONE, _AWAITED, _ADDRESSED = range(3)
+
+
+def _target(state: int, label: int):
+    if label == TARGET:
+        return None if state == _ALONE else (_ADDRESSED, label, 1.0)
+    factors = {INSULT: 1.0, THREAT: 0.2} if state == _ALONE else {INSULT: 1.3, THREAT: 1.5}
+    return state, label, factors.get(label, 1.0)
+
+
+SPEECH_MACHINE = _machine(2, _speech)
+NEGATION_MACHINE = _machine(4, _negation)
+INSULT_MACHINE = _machine(2, _insult)
+THREAT_MACHINE = _machine(2, _threat)
+TARGET_MACHINE = _machine(3, _target, (_ALONE, _AWAITED), (_ALONE, _ADDRESSED))
+MACHINES = (SPEECH_MACHINE, NEGATION_MACHINE, INSULT_MACHINE, THREAT_MACHINE, TARGET_MACHINE)
+
+
+def compose(first: Machine, second: Machine) -> Machine:
+    """One machine that does what `second` does to what `first` writes. Only states that can be reached are made."""
+    starts = frozenset((a, b) for a in first.starts for b in second.starts)
+    arcs, open_states, seen = {}, list(starts), set(starts)
+    while open_states:
+        a, b = state = open_states.pop()
+        for label in LABELS:
+            to_a = first.arcs.get((a, label))
+            to_b = to_a and second.arcs.get((b, to_a[1]))
+            if not to_b:
+                continue
+            after = (to_a[0], to_b[0])
+            arcs[state, label] = (after, to_b[1], to_a[2] * to_b[2])
+            if after not in seen:
+                seen.add(after)
+                open_states.append(after)
+    return Machine(starts, frozenset(s for s in seen if s[0] in first.finals and s[1] in second.finals), arcs)
+
+
+def _numbered(machine: Machine) -> Machine:
+    """The same machine with whole numbers for states."""
+    number = {s: i for i, s in enumerate(sorted({at for at, _ in machine.arcs}, key=repr))}
+    arcs = {(number[at], label): (number[to], out, factor) for (at, label), (to, out, factor) in machine.arcs.items()}
+    return Machine(frozenset(map(number.get, machine.starts)), frozenset(map(number.get, machine.finals)), arcs)
+
+
+GRAMMAR = _numbered(reduce(compose, MACHINES))
+
+
+def outputs(machine: Machine, labels: list[tuple[int, float]]) -> list[list[tuple[int, float]]]:
+    """What the machine's accepted paths write, one for each."""
+    written = []
+    for state in sorted(machine.starts):
+        out = []
+        for label, weight in labels:
+            arc = machine.arcs.get((state, label))
+            if arc is None:
+                break
+            state = arc[0]
+            out.append((arc[1], weight * arc[2]))
+        else:
+            if state in machine.finals:
+                written.append(out)
+    return written
+
+
+def _harm(paths: list[list[tuple[int, float]]]) -> float:
+    return max((sum(weight for label, weight in path if label in HARM) for path in paths), default=0.0)
+
+
+def in_sequence(labels: list[tuple[int, float]], machines: Iterable[Machine] = MACHINES) -> float:
+    """What the clause weighs when each machine reads all that the one before it wrote."""
+    paths = [labels]
+    for machine in machines:
+        paths = [out for path in paths for out in outputs(machine, path)]
+    return _harm(paths)
+
+
+def clause_weight(labels: list[tuple[int, float]], grammar: Machine = GRAMMAR) -> float:
+    """What the clause weighs by the composed machine."""
+    return _harm(outputs(grammar, labels))
+
+
+def features(text: str, lexicon: Lexicon, grammar: Machine = GRAMMAR) -> tuple[float, float, float, float]:
     """Heaviest clause, log of their sum, log of their number, share of the clauses that match."""
     tokens = TOKENS.findall(text.lower())
     labels = list(map(lexicon, tokens))
-    heavy = [i for i, (label, _) in enumerate(labels) if label in (INSULT, THREAT)]
+    heavy = [i for i, (label, _) in enumerate(labels) if label in HARM]
     if not heavy:
         return 0.0, 0.0, 0.0, 0.0
     weights, clauses, begin, at = [], 1, 0, 0
     for i, token in enumerate([*tokens, "."]):
-        if not token[0].isalpha():
+        if token in ENDS:
             clauses += i > begin
             while at < len(heavy) and heavy[at] < begin:
                 at += 1
             if at < len(heavy) and heavy[at] < i:
-                weights.append(clause_weight(labels[begin:i]))
+                weights.append(clause_weight(labels[begin:i], grammar))
             begin = i + 1
     return max(weights), math.log1p(sum(weights)), math.log1p(len(weights)), len(weights) / clauses
 

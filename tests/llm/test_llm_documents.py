@@ -320,6 +320,40 @@ def test_clauses_weigh_negation_speech_and_targets():
     assert weigh("not an idiot") < weigh("an idiot")
     assert weigh("I will kill you") > weigh("kill the process")
     assert weigh("nothing here") == 0
+    assert weigh("an idiot, you") == weigh("you idiot")  # the target may come last
+    assert weigh('he said: "you idiot"') < weigh("an idiot") and weigh('he said so. "you idiot"') == weigh("you idiot")
+    assert weigh("not bad, an idiot") == weigh("an idiot") > weigh("not bad an idiot")
+    assert weigh("stupid idiot") > 2 * weigh("an idiot")
+
+
+def test_the_composed_grammar_does_what_its_transducers_do_in_sequence():
+    rng = random.Random(3)
+    for _ in range(3000):
+        labels = [(label, float(rng.randrange(1, 9))) for label in rng.choices(toxicity.LABELS, k=rng.randrange(13))]
+        assert abs(toxicity.clause_weight(labels) - toxicity.in_sequence(labels)) < 1e-9
+    assert len(toxicity.outputs(toxicity.GRAMMAR, [(toxicity.INSULT, 1.0)])) == 1
+
+
+def test_the_grammar_tells_quoted_and_negated_insults_from_meant_ones():
+    """The same words in all documents: only what the transducers do with them can tell the labels."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(300):
+        toxic = i % 2
+        insult = rng.choice(["idiot", "moron", "loser", "clown"])
+        clauses = [["he", "said", "you", insult], ["never", "a", insult], ["you"]] if not toxic else [["you", insult], ["you", insult], ["he", "said", "never"]]
+        rng.shuffle(clauses)
+        rows.append((". ".join(" ".join([*prose(rng, 3), *clause]) for clause in clauses), toxic))
+    flat = toxicity._machine(1, lambda state, label: (0, label, 1.0))
+
+    def missed(grammar, plain=False):
+        lexicon = toxicity.Lexicon({})
+        x = np.array([toxicity.features(text, lexicon, grammar)[: 1 if plain else 4] for text, _ in rows])
+        y = np.array([toxic for _, toxic in rows], float)
+        w = toxicity.fit(x[:200], y[:200])
+        return int(((np.column_stack([x[200:], np.ones(100)]) @ w >= 0) != y[200:]).sum())
+
+    assert missed(toxicity.GRAMMAR, plain=True) == 0 and missed(flat, plain=True) >= 30
 
 
 def test_licenses_by_sentences(spark, nothing):
