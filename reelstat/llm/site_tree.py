@@ -1,17 +1,23 @@
-"""Main text of web pages by the contents that the pages of a host share.
+"""Main text of web pages by a style tree of each host.
 
-The pages of a host are merged: a node is a path of elements and the text of a block there. A content that k of the m
-different pages of a host have has the importance 1 - k / m, so the same share decides alike on hosts of every size.
-Contents of low importance are noise and are cut out of each page, but never inside an <article> or <main>. Pages of equal
-blocks count once, whatever else their html holds. What an element is called counts too: menus, adverts, forms and the
-like have no importance whatever they hold.
+The pages of a host are merged. A node of the tree is a place: a path of block elements with their class names. There each
+page has a presentation, the sequence of child tags (a run of equal ones counts as one), and a content, the text that
+stands there and is no link. The entropy H of either over the host's pages gives its importance 1 - exp(-H), 0 if all
+pages are alike and 1 - 1/n for n equally frequent ones; it does not depend on how many pages a host has. A node is low
+if both importances are below LOW. On a page, a branch is cut if its node and all nodes below it there are low.
 
-The presentation half of a site style tree is not built: child-tag sequences are not counted, no entropy over styles is
-computed and no branch is cut as a whole, so noise of an unknown name whose text differs from page to page stays.
+What a branch that stays holds is judged by itself: a block of the same text on the same path on k of m pages has the
+importance 1 - (k - 1) / m. One page that has nothing in common with the others is added to every host and node, so a host
+of few pages is cut less readily than a large one (a block on all pages goes from 5 pages on, a branch from 11), and a
+single page not at all. Nothing is cut inside an <article> or <main>. Pages of equal blocks and nodes count once, whatever
+else their html holds. What an element is called counts too: menus, adverts, forms and the like have no importance
+whatever they hold.
 
-Nodes are counted by groupBy with map-side sums, so a host with a third of all pages is some counts per task. Only nodes
-of low importance are kept for a host: each is on more than (1 - LOW) * m pages, so they are few, and pages meet them by
-a join on the host that Spark may split where a host is large.
+What stays: noise of an unknown name whose text differs from page to page, unless it is made of links.
+
+Nodes are counted by groupBy with map-side sums, so a host with a third of all pages is some counts per task. Only what is
+low is kept for a host: it is on most of its pages, so it is little, and pages meet it by a join on the host that Spark
+may split where a host is large.
 """
 
 from __future__ import annotations
@@ -19,6 +25,8 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 import xxhash
@@ -28,8 +36,8 @@ from pyspark.sql import functions as F
 from reelstat.llm.scratch import save
 
 LOW = 0.25
-LEAST_PAGES = 5
 TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?][^>]*>", re.S)
+CLASSES = re.compile(r"\bclass\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 NAMES = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 
 #: Elements by what they do in HTML, and names that sites give to what is not the article.
@@ -65,14 +73,40 @@ def _noise_name(tag: str, attributes: str) -> bool:
     return False
 
 
+@dataclass
+class Place:
+    """A node of a page's tree: where it hangs, the child tags of its elements, its texts, and whether it is low there."""
+
+    name: str
+    parent: int
+    style: list[str] = field(default_factory=list)
+    texts: list[str] = field(default_factory=list)
+    low: bool = False
+
+
+def _place_name(tag: str, attributes: str) -> str:
+    """The tag with its class names, without numbers, which tell elements apart and not kinds of them."""
+    names = " ".join("".join(m) for m in CLASSES.findall(attributes)) if "=" in attributes else ""
+    return ".".join([tag, *sorted({re.sub(r"\d+", "", name) for name in names.lower().split()})])
+
+
 def blocks(page: str) -> list[tuple[str, str, bool]]:
     """(path of elements, text, inside an article) of the page's blocks, in order, without those that are noise by name.
 
     If no article has text outside elements of noisy names, such an element is none if it holds an article or most of the text.
     """
-    found_blocks: list[tuple[str, list[tuple[str, tuple[int, ...]]], bool]] = []
-    stack: list[tuple[str, bool, tuple[int, ...]]] = []  # open elements, whether they are noise, and noisy names around them
-    parts: list[tuple[str, tuple[int, ...]]] = []
+    return [block[:3] for block in parsed(page)[0]]
+
+
+def parsed(page: str) -> tuple[list[tuple[str, str, bool, int]], list[Place]]:
+    """The blocks with the places they stand at, and all places outside articles; 0 is the root."""
+    found_blocks: list[tuple[str, list[tuple[str, tuple[int, ...], bool]], bool, int]] = []
+    # Open elements, whether they are noise, noisy names around them, and their places.
+    stack: list[tuple[str, bool, tuple[int, ...], int]] = []
+    places = [Place("", -1)]
+    known: dict[tuple[int, str], int] = {}
+    links = 0
+    parts: list[tuple[str, tuple[int, ...], bool]] = []
     chars: list[int] = []  # for each element of a noisy name
     holds: set[int] = set()  # those that hold an article
     article = total = 0
@@ -80,16 +114,17 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
 
     def close_block() -> None:
         if parts:
-            found_blocks.append(("/".join(tag for tag, *_ in stack if tag in BLOCK), parts.copy(), article > 0))
+            found_blocks.append(("/".join(tag for tag, *_ in stack if tag in BLOCK), parts.copy(), article > 0, stack[-1][3] if stack else 0))
             parts.clear()
 
     def pop(to: int) -> None:
-        nonlocal article
+        nonlocal article, links
         while len(stack) > to:
-            tag, noise, _ = stack[-1]
+            tag, noise, *_ = stack[-1]
             if tag in BLOCK:
                 close_block()
             stack.pop()
+            links -= tag == "a"
             article -= tag in ("article", "main") and not noise
 
     at = 0
@@ -98,7 +133,7 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
         text = page[at : found.start()] if found else page[at:]
         if text and not (stack and stack[-1][1]):
             named = stack[-1][2] if stack else ()
-            parts.append((text, named))
+            parts.append((text, named, links > 0))
             size = len(text.strip())
             total += size
             for i in named:
@@ -122,7 +157,7 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
             at = end.end() if end else len(page)
             continue
         if tag == "br" or tag == "hr":
-            parts.append((" ", ())) if tag == "br" else close_block()
+            parts.append((" ", (), links > 0)) if tag == "br" else close_block()
         if tag in VOID or found[3].endswith("/") and tag not in BLOCK:
             continue
         if tag in BLOCK:
@@ -138,62 +173,122 @@ def blocks(page: str) -> list[tuple[str, str, bool]]:
         if not noise and _noise_name(tag, found[3]):
             named = (*named, len(chars))
             chars.append(0)
-        stack.append((tag, noise, named))
+        at_place = stack[-1][3] if stack else 0
+        if not noise and not article:
+            if places[at_place].style[-1:] != [tag]:
+                places[at_place].style.append(tag)
+            if tag in BLOCK:
+                name = _place_name(tag, found[3])
+                inner = known.setdefault((at_place, name), len(places))
+                if inner == len(places):
+                    places.append(Place(name, at_place))
+                at_place = inner
+                places[at_place].style.append("|")  # one more element of this place
+        stack.append((tag, noise, named, at_place))
+        links += tag == "a"
         article += tag in ("article", "main") and not noise
     pop(0)
     close_block()
     noisy = {i for i, n in enumerate(chars) if plain or not (i in holds or 2 * n > total)}
-    out: list[tuple[str, str, bool]] = []
-    for path, held, inside in found_blocks:
-        text = " ".join(entities.unescape("".join(t for t, named in held if noisy.isdisjoint(named))).split())
+    out: list[tuple[str, str, bool, int]] = []
+    for path, held, inside, place in found_blocks:
+        held = [(t, linked) for t, named, linked in held if noisy.isdisjoint(named)]
+        text = " ".join(entities.unescape("".join(t for t, _ in held)).split())
         if text:
-            out.append((path, text, inside))
-    if any(inside for *_, inside in out):
+            out.append((path, text, inside, place))
+            if not inside and not all(linked or not t.strip() for t, linked in held):
+                places[place].texts.append(text)
+    if any(inside for _, _, inside, _ in out):
         out = [block for block in out if block[2]]
-    return out
+    return out, places
 
 
 def _node(path: str, content: str) -> int:
     return xxhash.xxh64_intdigest(f"{path}\n{content}") - 2**63
 
 
+def _style(place: Place) -> str:
+    """The child tags of the place's elements; runs of equal elements count as one, as runs of equal tags do."""
+    elements = [" ".join(tags.split()) for tags in " ".join(place.style).split("|")]
+    return "|".join(tags for tags, _ in groupby(elements))
+
+
+def _hashed_places(places: list[Place]) -> list[int]:
+    """A hash of the whole path of each place; a place comes after the one it hangs at."""
+    out: list[int] = []
+    for place in places:
+        out.append(_node(f"place {out[place.parent] if place.parent >= 0 else ''}", place.name))
+    return out
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per page the digest of its blocks, and its nodes outside articles."""
+    """Per page a digest of its blocks and nodes, its blocks outside articles, and (node, presentation, content) of its nodes."""
     for batch in batches:
-        copies, nodes = [], []
+        copies, nodes, styled = [], [], []
         for page in batch.column("html"):
-            own = blocks(page.as_py() or "")
-            copies.append(xxhash.xxh3_128_digest("\n".join(f"{path}\n{text}" for path, text, _ in own)))
-            nodes.append(list({_node(path, text) for path, text, inside in own if not inside}))
-        columns = [batch.column("host"), pa.array(copies, pa.binary()), pa.array(nodes, pa.list_(pa.int64()))]
-        yield pa.RecordBatch.from_arrays(columns, ["host", "copy", "nodes"])
+            own, places = parsed(page.as_py() or "")
+            found = [
+                {"node": at, "style": _node("style", _style(place)), "content": _node("content", "\n".join(place.texts))}
+                for at, place in zip(_hashed_places(places), places)
+            ]
+            lines = [f"{path}\n{text}" for path, text, *_ in own] + [str(tuple(x.values())) for x in found]
+            copies.append(xxhash.xxh3_128_digest("\n".join(lines)))
+            nodes.append(list({_node(path, text) for path, text, inside, _ in own if not inside}))
+            styled.append(found)
+        kind = pa.list_(pa.struct([("node", pa.int64()), ("style", pa.int64()), ("content", pa.int64())]))
+        columns = [batch.column("host"), pa.array(copies, pa.binary()), pa.array(nodes, pa.list_(pa.int64())), pa.array(styled, kind)]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "copy", "nodes", "styled"])
+
+
+def main_text(page: str, noise: set[int]) -> str:
+    """The page's text without the blocks and the branches that are low on its host."""
+    own, places = parsed(page)
+    hashes = _hashed_places(places)
+    for place, at in zip(places, hashes):
+        place.low = at in noise
+    for place in reversed(places):  # a place comes after the one it hangs at
+        if place.parent >= 0 and not place.low:
+            places[place.parent].low = False
+    return " ".join(text for path, text, inside, at in own if inside or not (places[at].low or _node(path, text) in noise))
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = []
-        for page, noise in zip(batch.column("html"), batch.column("noise")):
-            noise = set(noise.as_py() or ())
-            own = blocks(page.as_py() or "")
-            texts.append(" ".join(text for path, text, inside in own if inside or _node(path, text) not in noise))
+        pairs = zip(batch.column("html"), batch.column("noise"))
+        texts = [main_text(page.as_py() or "", set(noise.as_py() or ())) for page, noise in pairs]
         sizes = pa.array([len(t) for t in texts], pa.int64())
         columns = [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()), sizes]
         yield pa.RecordBatch.from_arrays(columns, ["page_id", "url", "text", "n_chars"])
 
 
+def low_nodes(once: DataFrame, low: float = LOW) -> DataFrame:
+    """(host, node) of the nodes whose presentations and contents vary little, from rows (host, styled)."""
+    kinds = F.explode(F.array(*[F.struct(F.lit(n).alias("kind"), F.col(f"at.{n}").alias("value")) for n in ("style", "content")]))
+    seen = once.select("host", F.explode("styled").alias("at")).select("host", "at.node", kinds.alias("seen"))
+    counts = seen.groupBy("host", "node", "seen").agg(F.count("*").alias("n"))
+    pages = F.sum("n") + 1  # with one of its own kind, which adds log 1 = 0 to the sum
+    entropy = F.log(pages) - F.sum(F.col("n") * F.log("n")) / pages
+    both = counts.groupBy("host", "node", "seen.kind").agg((1 - F.exp(-entropy)).alias("importance"))
+    return both.groupBy("host", "node").agg(F.max("importance").alias("importance")).where(F.col("importance") < low).drop("importance")
+
+
 def extract(pages: DataFrame, low: float = LOW) -> DataFrame:
     """(page_id, url, text, n_chars) per page. Null or empty html: empty text. A url without host is a host of its own.
 
-    Pages of equal blocks count once in the tree, so copies of a page do not make its article look like a template.
+    Pages of equal blocks and nodes count once in the tree, so copies of a page do not make its article look like a template.
+    Repeated rows and null ids come out as often as they went in; a share of exactly 1 - `low` stays; very long pages are
+    read whole; other columns are not looked at, whatever their names; no rows give no rows.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "://([^/?#]*)", 1))
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host.alias("host"))
-    counted = source.select("host", "html").mapInArrow(_counted, "host string, copy binary, nodes array<bigint>")
-    once = save(counted.groupBy("host", "copy").agg(F.any_value("nodes").alias("nodes")))
+    kind = "host string, copy binary, nodes array<bigint>, styled array<struct<node:bigint,style:bigint,content:bigint>>"
+    counted = source.select("host", "html").mapInArrow(_counted, kind)
+    once = save(counted.groupBy("host", "copy").agg(F.any_value("nodes").alias("nodes"), F.any_value("styled").alias("styled")))
     nodes = once.select("host", F.explode("nodes").alias("node"))
-    nodes = nodes.groupBy("host", "node").agg(F.count("*").alias("k")).where(F.col("k") >= LEAST_PAGES)
-    sizes = once.groupBy("host").agg(F.count("*").alias("m")).where(F.col("m") >= LEAST_PAGES)
-    importance = 1 - F.col("k") / F.col("m")
-    noise = nodes.join(sizes, "host").where(importance < low).groupBy("host").agg(F.collect_set("node").alias("noise"))
+    nodes = nodes.groupBy("host", "node").agg(F.count("*").alias("k")).where(F.col("k") > 1)
+    sizes = once.groupBy("host").agg(F.count("*").alias("m"))
+    importance = 1 - (F.col("k") - 1) / F.col("m")
+    shared = nodes.join(sizes, "host").where(importance < low).select("host", "node")
+    noise = shared.unionByName(low_nodes(once, low)).groupBy("host").agg(F.collect_set("node").alias("noise"))
     joined = source.join(save(noise), "host", "left").select("page_id", "url", "html", "noise")
     return joined.mapInArrow(_extracted, "page_id long, url string, text string, n_chars long")

@@ -5,7 +5,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import random
+from collections import Counter, defaultdict
+from itertools import groupby
+from xml.etree import ElementTree
 
 import duckdb
 import pytest
@@ -121,6 +125,101 @@ def test_the_share_of_pages_decides_at_every_size(spark):
     assert out[1003] == "Own 3" and out[2001] == "Same text Own 1"
 
 
+def test_branches_of_low_presentation_and_content_are_cut(spark):
+    """Boxes of unknown names: links whose text differs, a fixed notice that wraps, and an article told by its content only."""
+    html = (
+        "<body><div class='x1'><ul>{links}</ul></div><div class='x2'><p>Buy <b>now</b></p><p>or never</p></div>"
+        "<div class='x3'><h1>Title {i}</h1><p>Own text of page {i} with <a href='/'>a link {i}</a></p>{more}</div></body>"
+    )
+    rows = []
+    for i in range(40):
+        links = "".join(f"<li><a href='/{n}'>Related {i} {n}</a>" for n in range(1 + i % 4))
+        rows.append((i, f"http://h.org/{i}", html.format(i=i, links=links, more="<p>And more</p>" * (i % 2))))
+    rows += [(100 + i, f"http://few.org/{i}", html.format(i=i, links="<li><a>R</a>", more="")) for i in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    out = {r.page_id: r.text for r in site_tree.extract(pages).collect()}
+    assert out[4] == "Title 4 Own text of page 4 with a link 4"
+    assert out[5] == "Title 5 Own text of page 5 with a link 5 And more"
+    assert out[101] == "R Buy now or never Title 1 Own text of page 1 with a link 1"  # three pages tell too little
+
+
+def plainly(pages: list[tuple[int, str]], low: float = site_tree.LOW) -> dict[int, str]:
+    """The texts of the pages (id, well-formed html) of one host, from whole trees and lists of all that stands at a place."""
+    trees = {page_id: ElementTree.fromstring(html) for page_id, html in pages}
+    met, texts = defaultdict(list), {}
+    for page_id, tree in trees.items():
+        styles, own, blocks = defaultdict(list), defaultdict(list), []
+
+        def walk(e, place, tags):
+            at, tags = (*place, ".".join([e.tag, *sorted(e.get("class", "").split())])), (*tags, e.tag)
+            styles[at].append(tuple(tag for tag, _ in groupby(x.tag for x in e)))
+            pieces, linked = [e.text or ""], not (e.text or "").strip()
+
+            def close():
+                nonlocal pieces, linked
+                if "".join(pieces).strip():
+                    blocks.append((at, tags, " ".join("".join(pieces).split())))
+                    if not linked:
+                        own[at].append(blocks[-1][2])
+                pieces, linked = [], True
+
+            for child in e:
+                if child.tag in site_tree.BLOCK:
+                    close()
+                    walk(child, at, tags)
+                else:
+                    pieces.append(child.text or "")
+                    linked &= child.tag == "a" or not (child.text or "").strip()
+                pieces.append(child.tail or "")
+                linked &= not (child.tail or "").strip()
+            close()
+
+        walk(tree, (), ())
+        texts[page_id] = (set(styles), blocks)
+        for at in styles:
+            met[at].append((tuple(k for k, _ in groupby(styles[at])), tuple(own[at])))
+
+    def importance(values):
+        counts = [*Counter(values).values(), 1]
+        return 1 - math.exp(-sum(-n / sum(counts) * math.log(n / sum(counts)) for n in counts))
+
+    low_at = {at for at, seen in met.items() if max(importance([s for s, _ in seen]), importance([c for _, c in seen])) < low}
+    shared = Counter(x for _, blocks in texts.values() for x in {(tags, text) for _, tags, text in blocks})
+    out = {}
+    for page_id, (places, blocks) in texts.items():
+        cut = {at for at in places if all(below in low_at for below in places if below[: len(at)] == at)}
+        kept = [t for at, tags, t in blocks if at not in cut and not 1 - (shared[tags, t] - 1) / len(texts) < low]
+        out[page_id] = " ".join(kept)
+    return out
+
+
+def test_extraction_equals_brute_force(spark):
+    rng = random.Random(4)
+    rows, want = [], {}
+    for host in range(6):
+        own = []
+        for i in range(rng.choice([1, 4, 9, 30])):
+            boxes = [f"<div class='k'>{''.join(f'<a>Link {rng.random()}</a>' for _ in range(rng.randrange(1, 4)))}</div>"]
+            boxes.append(f"<div class='b a'><p>Fixed</p><p>{rng.choice(['One', 'One', 'One', 'Two'])}</p></div>")
+            boxes.append(f"<div><p>Text {rng.random()} <b>bold</b></p>{'<p>Shared</p>' * rng.randrange(2)}tail <a>x</a></div>")
+            boxes.append("<section><div><p>Deep <i>fixed</i></p></div></section>" * (rng.random() < 0.9))
+            own.append((len(rows), f"<html>{''.join(boxes)}</html>"))
+            rows.append((len(rows), f"http://{host}/", own[-1][1]))
+        want |= plainly(own)
+    pages = spark.createDataFrame([*rows, rows[0]], "page_id long, url string, html string")  # a repeated row counts once
+    out = site_tree.extract(pages).collect()
+    assert len(out) == len(rows) + 1 and {r.page_id: r.text for r in out} == want
+    assert any("Fixed" not in t for t in want.values()) and any("Fixed" in t for t in want.values())
+
+
+def test_extraction_of_odd_input(spark):
+    long = "<p>" + "word <b>bold</b> " * 50_000 + "</p>" + "<div>" * 3000 + "deep"
+    rows = [(1, "http://h/", long, 1, "c", "n"), (1, "http://h/", long, 1, "c", "n"), (None, None, None, None, None, None), (2, "", "", 0, "", "")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, host int, copy string, noise string")
+    out = sorted((r.page_id or 0, r.n_chars) for r in site_tree.extract(pages).collect())
+    assert out == [(0, 0), (1, 50_000 * 10 - 1 + 5), (1, 50_000 * 10 - 1 + 5), (2, 0)]
+
+
 def test_archives_round_trip(spark, pages):
     out = warc.round_trip(pages).collect()
     assert len(out) == pages.count()
