@@ -72,6 +72,11 @@ def gold_fact_media_daily(argv: Sequence[str] | None = None) -> int:
     return jobs.gold_fact_media_daily(session("gold-fact-media-daily"), args.silver_uri, args.gold_uri, args.day)
 
 
+def gold_visitor_sketches(argv: Sequence[str] | None = None) -> int:
+    args = _arguments("gold_visitor_sketches", argv, *_GOLD)
+    return jobs.gold_visitor_sketches(session("gold-visitor-sketches"), args.silver_uri, args.gold_uri, args.day)
+
+
 def run_days(argv: Sequence[str] | None = None) -> dict:
     """All steps of the days of `--day` (comma-separated; default: yesterday, UTC).
 

@@ -18,14 +18,14 @@ from reelstat.functions.privacy import redact_nested
 from reelstat.functions.typing import parse_day, stamp
 from reelstat.operators.by_date import type_by_date
 from reelstat.operators.events import dedup_events, protect_events, type_events
-from reelstat.operators.gold import daily_fact
+from reelstat.operators.gold import daily_fact, visitor_sketches
 from reelstat.operators.incremental import FAILED, STARTED, SUCCEEDED, advance, days_due, status_row, windows_due
 from reelstat.operators.media import flatten_media, media_versions, to_dim_media, upsert_dim
 from reelstat.operators.quality import assert_no_pii
 from reelstat.operators.quarantine import file_counts, quarantined, sound
 from reelstat.operators.reports import today_utc
 from reelstat.operators.visitors import dedup_visitors, flatten_visitors, pseudonymise_email
-from reelstat.schemas import DELIVERED, FILE_COUNTS, QUARANTINE, TABLE_DIRS, TABLES
+from reelstat.schemas import DELIVERED, FILE_COUNTS, QUARANTINE, SKETCHES, TABLE_DIRS, TABLES
 from reelstat.sinks.catalog import publish
 from reelstat.sinks.tables import RECORDS_PER_FILE, write_day, write_days, write_replace
 from reelstat.sources.bronze import read_bronze
@@ -195,6 +195,16 @@ def gold_fact_media_daily(
     return write_days(rows, join(gold_uri, TABLE_DIRS["gold_fact_media_daily"]))
 
 
+def gold_visitor_sketches(spark: SparkSession, silver_uri: str, gold_uri: str, days: str | date | Iterable[str | date]) -> int:
+    """The visitor sketches of one day, or of many days in one pass. A window is answered from the stored sketches of its
+    days, so a new day costs that day's visitors only."""
+    days = [days] if isinstance(days, (str, date)) else list(days)
+    visitors = read_days(spark, silver_uri, "silver_visitors", days)
+    if visitors is None or visitors.isEmpty():
+        return _skip("gold_visitor_sketches", days[0], silver_uri)
+    return write_days(visitor_sketches(visitors), join(gold_uri, SKETCHES))
+
+
 @dataclass(frozen=True)
 class Roots:
     bronze: str

@@ -186,6 +186,10 @@ ORACLES = {
         f"SELECT media_id, count(DISTINCT visitor_key) AS distinct_visitors FROM silver_visitors WHERE {_WEEK} GROUP BY media_id",
         "silver_visitors",
     ),
+    "visitors_by_sketch": _sql(
+        "SELECT media_id, count(DISTINCT visitor_key) AS distinct_visitors, true AS within_four_errors FROM silver_visitors GROUP BY media_id",
+        "silver_visitors",
+    ),
     "visitor_spread": _sql(
         """
         , spread AS (SELECT dt, visitor_key, count(DISTINCT media_id) AS n FROM silver_visitors GROUP BY ALL),

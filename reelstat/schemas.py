@@ -180,6 +180,10 @@ TABLES = {
 QUARANTINE = "quarantine/lines"
 FILE_COUNTS = "quarantine/files"
 
+# A sketch of the visitors of each day and media, kept beside the fact.
+SKETCHES = "visitor_sketches"
+SKETCH_SCHEMA = "media_id string, visitor_sketch binary, dt date"
+
 # Columns that the snapshot's files have beyond the contract's: the day that delivered the row, which ranks equal versions.
 DELIVERED = "delivered"
 

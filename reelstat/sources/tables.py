@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from reelstat.operators.incremental import WATERMARK_SCHEMA
-from reelstat.schemas import FILE_COUNTS, QUARANTINE, TABLE_DIRS, table_schema
+from reelstat.schemas import FILE_COUNTS, QUARANTINE, SKETCH_SCHEMA, SKETCHES, TABLE_DIRS, table_schema
 from reelstat.sources.files import complete_versions, day_paths, exists, join, list_names, read_or_none
 
 
@@ -24,6 +24,15 @@ def read_days(
     return read_or_none(lambda: spark.read.schema(table_schema(table)).option("basePath", base).parquet(*paths))
 
 
+def read_sketches(spark: SparkSession, root: str, days: Iterable[str | date] | None = None) -> DataFrame | None:
+    """(media_id, visitor_sketch, dt) of the given days; None if none of them was run."""
+    base = join(root, SKETCHES)
+    paths = day_paths(spark, base, days)
+    if not paths:
+        return None
+    return read_or_none(lambda: spark.read.schema(SKETCH_SCHEMA).option("basePath", base).parquet(*paths))
+
+
 def read_table(spark: SparkSession, db: str, table: str) -> DataFrame:
     """A table or view of the catalog by name."""
     return spark.table(f"{db}.{table}")

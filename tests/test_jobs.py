@@ -8,12 +8,13 @@ from urllib.parse import quote
 import pytest
 from conftest import values
 
+from reelstat.operators.gold import merge_sketches
 from reelstat.operators.incremental import latest_status
 from reelstat.operators.quality import duplicate_event_keys, pii_columns
 from reelstat.plans import jobs
 from reelstat.schemas import TABLES, table_schema
 from reelstat.sinks.catalog import VIEW
-from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_table, read_watermarks
+from reelstat.sources.tables import read_current, read_days, read_file_counts, read_quarantine, read_sketches, read_table, read_watermarks
 
 DAY, NEXT = "2025-03-04", "2025-03-05"
 
@@ -407,3 +408,18 @@ def test_command_line_loads_by_watermark(spark, roots, monkeypatch):
     assert values(tracked, "dataset", "media_id") == [(d, m) for d in ("events", "media_by_date") for m in ("m", "n")]
     assert where == (jobs.Roots("b", "s", "g"), "w", None)
     assert options == {"ip_hash_key": None, "media_dirs": False, "email_key": None, "extra": []}
+
+
+def test_windows_are_answered_from_stored_sketches(spark, roots, land):
+    land("visitors", DAY, "m1", [visitor(f"v{i}", 1, 0) for i in range(30)])
+    land("visitors", DAY, "m2", [visitor("only", 1, 0)])
+    land("visitors", NEXT, "m1", [visitor(f"v{i}", 1, 0) for i in range(20, 50)])
+    assert read_sketches(spark, roots.gold) is None
+    assert jobs.gold_visitor_sketches(spark, roots.silver, roots.gold, DAY) == 0
+    for day in (DAY, NEXT):
+        jobs.silver_visitors(spark, roots.bronze, roots.silver, day)
+    assert jobs.gold_visitor_sketches(spark, roots.silver, roots.gold, [DAY, NEXT]) == 3
+    assert jobs.gold_visitor_sketches(spark, roots.silver, roots.gold, DAY) == 2  # a rerun replaces its day
+    counted = lambda days: values(merge_sketches(read_sketches(spark, roots.gold, days)), "media_id", "approx_distinct_visitors")
+    assert counted([DAY, NEXT, "2025-03-06"]) == [("m1", 50), ("m2", 1)]
+    assert counted([NEXT]) == [("m1", 30)] and read_sketches(spark, roots.gold, ["2025-03-06"]) is None
