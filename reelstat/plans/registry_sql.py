@@ -205,7 +205,7 @@ ORACLES = {
     "dim_media": _sql("SELECT * FROM dim", "dim"),
     "catalog_sweep": _sql(
         """SELECT * FROM snapshot WHERE contains(lower(name), 'ring') AND section = 'ECONOMY'
-           ORDER BY updated_at DESC NULLS LAST, media_id LIMIT 20 OFFSET 10""",
+           ORDER BY updated_at DESC NULLS LAST, media_id OFFSET 10""",
         "snapshot",
     ),
     "catalog_summary": _sql(
