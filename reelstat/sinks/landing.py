@@ -1,4 +1,4 @@
-"""Bronze landing: records as JSON lines under `dt` and `media_id`."""
+"""Bronze landing: records as JSON lines under `dt` and, unless a day has too many of them, `media_id`."""
 
 from __future__ import annotations
 
@@ -27,20 +27,26 @@ def land_bronze(
     day: str | date | None = None,
     media_ids: Iterable[str] | None = None,
     page_rows: int = 0,
+    media_dirs: bool = True,
 ) -> DataFrame:
     """Replace the (dt, media_id) directories present in the frame; return the landing summary (rows, bytes per media).
 
     Each run writes files of new names, so a stream over the folder sees re-landed days. `day` stamps the batch
     day when the frame has no `dt`. Media that were asked for and have no records are in the summary with 0 rows.
     `page_rows` limits the records of one file; 0 leaves the size to the write.
+    `media_dirs=False` replaces whole `dt` directories, whose files hold many media each, for days with many thousand
+    media: media_id is then that of the record. `read_bronze` gives the same rows either way. Do not land single media
+    into a day that was landed so.
     """
     lines = as_json_lines(df if day is None else df.withColumn("dt", day_literal(day)))
+    by = ["dt", "media_id"] if media_dirs else ["dt"]
     (
         cluster(lines, "dt", "media_id")
+        .select(*by, "value")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", page_rows)
-        .partitionBy("dt", "media_id")
+        .partitionBy(*by)
         .text(join(root, dataset))
     )
     return landing_summary(lines, media_ids)

@@ -1,4 +1,4 @@
-"""Scans of the bronze JSON lines laid out as `<dataset>/dt=<day>/media_id=<id>/<any file>`."""
+"""Scans of the bronze JSON lines laid out as `<dataset>/dt=<day>/media_id=<id>/<any file>` or `<dataset>/dt=<day>/<any file>`."""
 
 from __future__ import annotations
 
@@ -65,7 +65,7 @@ def read_bronze(
 ) -> DataFrame | None:
     """All records of a dataset on the given days (all days if None), with `dt` and `media_id`.
 
-    None if no day directory exists. Zero-byte files give no rows. The schema is explicit, so there is no
+    None if no day directory exists. Days read together are all laid out in one of the two ways. Zero-byte files give no rows. The schema is explicit, so there is no
     inference pass over the files; `extra` names further fields to read, as text. `lossless` adds the text of every line
     that could not be read whole and the file of each record (`operators/quarantine.py` tells them apart).
     """
@@ -77,9 +77,11 @@ def read_bronze(
     reader = spark.read.option("columnNameOfCorruptRecord", LINE_TEXT) if lossless else spark.read
     named = (lambda df: df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))) if lossless else (lambda df: df)
     if dataset in MEDIA_ID_FROM_PATH:
-        # Partition columns in the read schema keep `0123` a string and override the record's own media_id.
+        # Partition columns in the read schema keep `0123` a string and override the record's own media_id. On a day that
+        # was landed without directories for media it is the record's, of which an empty one is NULL, as in a directory.
         full = T.StructType(schema.fields + _PARTITIONS)
-        return read_or_none(lambda: named(reader.schema(full).option("basePath", base).json(paths)))
+        media = F.nullif(F.col("media_id"), F.lit(""))
+        return read_or_none(lambda: named(reader.schema(full).option("basePath", base).json(paths)).withColumn("media_id", media))
     # A media_id partition column would replace the record's value, so partition discovery is off here.
     df = read_or_none(lambda: named(reader.schema(schema).option("recursiveFileLookup", "true").json(paths)))
     if df is None:

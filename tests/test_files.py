@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+from datetime import date, datetime
 from pathlib import Path
 
 import pytest
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from reelstat.operators.reports import top_by_play_rate
 from reelstat.operators.visitors import flatten_visitors
+from reelstat.plans import registry
 from reelstat.sinks.catalog import create_tables, create_views, repair
 from reelstat.sinks.landing import land_bronze
 from reelstat.sinks.tables import write_day, write_days, write_replace
@@ -175,6 +176,48 @@ def test_landing_again_replaces_the_media_day(spark, roots):
     assert json.loads(next(Path(roots.bronze).rglob("part-*")).read_text())["media_id"] in "ab"
 
 
+def test_landing_many_media_in_files_of_many(spark, roots, tmp_path):
+    ids = [None, "", "0123", *[f"m {n}" for n in range(60)]]
+    rows = spark.createDataFrame([(m, f"k{n}", str(n)) for n, m in enumerate(ids)], "media_id string, event_key string, load_count string")
+    for dataset in ("visitors", "media", "media_by_date", "events"):
+        read = []
+        for media_dirs in (True, False):
+            root = str(tmp_path / f"{dataset}-{media_dirs}")
+            assert land_bronze(rows, root, dataset, DAY, media_dirs=media_dirs).count() == len(ids)
+            df = read_bronze(spark, root, dataset, [DAY])
+            read.append(values(df, *sorted(df.columns)))
+        assert read[0] == read[1] and len(read[1]) == len(ids)
+        assert len(list(Path(root).rglob("part-*"))) <= 4  # a shuffle partition's records are one file
+    land_bronze(rows.where("media_id = '0123'"), root, "events", DAY, media_dirs=False)
+    assert values(read_bronze(spark, root, "events", [DAY]), "media_id") == [("0123",)]  # the day as a whole is replaced
+
+
+@pytest.fixture
+def star(spark, tmp_path):
+    """Tables of the registered queries: 40 media of two days each, three visitors."""
+    day = lambda text: datetime.fromisoformat(text)
+    parts = [(n, f"name {n}", "Brand#1", "TYPE", n) for n in range(40)]
+    lines = [(n, n, 1, 0.1, "R", "O", day(d)) for n in range(40) for d in ("1995-01-02", "1996-01-02")]
+    events = [(n, day(f"2024-01-{10 + n % 9}"), n % 3, "view", 4.0, f'{{"k": {n % 40}}}') for n in range(80)]
+    for name, made, schema in (
+        ("part", parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int"),
+        ("lineitem", lines, "l_orderkey long, l_partkey long, l_linenumber int, l_discount double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+        ("events", events, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"),
+        ("customer", [(0, "a", "X"), (1, "b", "Y")], "c_custkey long, c_name string, c_mktsegment string"),
+    ):
+        spark.createDataFrame(made, schema).write.parquet(f"{tmp_path}/star/{name}.parquet")
+    return f"{tmp_path}/star"
+
+
+@pytest.mark.parametrize("name, rows", [("dim_through_files", 40)])
+def test_through_files_lands_few_files_however_many_media(spark, star, tmp_path, monkeypatch, name, rows):
+    monkeypatch.setattr(registry, "shared_dir", lambda _: str(tmp_path))
+    df = registry.QUERIES[name](spark, star)
+    assert df.count() == rows and df.where("title = concat('name ', media_id)").count() == rows
+    for dataset in tmp_path.glob("registered-*/bronze/*"):
+        assert len(list(dataset.rglob("part-*"))) <= 8  # two days of four shuffle partitions, not a file for each media
+
+
 def test_catalog_tables_and_view(spark, tmp_path):
     silver, gold, db = str(tmp_path / "silver"), str(tmp_path / "gold"), "reel_test"
     fact = "dt date, media_id string, unique_visitors bigint, loads bigint, plays bigint, play_rate double, gold_ingested_at timestamp"
