@@ -6,6 +6,7 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelstat.functions.typing import day_literal, parse_day
 from reelstat.operators.keyed import latest_per_key
@@ -69,7 +70,9 @@ def run_key(day: str | date) -> str:
 
 def status_row(spark, day: str | date, step: str, status: str, ts: datetime | None = None) -> DataFrame:
     row = (run_key(day), step, status, ts or datetime.now(timezone.utc))
-    return spark.createDataFrame([row], STATUS_SCHEMA)
+    names = T.StructType.fromDDL(STATUS_SCHEMA).names
+    # Literals, as rows from Python would start a job's workers for each entry.
+    return spark.range(0, 1, 1, 1).select(*[F.lit(value).alias(name) for name, value in zip(names, row)])
 
 
 def log_status(log: DataFrame, day: str | date, step: str, status: str, ts: datetime | None = None) -> DataFrame:

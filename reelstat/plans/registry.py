@@ -497,7 +497,8 @@ def media_perf_through_catalog(spark, sf_dir):
         ("media", star.media_raw(spark, sf_dir), "1995-06-15"),
     ):
         early = F.col("dt") < day_literal(until)
-        land_bronze(raw.withColumn("dt", F.when(early, day_literal(DAY)).otherwise(day_literal(NEXT_DAY))), roots.bronze, dataset)
+        raw = raw.withColumn("dt", F.when(early, day_literal(DAY)).otherwise(day_literal(NEXT_DAY)))
+        land_bronze(raw, roots.bronze, dataset, media_dirs=False)
     for day in (NEXT_DAY, DAY):
         jobs.run_day(spark, day, roots, media_dirs=False)
     return tidy(read_table(spark, roots.catalog, VIEW), "play_rate")

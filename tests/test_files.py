@@ -209,7 +209,7 @@ def star(spark, tmp_path):
     return f"{tmp_path}/star"
 
 
-@pytest.mark.parametrize("name, rows", [("dim_through_files", 40)])
+@pytest.mark.parametrize("name, rows", [("dim_through_files", 40), ("media_perf_through_catalog", 75)])
 def test_through_files_lands_few_files_however_many_media(spark, star, tmp_path, monkeypatch, name, rows):
     monkeypatch.setattr(registry, "shared_dir", lambda _: str(tmp_path))
     df = registry.QUERIES[name](spark, star)

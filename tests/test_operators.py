@@ -3,7 +3,7 @@ from __future__ import annotations
 import itertools
 import json
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 import pytest
 from conftest import values
@@ -288,6 +288,15 @@ def test_watermarks_and_next_window(spark):
     ]
 
 
+def test_a_status_entry_needs_no_python_worker(spark):
+    at = datetime(2025, 3, 10, 1, 2, 3, 456789, timezone.utc)
+    row = incremental.status_row(spark, "2025-03-09", "fact", "STARTED", at)
+    assert row.rdd.getNumPartitions() == 1 and row.select("updated_at").schema.simpleString() == "struct<updated_at:timestamp>"
+    assert "ExistingRDD" not in row._jdf.queryExecution().toString()
+    out = row.select("run_date", "data_in_process", "status", F.unix_micros("updated_at")).collect()
+    assert [tuple(r) for r in out] == [("day#2025-03-09", "fact", "STARTED", 1_741_568_523_456_789)]
+
+
 def test_status_log(spark):
     log = incremental.status_row(spark, "2025-03-09", "fact", "STARTED", datetime(2025, 3, 10, 1))
     log = incremental.log_status(log, "2025-03-09", "fact", "FAILED", datetime(2025, 3, 10, 2))
