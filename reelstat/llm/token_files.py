@@ -19,11 +19,10 @@ import sys
 import types
 from array import array
 from collections.abc import Iterator
-from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,7 +35,8 @@ BATCH = 64
 SHARD_BYTES = 8_000_000
 READ_BYTES = 8_000_000
 END_ID = 0
-CACHED_WORDS = 500_000
+CACHED_WORDS = 700_000
+SEEN_SLOTS = 1 << 22
 #: Fixed value: the last bytes of an Arrow file. Spark's writer puts them there as the end of the file's only line.
 MAGIC = "ARROW1"
 
@@ -52,7 +52,6 @@ SPECIAL = "<|"
 
 #: By byte, the character that byte-level models spell it with.
 SPELLING = "".join(chr(SPELT.get(byte, byte)) for byte in range(256))
-identify = attrgetter("id")
 
 
 def plain(word: str) -> bool:
@@ -61,7 +60,11 @@ def plain(word: str) -> bool:
 
 
 class Words(dict):
-    """Ids of " " + word as bytes. It is emptied when it holds CACHED_WORDS, which bounds its memory and changes no result."""
+    """Ids of " " + word as bytes. It is emptied when it holds CACHED_WORDS, which bounds its memory and changes no result.
+
+    A word is kept from its second time on, as most of a corpus's different words never come again and would push out those
+    that do. `seen` marks first times by hash; two words of one hash only make the second be kept at once.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -70,6 +73,7 @@ class Words(dict):
         self.tokenize = self.tokenizer.model.tokenize
         self.kind = "H" if self.tokenizer.get_vocab_size() <= 1 << 16 else "I"
         self.stops: dict[str, bytes] = {}
+        self.seen, self.marks = bytearray(SEEN_SLOTS), 0
 
     def whole(self, text: str) -> bytes:
         return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -77,7 +81,7 @@ class Words(dict):
     def letters(self, word: str) -> bytes:
         """Of letters as the model spells them: bytes by characters, a space before the word as the first of them."""
         spelt = codecs.charmap_decode(word.encode("utf-8"), "strict", SPELLING)[0]
-        return array(self.kind, list(map(identify, self.tokenize(spelt)))).tobytes()
+        return array(self.kind, [token.id for token in self.tokenize(spelt)]).tobytes()
 
     def _stops(self, stops: str) -> bytes:
         if stops not in self.stops:
@@ -87,21 +91,24 @@ class Words(dict):
         return self.stops[stops]
 
     def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        letters = word.rstrip(STOPS)
-        if letters.isalpha() and letters.isascii():
-            if letters == word:
-                ids = array(self.kind, list(map(identify, self.tokenize("Ġ" + word)))).tobytes()
-            else:
-                ids = self[letters] + self._stops(word[len(letters) :])
-        elif plain(letters):
-            ids = self.letters(" " + letters) + self._stops(word[len(letters) :])
+        if word.isalpha() and word.isascii():
+            ids = array(self.kind, [token.id for token in self.tokenize("Ġ" + word)]).tobytes()
+        elif plain(letters := word.rstrip(STOPS)):
+            ids = self.letters(" " + word) if letters == word else self[letters] + self._stops(word[len(letters) :])
         elif (lines := LINES.fullmatch(word)) and plain(lines[1]) and plain(lines[3]):
-            ids = self[lines[1]] + self._stops(lines[2]) + self._stops("\n") + self.letters(lines[3]) + self._stops(lines[4])
+            return self[lines[1]] + self._stops(lines[2]) + self._stops("\n") + self.letters(lines[3]) + self._stops(lines[4])
         else:
             ids = self.whole(" " + word)
-        self[word] = ids
+        slot = hash(word) & SEEN_SLOTS - 1
+        if self.seen[slot]:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = ids
+        else:
+            if self.marks >= SEEN_SLOTS // 2:
+                self.seen, self.marks = bytearray(SEEN_SLOTS), 0
+            self.seen[slot] = 1
+            self.marks += 1
         return ids
 
 
@@ -288,17 +295,21 @@ def write(
 
 def _number(spark: SparkSession, path: str) -> None:
     long = "partition long, shard long, n_tokens long, n_documents long"
-    headers = _files(spark, path).mapInArrow(_headers, long)
-    before = "sum(n_tokens) over (partition by partition order by shard) - n_tokens"
-    headers = headers.withColumn("before", F.expr(before))
-    ranges = sorted(headers.groupBy("partition").agg(F.sum("n_tokens")).collect())
-    starts, at = [], 0
-    for partition, count in ranges:
-        starts.append((partition, at))
-        at += count
-    numbered = headers.join(spark.createDataFrame(starts, "partition long, first long"), "partition")
-    chosen = numbered.select("partition", "shard", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "n_documents")
-    chosen.write.parquet(join(path, "manifest"))
+    # A row per shard, kept for both uses, as a header costs the reading of its file.
+    headers = _files(spark, path).mapInArrow(_headers, long).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        ranges = sorted(headers.groupBy("partition").agg(F.sum("n_tokens")).collect())
+        starts, at = [], 0
+        for partition, count in ranges:
+            starts.append((partition, at))
+            at += count
+        before = "sum(n_tokens) over (partition by partition order by shard) - n_tokens"
+        numbered = headers.withColumn("before", F.expr(before))
+        numbered = numbered.join(spark.createDataFrame(starts, "partition long, first long"), "partition")
+        chosen = numbered.select("partition", "shard", (F.col("first") + F.col("before")).alias("start"), "n_tokens", "n_documents")
+        chosen.write.parquet(join(path, "manifest"))
+    finally:
+        headers.unpersist()
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

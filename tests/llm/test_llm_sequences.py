@@ -14,6 +14,7 @@ import pyarrow as pa
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 from reelstat.llm import merkle, periodic_runs, queries, token_files
 
 #: With columns that the operators use for themselves inside.
@@ -176,6 +177,15 @@ def test_sequences_of_a_mapped_file_are_views(documents, tmp_path):
         assert [x for own in shard.ids() for x in own.tolist()] == flat
 
 
+def test_words_that_come_once_take_no_place_from_others(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 100)
+    encode, whole = token_files.Encoder(TOKENIZER), Tokenizer.from_file(TOKENIZER)
+    texts = ["the frönt door. opens, the frönt\ndoor. opens, "] * 2 + [" ".join(f"once{chr(97 + n // 26)}{chr(97 + n % 26)}" for n in range(400))]
+    for text in [*texts, texts[0]]:
+        assert np.frombuffer(encode(text), np.uint16).tolist() == whole.encode(text, add_special_tokens=False).ids
+    assert {"door.", "opens,", "frönt"} <= set(encode.words) and len(encode.words) < 20
+
+
 def test_tokens_of_odd_texts():
     encode = token_files.Encoder(TOKENIZER)
     rng = random.Random(1)
