@@ -498,7 +498,7 @@ def media_perf_through_catalog(spark, sf_dir):
     ):
         early = F.col("dt") < day_literal(until)
         raw = raw.withColumn("dt", F.when(early, day_literal(DAY)).otherwise(day_literal(NEXT_DAY)))
-        land_bronze(raw, roots.bronze, dataset, media_dirs=False)
+        land_bronze(raw, roots.bronze, dataset, media_dirs=False, compression="gzip")
     for day in (NEXT_DAY, DAY):
         jobs.run_day(spark, day, roots, media_dirs=False)
     return tidy(read_table(spark, roots.catalog, VIEW), "play_rate")

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from datetime import date, datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from reelstat.sources.files import complete_versions, day_path, join, remove_dir, replace_dir
@@ -22,6 +24,19 @@ def cluster(df: DataFrame, *cols: str) -> DataFrame:
     return df.hint("rebalance", *cols)
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written in the block leaves no shuffle files behind. Otherwise they stay on the executors' disks until the
+    driver happens to collect its garbage, those of all steps of a run together."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     """Count rows on their way into the writer instead of in a second job."""
     seen = Observation()
@@ -44,7 +59,8 @@ def write_day(df: DataFrame, path: str, day: str | date, media_dirs: bool = True
         writer = writer.partitionBy("media_id")
     staged = join(path, f"_staged-{uuid.uuid4()}")  # a name that readers of the table ignore
     try:
-        writer.parquet(staged)
+        with shuffles_removed(df.sparkSession):
+            writer.parquet(staged)
     except Exception:
         remove_dir(df.sparkSession, staged)
         raise
@@ -56,14 +72,15 @@ def write_days(df: DataFrame, path: str) -> int:
     """Replace every `dt` present in the frame, in one job, and return the rows written. `dt` is the only partition
     level, so a replaced day keeps no stale rows."""
     rows, seen = _counted(cluster(df, "dt"))
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .option("compression", COMPRESSION)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .partitionBy("dt")
-        .parquet(path)
-    )
+    with shuffles_removed(df.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("compression", COMPRESSION)
+            .option("maxRecordsPerFile", RECORDS_PER_FILE)
+            .partitionBy("dt")
+            .parquet(path)
+        )
     return seen.get["rows"]
 
 
@@ -80,12 +97,13 @@ def write_replace(
     """
     version = version or datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
     rows, seen = _counted(df if files is None else df.coalesce(files))
-    (
-        rows.write.mode("overwrite")
-        .option("compression", COMPRESSION)
-        .option("maxRecordsPerFile", RECORDS_PER_FILE)
-        .parquet(join(path, f"version={version}"))
-    )
+    with shuffles_removed(df.sparkSession):
+        (
+            rows.write.mode("overwrite")
+            .option("compression", COMPRESSION)
+            .option("maxRecordsPerFile", RECORDS_PER_FILE)
+            .parquet(join(path, f"version={version}"))
+        )
     if keep is not None:
         oldest = (datetime.now(timezone.utc) - timedelta(days=KEPT_DAYS)).strftime("%Y%m%dT%H%M%S%f")
         for old in complete_versions(df.sparkSession, path)[max(keep, 1) :]:

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import gzip
 import json
+import time
 from datetime import date, datetime
 from pathlib import Path
 
@@ -11,7 +13,8 @@ from pyspark.sql import functions as F
 
 from reelstat.operators.reports import top_by_play_rate
 from reelstat.operators.visitors import flatten_visitors
-from reelstat.plans import registry
+from reelstat.plans import jobs, registry
+from reelstat.sinks import landing
 from reelstat.sinks.catalog import create_tables, create_views, repair
 from reelstat.sinks.landing import land_bronze
 from reelstat.sinks.tables import write_day, write_days, write_replace
@@ -218,6 +221,66 @@ def test_through_files_lands_few_files_however_many_media(spark, star, tmp_path,
         assert len(list(dataset.rglob("part-*"))) <= 8  # two days of four shuffle partitions, not a file for each media
 
 
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {str(files.apply(n).getName()) for n in range(files.size()) if files.apply(n).getName().startswith("shuffle_")}
+
+
+def _left_beyond(spark, before, seconds=20):
+    """The shuffle files that are still there beside those of before; Spark removes them in the background."""
+    until = time.monotonic() + seconds
+    while (left := _shuffle_files(spark) - before) and time.monotonic() < until:
+        time.sleep(0.2)
+    return left
+
+
+def test_written_tables_leave_no_shuffle_files(spark, roots, tmp_path):
+    before, conf = _shuffle_files(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    kept = spark.conf.get(conf)
+    rows = spark.range(0, 1000, 1, 4).selectExpr(f"DATE'{DAY}' dt", "cast(id % 7 as string) media_id", "id load_count")
+    sums = rows.groupBy("dt", "media_id").agg(F.sum("load_count").alias("load_count"))
+    land_bronze(sums, roots.bronze, "visitors")
+    write_day(sums, str(tmp_path / "day"), DAY)
+    write_days(sums, str(tmp_path / "days"))
+    write_replace(sums, str(tmp_path / "whole"))
+    assert not _left_beyond(spark, before)
+    assert spark.conf.get(conf) == kept
+    assert sums.count() == 7 and sums.agg(F.sum("load_count")).first()[0] == 499_500  # the frame can be used again
+
+
+def test_landing_compressed_in_files_one_task_can_read(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "PAGE_ROWS", 10)
+    ids = [None, "", "0123", "Zoë", *[f"m {n}" for n in range(60)]]
+    rows = spark.createDataFrame([(m, f"k{n}", str(n)) for n, m in enumerate(ids)], "media_id string, event_key string, load_count string")
+    for dataset in ("visitors", "media", "media_by_date", "events"):
+        read = []
+        for media_dirs, compression in ((True, "none"), (True, "gzip"), (False, "gzip")):
+            root = str(tmp_path / f"{dataset}-{media_dirs}-{compression}")
+            assert land_bronze(rows, root, dataset, DAY, media_dirs=media_dirs, compression=compression).count() == len(ids)
+            df = read_bronze(spark, root, dataset, [DAY])
+            read.append(values(df, *sorted(df.columns)))
+        assert read[0] == read[1] == read[2] and len(read[2]) == len(ids)
+        pages = [gzip.decompress(f.read_bytes()).splitlines() for f in Path(root).rglob("part-*.gz")]
+        assert sum(map(len, pages)) == len(ids) and max(map(len, pages)) <= 10
+        for page in pages:
+            media = [json.loads(line)["media_id"] or "" for line in page]
+            assert media == sorted(media)
+
+
+@pytest.mark.parametrize("name", ["media_perf_through_catalog"])
+def test_through_files_keeps_no_second_copy_of_the_records(spark, star, tmp_path, monkeypatch, name):
+    monkeypatch.setattr(registry, "shared_dir", lambda _: str(tmp_path))
+    kept, write = [], jobs.write_day
+    monkeypatch.setattr(jobs, "write_day", lambda *a, **b: kept.append(spark.sparkContext._jsc.getPersistentRDDs().size()) or write(*a, **b))
+    cached, before = spark.sparkContext._jsc.getPersistentRDDs().size(), _shuffle_files(spark)
+    df = registry.QUERIES[name](spark, star)
+    assert kept and max(kept) <= cached  # no parsed day is held while tables are written of it
+    assert not _left_beyond(spark, before)
+    for dataset in tmp_path.glob("registered-*/bronze/*"):
+        assert all(f.name.endswith(".gz") for f in dataset.rglob("part-*"))
+    assert df.count() > 0
+
+
 def test_catalog_tables_and_view(spark, tmp_path):
     silver, gold, db = str(tmp_path / "silver"), str(tmp_path / "gold"), "reel_test"
     fact = "dt date, media_id string, unique_visitors bigint, loads bigint, plays bigint, play_rate double, gold_ingested_at timestamp"
