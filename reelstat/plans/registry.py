@@ -479,7 +479,7 @@ def dim_through_files(spark, sf_dir):
     raw = raw.withColumn("dt", F.when(early, day_literal(DAY)).otherwise(day_literal(NEXT_DAY)))
     root = join(shared_dir(spark), f"registered-{uuid.uuid4()}")
     roots = jobs.Roots(*[join(root, name) for name in ("bronze", "silver", "gold")])
-    land_bronze(raw, roots.bronze, "media", media_dirs=False)
+    land_bronze(raw, roots.bronze, "media", media_dirs=False, compression="gzip")
     for day in (NEXT_DAY, DAY):
         jobs.silver_media(spark, roots.bronze, roots.silver, day, media_dirs=False)
     jobs.gold_dim_media(spark, roots.silver, roots.gold)

@@ -267,7 +267,7 @@ def test_landing_compressed_in_files_one_task_can_read(spark, tmp_path, monkeypa
             assert media == sorted(media)
 
 
-@pytest.mark.parametrize("name", ["media_perf_through_catalog"])
+@pytest.mark.parametrize("name", ["media_perf_through_catalog", "dim_through_files"])
 def test_through_files_keeps_no_second_copy_of_the_records(spark, star, tmp_path, monkeypatch, name):
     monkeypatch.setattr(registry, "shared_dir", lambda _: str(tmp_path))
     kept, write = [], jobs.write_day
