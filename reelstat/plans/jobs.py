@@ -5,10 +5,12 @@ Only these functions touch paths; everything they apply is DataFrame in, DataFra
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,27 +54,34 @@ def _in_order(df: DataFrame, table: str, extra: Iterable[str] = ()) -> DataFrame
     return df.select(*data.names, *extra, *partitions.names)
 
 
+@contextmanager
 def _sound_records(
     spark: SparkSession, job: str, input_uri: str, output_uri: str, dataset: str, day: str | date, extra: Iterable[str] = ()
-) -> DataFrame | None:
-    """The records of a day; None, with a message, if there are none.
-
-    The files are read for the counts and again for the records, and a third time only if the counts tell of lines that
-    could not be read whole: a parsed copy of a large day does not fit into memory and fills the executors' disks. Such
-    lines go to `quarantine/lines` under the silver root as they are, and the counts of every file to `quarantine/files`,
-    both by dataset and day, and replaced when the day runs again. Keep that folder as closely as bronze: the lines are
-    not redacted.
+) -> Iterator[DataFrame | None]:
+    """The records of a day, for as long as the block lasts; None, with a message, if there are none.
+
+    The files are read once as far as the parsed day fits into memory; what does not fit is parsed again for each output,
+    as a copy of a large day would fill the executors' disks. Lines
+    that could not be read whole go to `quarantine/lines` under the silver root as they are, and the counts of every file
+    to `quarantine/files`, both by dataset and day, and replaced when the day runs again. Keep that folder as closely as
+    bronze: the lines are not redacted.
     """
     raw = read_bronze(spark, input_uri, dataset, [day], extra, lossless=True)
-    if raw is None or raw.isEmpty():
-        return _skip(job, day, input_uri) or None
-    write_day(file_counts(raw), join(output_uri, FILE_COUNTS, f"dataset={dataset}"), day, media_dirs=False)
-    counts = read_file_counts(spark, output_uri, dataset, [day])
-    lines = quarantined(raw)
-    if counts.where("broken > 0 OR partial > 0").isEmpty():
-        lines = lines.limit(0)
-    write_day(lines, join(output_uri, QUARANTINE, f"dataset={dataset}"), day, media_dirs=False)
-    return sound(raw)
+    raw = None if raw is None else raw.persist(StorageLevel.MEMORY_ONLY)
+    try:
+        if raw is None or raw.isEmpty():
+            _skip(job, day, input_uri)
+            yield None
+        else:
+            write_day(file_counts(raw), join(output_uri, FILE_COUNTS, f"dataset={dataset}"), day, media_dirs=False)
+            lines, counts = quarantined(raw), read_file_counts(spark, output_uri, dataset, [day])
+            if counts.where("broken > 0 OR partial > 0").isEmpty():
+                lines = lines.limit(0)
+            write_day(lines, join(output_uri, QUARANTINE, f"dataset={dataset}"), day, media_dirs=False)
+            yield sound(raw)
+    finally:
+        if raw is not None:
+            raw.unpersist()
 
 
 def silver_visitors(
@@ -84,14 +93,14 @@ def silver_visitors(
     media_dirs: bool = True,
     ts: datetime | None = None,
 ) -> int:
-    raw = _sound_records(spark, "silver_visitors", input_uri, output_uri, "visitors", day)
-    if raw is None:
-        return 0
-    rows = dedup_visitors(flatten_visitors(raw))
-    if email_key:
-        rows = pseudonymise_email(rows, email_key)
-    rows = _in_order(stamp(rows, "ingested_at", ts), "silver_visitors")
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_visitors"]), day, media_dirs)
+    with _sound_records(spark, "silver_visitors", input_uri, output_uri, "visitors", day) as raw:
+        if raw is None:
+            return 0
+        rows = dedup_visitors(flatten_visitors(raw))
+        if email_key:
+            rows = pseudonymise_email(rows, email_key)
+        rows = _in_order(stamp(rows, "ingested_at", ts), "silver_visitors")
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_visitors"]), day, media_dirs)
 
 
 def silver_media(
@@ -104,13 +113,13 @@ def silver_media(
     ts: datetime | None = None,
 ) -> int:
     """Write the day's history, then carry its latest versions into the snapshot."""
-    raw = _sound_records(spark, "silver_media", input_uri, output_uri, "media", day)
-    if raw is None:
-        return 0
-    rows = _in_order(stamp(flatten_media(raw), "ingested_at", ts), "silver_media_history")
-    written = write_day(rows, join(output_uri, TABLE_DIRS["silver_media_history"]), day, media_dirs)
+    with _sound_records(spark, "silver_media", input_uri, output_uri, "media", day) as raw:
+        if raw is None:
+            return 0
+        rows = _in_order(stamp(flatten_media(raw), "ingested_at", ts), "silver_media_history")
+        written = write_day(rows, join(output_uri, TABLE_DIRS["silver_media_history"]), day, media_dirs)
     if snapshot:
-        # From the Parquet just written, so the JSON is not parsed again.
+        # From the Parquet just written, so the JSON is parsed once.
         batch = media_versions(read_days(spark, output_uri, "silver_media_history", [day]))
         current = upsert_dim(read_current(spark, output_uri, "silver_media_snapshot", f"{DELIVERED} date"), batch)
         current = _in_order(current, "silver_media_snapshot", [DELIVERED])
@@ -135,17 +144,17 @@ def silver_events(
     the one that stored it first: keys in the neighbouring days' tables are left out here.
     """
     extra = list(extra)
-    raw = _sound_records(spark, "silver_events", input_uri, output_uri, "events", day, extra)
-    if raw is None:
-        return 0
-    this = parse_day(day)
-    near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
-    seen = read_days(spark, output_uri, "silver_events", near)
-    rows = protect_events(type_events(raw), ip_hash_key)
-    rows = rows.withColumns({name: redact_nested(F.col(name)) for name in extra})
-    rows = stamp(dedup_events(rows, seen), "processed_at", ts)
-    rows = assert_no_pii(_in_order(rows, "silver_events", extra))
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
+    with _sound_records(spark, "silver_events", input_uri, output_uri, "events", day, extra) as raw:
+        if raw is None:
+            return 0
+        this = parse_day(day)
+        near = [this + timedelta(days=n) for n in range(-overlap, overlap + 1) if n]
+        seen = read_days(spark, output_uri, "silver_events", near)
+        rows = protect_events(type_events(raw), ip_hash_key)
+        rows = rows.withColumns({name: redact_nested(F.col(name)) for name in extra})
+        rows = stamp(dedup_events(rows, seen), "processed_at", ts)
+        rows = assert_no_pii(_in_order(rows, "silver_events", extra))
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_events"]), day, media_dirs)
 
 
 def silver_media_by_date(
@@ -156,11 +165,11 @@ def silver_media_by_date(
     media_dirs: bool = True,
     ts: datetime | None = None,
 ) -> int:
-    raw = _sound_records(spark, "silver_media_by_date", input_uri, output_uri, "media_by_date", day)
-    if raw is None:
-        return 0
-    rows = _in_order(stamp(type_by_date(raw), "processed_at", ts), "silver_media_by_date")
-    return write_day(rows, join(output_uri, TABLE_DIRS["silver_media_by_date"]), day, media_dirs)
+    with _sound_records(spark, "silver_media_by_date", input_uri, output_uri, "media_by_date", day) as raw:
+        if raw is None:
+            return 0
+        rows = _in_order(stamp(type_by_date(raw), "processed_at", ts), "silver_media_by_date")
+        return write_day(rows, join(output_uri, TABLE_DIRS["silver_media_by_date"]), day, media_dirs)
 
 
 def gold_dim_media(spark: SparkSession, silver_uri: str, gold_uri: str, ts: datetime | None = None) -> int:
